@@ -41,6 +41,7 @@ def direct_dists(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
         nx = np.sqrt(np.einsum("ij,ij->i", x, x))
         nc = np.sqrt(np.einsum("ij,ij->i", c, c))
+        nx[nx == 0], nc[nc == 0] = 1.0, 1.0  # a zero vector is at distance 1 from everything
         return 1.0 - (x @ c.T) / (nx[:, None] * nc[None, :])
     out = np.empty((len(x), len(c)))
     for j in range(len(c)):
@@ -90,11 +91,19 @@ def kernel(x: np.ndarray, y: np.ndarray, name: str, gamma: float) -> np.ndarray:
     return np.exp(prod, out=prod)
 
 
+def power(a: np.ndarray, p: float) -> np.ndarray:
+    """a ** p for non-negative a; multiples of one half avoid the general power."""
+    if p in (1.0, 2.0, 1.5, 2.5):
+        whole = a if p < 2.0 else a * a
+        return whole if p in (1.0, 2.0) else whole * np.sqrt(a)
+    return a**p
+
+
 def memberships(x: np.ndarray, centres: np.ndarray, m: float, alpha: float) -> np.ndarray:
     """Fuzzy memberships of each row in each centre, with optional suppression of the losers."""
     d2 = sq_dists(x, centres)
     on_centre = d2 == 0.0
-    inv = 1.0 / np.maximum(d2, 1e-20) ** (1.0 / (m - 1.0))
+    inv = 1.0 / power(np.maximum(d2, 1e-20), 1.0 / (m - 1.0))
     u = inv / inv.sum(axis=1, keepdims=True)
     exact = on_centre.any(axis=1)
     u[exact] = on_centre[exact]
