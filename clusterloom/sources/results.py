@@ -6,10 +6,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
+_TYPES = {"string": StringType(), "int": IntegerType(), "double": DoubleType()}
+
+
+def schema(fields: str) -> StructType:
+    """'name type, ...' as a schema, without needing a session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (f.split() for f in fields.split(","))])
+
 
 # fixed values: the superset of all result columns
-RESULT_SCHEMA = StructType.fromDDL(
+RESULT_SCHEMA = schema(
     "session string, dataset string, preprocessing string, algorithm string, n_clusters int, n_components int, "
     "metric string, linkage string, kernel string, init_params string, param_m double, param_alpha double, "
     "run_id int, n_features_orig int, n_features_reduced int, inertia double, bic double, "
