@@ -9,6 +9,7 @@ sweep share every kernel value.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,7 @@ from clusterloom.session import cut_lineage
 KERNELS = ("linear", "rbf")
 CUT_EVERY = 5  # label rounds between checkpoints
 MEMBER_CHUNK = 2048
+PARTITION_BYTES = 32 << 20
 
 
 @dataclass
@@ -73,12 +75,13 @@ def fit_kernel_kmeans(
     if kernel not in KERNELS:
         raise ValueError(f"kernel must be one of {KERNELS}, got {kernel!r}")
     rows = df.rows if isinstance(df, Blocks) else df.select("id", F.col("features").cast("array<double>").alias("features"))
-    spread = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
-    distinct = distinct_rows(rows).repartition(spread, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    distinct = distinct_rows(rows).persist(StorageLevel.MEMORY_AND_DISK)
     blocks = Blocks(distinct)
+    spread = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(blocks.bytes() / PARTITION_BYTES))
+    placed = distinct.repartition(spread, "id").persist(StorageLevel.MEMORY_AND_DISK)
     total = distinct.agg(F.sum("w")).first()[0]
     gamma = 1.0 / blocks.d if gamma is None else float(gamma)
-    chosen = start_points(distinct, blocks, max(ks), kernel, gamma, total, broadcast_bytes)
+    chosen = start_points(placed, blocks, max(ks), kernel, gamma, total, broadcast_bytes)
     lay = _Layout(list(ks))
     centres = np.array([b.features for b in chosen])
     kzz = np.diag(linalg.kernel(centres, centres, kernel, gamma)).copy()
@@ -87,7 +90,7 @@ def fit_kernel_kmeans(
         dist = kxx[:, None] + kzz[None, :] - 2.0 * linalg.kernel(x, centres, kernel, gamma)
         return np.stack([dist[:, :k].argmin(axis=1) for k in lay.ks], axis=1)
 
-    state = _blank(distinct, lay)
+    state = _blank(placed, lay)
     small = blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
     start = lambda x, kxx, lab, s: first_labels(x, kxx)
     state = _corrected(state, start, lay, kernel, gamma, _changes(state, start, kernel) if small else None)
@@ -118,6 +121,7 @@ def fit_kernel_kmeans(
     final = cut_lineage(final)
     blocks.unpersist()
     distinct.unpersist()
+    placed.unpersist()
     for h in held:
         h.unpersist()
     by_row = rows.join(final, "features").select(rows["id"], "labels")

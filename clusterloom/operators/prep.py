@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, NumericType, StringType
@@ -148,44 +149,61 @@ class PrepModel:
 
 
 def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", drop_class: bool = False) -> PrepModel:
-    """Learn types, fills, bounds, categories and class codes from the whole table."""
+    """Learn types, fills, bounds, categories and class codes from the whole table.
+
+    Three scans: one aggregate over all columns, one count of categorical and class values, and the
+    medians of numeric columns that have gaps. A fill never moves a bound, so bounds come early.
+    """
     class_col = class_column(df, class_col)
-    numeric, categorical = split_types(df, class_col, skip=(id_col,))
-    typed = {f.name for f in df.schema.fields if is_numeric(f.dataType)}
+    feats = [f for f in df.schema.fields if f.name not in (class_col, id_col)]
+    typed = {f.name for f in feats if is_numeric(f.dataType)}
+    names = [f.name for f in feats]
+    aggs = [F.count("*").alias("n")]
+    for i, c in enumerate(names):
+        v = parsed(c)
+        aggs += [F.count(v).alias(f"n_{i}"), F.min(v).alias(f"lo_{i}"), F.max(v).alias(f"hi_{i}")]
+    s = df.agg(*aggs).first()
+    numeric = [c for i, c in enumerate(names) if c in typed or s[f"n_{i}"] > 0.5 * s["n"]]
+    categorical = [c for c in names if c not in numeric]
     coerced = [c for c in numeric if c not in typed]
+    bounds = {c: (s[f"lo_{i}"], s[f"hi_{i}"]) for i, c in enumerate(names) if c in numeric}
     clean = markers_to_null(df).withColumns({c: parsed(c) for c in coerced})
-    everything = numeric + categorical
-    nulls = clean.agg(*[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(everything)]).first() if everything else []
-    holed = {c for i, c in enumerate(everything) if nulls[i]}
-    fills: dict[str, object] = {c: m for c, m in medians(clean, [c for c in numeric if c in holed]).items() if m is not None}
-    gaps = [c for c in categorical if c in holed]
-    found = modes(clean, gaps)
-    fills.update({c: found.get(c, FILL_ALL_NULL) for c in gaps})
-    ready = clean.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
-    bounds = {}
-    if numeric:
-        aggs = [f(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(numeric) for n, f in (("lo", F.min), ("hi", F.max))]
-        row = ready.agg(*aggs).first()
-        bounds = {c: (row[f"lo_{i}"], row[f"hi_{i}"]) for i, c in enumerate(numeric)}
-    categories, dictionary = {}, None
-    if categorical:
-        seen = value_counts(ready, categorical).select("column", "value")
-        head = seen.limit(MAX_DENSE + 1).collect()
-        if len(head) <= MAX_DENSE:
-            categories = {c: sorted(r["value"] for r in head if r["column"] == c) for c in categorical}
+    holed = [c for i, c in enumerate(names) if c in numeric and s[f"n_{i}"] < s["n"]]
+    fills: dict[str, object] = {c: m for c, m in medians(clean, holed).items() if m is not None}
+    counted = categorical + ([] if drop_class else [class_col])
+    categories, dictionary, classes = {}, None, None
+    if counted:
+        counts = value_counts(clean, counted).persist(StorageLevel.MEMORY_AND_DISK)
+        summary = {
+            r["column"]: r
+            for r in counts.groupBy("column").agg(
+                F.sum("n").alias("n"), F.count("*").alias("values"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
+            ).collect()
+        }
+        for c in categorical:
+            if c not in summary or summary[c]["n"] < s["n"]:
+                fills[c] = summary[c]["mode"] if c in summary else FILL_ALL_NULL
+        empty = [c for c in categorical if c not in summary]
+        width = sum(summary[c]["values"] for c in categorical if c in summary) + len(empty)
+        if width <= MAX_DENSE:
+            seen = counts.where(F.col("column").isin(categorical)).select("column", "value").collect() if categorical else []
+            categories = {c: sorted(r["value"] for r in seen if r["column"] == c) or [FILL_ALL_NULL] for c in categorical}
             order = [(c, v, i) for i, (c, v) in enumerate((c, v) for c in categorical for v in categories[c])]
             dictionary = df.sparkSession.createDataFrame(order, "column string, category string, position bigint")
         else:
             categories = None
             rank = F.array_position(F.array(*[F.lit(c) for c in categorical]), F.col("column"))
-            ordered = row_numbers(seen.select("column", F.col("value").alias("category"), rank.alias("_c")), ["_c", "category"])
-            dictionary = ordered.select("column", "category", "position")
-    classes = None
-    if not drop_class:
-        names = clean.select(F.coalesce(F.col(class_col).cast("string"), F.lit(NULL_CLASS)).alias("c")).distinct().limit(MAX_DENSE + 1).collect()
-        if len(names) > MAX_DENSE:
-            raise ValueError(f"{class_col} has more than {MAX_DENSE} classes; pass drop_class=True")
-        classes = sorted(r["c"] for r in names)
+            known = counts.where(F.col("column").isin(categorical)).select("column", F.col("value").alias("category"))
+            if empty:
+                known = known.unionByName(df.sparkSession.createDataFrame([(c, FILL_ALL_NULL) for c in empty], "column string, category string"))
+            dictionary = row_numbers(known.withColumn("_c", rank), ["_c", "category"]).select("column", "category", "position")
+        if not drop_class:
+            found = summary.get(class_col)
+            if found and found["values"] > MAX_DENSE:
+                raise ValueError(f"{class_col} has more than {MAX_DENSE} classes; pass drop_class=True")
+            seen = {r["value"] for r in counts.where(F.col("column") == class_col).select("value").collect()}
+            classes = sorted(seen | ({NULL_CLASS} if not found or found["n"] < s["n"] else set()))
+        counts.unpersist()
     return PrepModel(class_col, numeric, categorical, coerced, fills, bounds, categories, classes, dictionary)
 
 
