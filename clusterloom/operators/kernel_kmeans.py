@@ -94,24 +94,28 @@ def fit_kernel_kmeans(
     small = blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
     start = lambda x, kxx, lab, s: first_labels(x, kxx)
     state = _corrected(state, start, lay, kernel, gamma, _changes(state, start, kernel) if small else None)
-    held, rounds = [], np.zeros(len(ks), int)
+    held, rounds, totals = [], np.zeros(len(ks), int), None
     for it in range(1, max_iters + 1):
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(state)
-        size, inner = _totals(state, lay, spread)
-        relabel = _relabeller(lay, size, inner)
+        if totals is None:
+            totals = _totals(state, lay, spread)
+        relabel = _relabeller(lay, *totals)
+        changes = None
         if small:
             changes = _changes(state, relabel, kernel)
-            moved = (changes[1] != changes[2]).sum(axis=0)
+            moved = changes.per_model()
         else:
             moved, rows_moved = _moved(state, relabel, lay, kernel, spread)
-            changes = None
-        rounds[moved > 0] = it
+            if rows_moved * _row_bytes(blocks.d, lay) <= broadcast_bytes:
+                changes = _changes(state, relabel, kernel)
+        rounds[: len(moved)][moved > 0] = it
         if not moved.any() or it == max_iters:
             break
-        if changes is None and rows_moved * _row_bytes(blocks.d, lay) <= broadcast_bytes:
-            changes = _changes(state, relabel, kernel)
         state = _corrected(state, relabel, lay, kernel, gamma, changes)
+        # few changes: the totals follow from them; otherwise, and now and then, count afresh
+        few = changes is not None and len(changes.w) <= MEMBER_CHUNK and it % CUT_EVERY
+        totals = changes.follow(totals, lay, kernel, gamma) if few else None
         if it % CUT_EVERY == 0:
             state = cut_lineage(state)
             for h in held:
@@ -266,22 +270,41 @@ def _relabelled(state: DataFrame, new_labels, kernel: str) -> DataFrame:
     return state.mapInArrow(emit, f"id {id_type}, features array<double>, w double, lab array<int>, s array<double>, new array<int>")
 
 
-def _changes(state: DataFrame, new_labels, kernel: str):
-    """(features, old labels, new labels, weights) of the rows that change; callers check the size first."""
-    moved = _relabelled(state, new_labels, kernel).where("lab != new").select("features", "w", "lab", "new").toArrow().combine_chunks()
-    mats = [linalg.rows_of(moved.column(c).combine_chunks()) for c in ("features", "lab", "new")]
-    return *mats, moved.column("w").to_numpy()
+@dataclass
+class _Changes:
+    """Rows that change label, with their kernel sums before the change."""
+
+    x: np.ndarray
+    old: np.ndarray
+    new: np.ndarray
+    w: np.ndarray
+    s: np.ndarray
+
+    def per_model(self) -> np.ndarray:
+        return (self.old != self.new).sum(axis=0) if len(self.w) else np.zeros(1, int)
+
+    def follow(self, totals, lay: _Layout, kernel: str, gamma: float) -> np.ndarray:
+        """Cluster weights and member-pair sums after the change."""
+        delta = lay.deltas(self.old, self.new, self.w)
+        among = linalg.kernel(self.x, self.x, kernel, gamma) @ delta
+        return np.array([totals[0] + delta.sum(axis=0), totals[1] + (delta * (2.0 * self.s + among)).sum(axis=0)])
+
+
+def _changes(state: DataFrame, new_labels, kernel: str) -> _Changes:
+    """The changing rows on the driver; callers check their size first."""
+    moved = _relabelled(state, new_labels, kernel).where("lab != new").select("features", "w", "lab", "new", "s").toArrow().combine_chunks()
+    x, old, new, s = (linalg.rows_of(moved.column(c).combine_chunks()) for c in ("features", "lab", "new", "s"))
+    return _Changes(x, old, new, moved.column("w").to_numpy(), s)
 
 
-def _corrected(state, new_labels, lay, kernel, gamma, changes) -> DataFrame:
+def _corrected(state, new_labels, lay, kernel, gamma, changes: _Changes | None) -> DataFrame:
     """State after the move to ``new_labels``: kernel sums corrected by the rows that changed.
 
     ``changes`` None: too many changed rows to send around, they meet the table block by block.
     """
     if changes is None:
         return _corrected_by_blocks(_relabelled(state, new_labels, kernel), lay, kernel, gamma)
-    x_moved, old, new, w_moved = changes
-    payload = state.sparkSession.sparkContext.broadcast((x_moved, lay.deltas(old, new, w_moved)))
+    payload = state.sparkSession.sparkContext.broadcast((changes.x, lay.deltas(changes.old, changes.new, changes.w)))
     id_type = state.schema["id"].dataType.simpleString()
 
     def emit(table):

@@ -310,6 +310,61 @@ MIXTURE = {
     "gmm_bic": with_(_mixture_rounds()) + "SELECT round(-2 * sum(ld) + 5 * ln(count(*)), 3) AS bic, round(avg(ld), 6) AS avg_log_likelihood FROM r4 WHERE cl = 0",
 }
 
+# -- agglomerative, k = 10: rounds of mutual merges (shortest edges for single linkage), then the cut
+
+_PAIRS = {
+    "euclidean": "list_distance(a.f, b.f)", "cosine": "list_cosine_distance(a.f, b.f)", "manhattan": dist("a.f", "b.f", "manhattan"),
+}
+
+
+def _linkage_sql(linkage, metric, k=10, rounds=60) -> str:
+    if linkage == "ward":
+        pair = "pow(list_distance(a.f, b.f), 2)"
+    else:
+        pair = _PAIRS[metric]
+    out = [
+        EMB, f"pd AS MATERIALIZED (SELECT a.id AS i, b.id AS j, {pair} AS d FROM x a CROSS JOIN x b)",
+        "g0 AS MATERIALIZED (SELECT id, id AS cid FROM x)",
+    ]
+    for n in range(rounds):
+        if linkage == "single":
+            out += [
+                f"e{n} AS MATERIALIZED (SELECT a.cid, arg_min({{'o': b.cid, 'd': d, 'a': least(i, j), 'b': greatest(i, j)}}, {{'d': d, 'a': least(i, j), 'b': greatest(i, j)}}) AS e FROM pd JOIN g{n} a ON a.id = pd.i JOIN g{n} b ON b.id = pd.j WHERE a.cid <> b.cid GROUP BY a.cid)",
+                f"m{n} AS MATERIALIZED (SELECT DISTINCT e.a AS a, e.b AS b, e.d AS d, {n} AS rnd FROM e{n})",
+                f"r{n} AS (SELECT cid AS u, e.o AS v FROM e{n} UNION SELECT e.o, cid FROM e{n})",
+                f"q{n} AS MATERIALIZED (WITH RECURSIVE w AS (SELECT u AS s, u AS t FROM r{n} UNION SELECT w.s, r.v FROM w JOIN r{n} r ON r.u = w.t) SELECT s, min(t) AS root FROM w GROUP BY s)",
+                f"g{n + 1} AS MATERIALIZED (SELECT id, coalesce(root, cid) AS cid FROM g{n} LEFT JOIN q{n} ON q{n}.s = cid)",
+            ]
+            continue
+        if linkage == "ward":
+            # from squared point distances: between-sum and the sums within each cluster
+            out += [
+                f"b{n} AS MATERIALIZED (SELECT a.cid AS p, b.cid AS q, sum(d) AS s FROM pd JOIN g{n} a ON a.id = pd.i JOIN g{n} b ON b.id = pd.j GROUP BY a.cid, b.cid)",
+                f"z{n} AS MATERIALIZED (SELECT cid, count(*) AS m FROM g{n} GROUP BY cid)",
+                f"c{n} AS MATERIALIZED (SELECT b.p, b.q, sqrt(greatest(0, 2.0 * zp.m * zq.m / (zp.m + zq.m) * (b.s / (zp.m * zq.m) - bp.s / (2.0 * zp.m * zp.m) - bq.s / (2.0 * zq.m * zq.m)))) AS d FROM b{n} b JOIN z{n} zp ON zp.cid = b.p JOIN z{n} zq ON zq.cid = b.q JOIN b{n} bp ON bp.p = b.p AND bp.q = b.p JOIN b{n} bq ON bq.p = b.q AND bq.q = b.q WHERE b.p <> b.q)",
+            ]
+        else:
+            stat = "max(d)" if linkage == "complete" else "avg(d)"
+            out.append(f"c{n} AS MATERIALIZED (SELECT a.cid AS p, b.cid AS q, {stat} AS d FROM pd JOIN g{n} a ON a.id = pd.i JOIN g{n} b ON b.id = pd.j WHERE a.cid <> b.cid GROUP BY a.cid, b.cid)")
+        out += [
+            f"e{n} AS MATERIALIZED (SELECT p, arg_min(q, {{'d': round(d, 12), 'a': least(p, q), 'b': greatest(p, q)}}) AS q, min(d) AS d FROM c{n} GROUP BY p)",
+            f"m{n} AS MATERIALIZED (SELECT a.p AS a, a.q AS b, a.d AS d, {n} AS rnd FROM e{n} a JOIN e{n} b ON a.q = b.p AND b.q = a.p WHERE a.p < a.q)",
+            f"g{n + 1} AS MATERIALIZED (SELECT id, coalesce(m.a, cid) AS cid FROM g{n} LEFT JOIN m{n} m ON m.b = cid)",
+        ]
+    union = " UNION ALL ".join(f"SELECT a, b, d, rnd FROM m{n}" for n in range(rounds))
+    out += [
+        f"kept AS MATERIALIZED (SELECT a, b FROM (SELECT *, row_number() OVER (ORDER BY d DESC, rnd DESC, a DESC, b DESC) AS rn FROM ({union})) WHERE rn >= {k})",
+        "links AS MATERIALIZED (SELECT a AS u, b AS v FROM kept UNION SELECT b, a FROM kept)",
+        "roots AS MATERIALIZED (WITH RECURSIVE w AS (SELECT id AS s, id AS t FROM x UNION SELECT w.s, l.v FROM w JOIN links l ON l.u = w.t) SELECT s AS id, min(t) AS root FROM w GROUP BY s)",
+    ]
+    return with_(out) + "SELECT id, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM roots"
+
+
+LINKAGE = {
+    "agg_single": _linkage_sql("single", "euclidean", rounds=9), "agg_complete": _linkage_sql("complete", "euclidean"),
+    "agg_average": _linkage_sql("average", "cosine"), "agg_manhattan": _linkage_sql("complete", "manhattan"), "agg_ward": _linkage_sql("ward", "euclidean"),
+}
+
 # -- projection
 
 _PLANE = [
@@ -419,4 +474,4 @@ REPORTS = {
     "results_scan": f"WITH {RUNS} SELECT dataset, coalesce(n_clusters, n_components) AS k, count(*) AS n, sum(purity) AS purity FROM runs GROUP BY ALL",
 }
 
-ORACLES = {**PREP, **DISTANCES, **KMEANS, **FEKM, **KERNEL, **FUZZY, **MIXTURE, **PROJECTION, **EVALUATION, **REPORTS}
+ORACLES = {**PREP, **DISTANCES, **KMEANS, **FEKM, **KERNEL, **FUZZY, **MIXTURE, **LINKAGE, **PROJECTION, **EVALUATION, **REPORTS}
