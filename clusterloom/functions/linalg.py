@@ -112,3 +112,21 @@ def memberships(x: np.ndarray, centres: np.ndarray, m: float, alpha: float) -> n
         u *= alpha
         u[np.arange(len(u)), win] += 1.0 - alpha
     return u
+
+
+def log_joint(x: np.ndarray, log_weights, means, precisions) -> np.ndarray:
+    """log(weight * density) per row and Gaussian component."""
+    out = np.empty((len(x), len(means)))
+    for j, (mu, p) in enumerate(zip(means, precisions)):
+        z = (x - mu) @ p
+        out[:, j] = -0.5 * (np.einsum("ij,ij->i", z, z) + x.shape[1] * np.log(2 * np.pi)) + np.log(np.diag(p)).sum() + log_weights[j]
+    return out
+
+
+def label_rows(x: np.ndarray, kind: str, args: tuple) -> np.ndarray:
+    """Cluster of every row under a model given by its parameters."""
+    if kind == "nearest":
+        return nearest(x, *args)[0]
+    if kind == "fuzzy":
+        return memberships(x, *args).argmax(axis=1)
+    return log_joint(x, *args).argmax(axis=1)

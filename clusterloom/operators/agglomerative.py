@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clusterloom.functions import linalg
 from clusterloom.operators.pairs import block_count, block_pairs
+from clusterloom.operators.selection import row_numbers
 from clusterloom.session import cut_lineage
 
 LINKAGES = ("single", "complete", "average", "ward")
@@ -39,17 +40,25 @@ class MergeTree:
 
     def labels(self, k: int) -> DataFrame:
         """(id, cluster) after undoing the last k - 1 merges; clusters are numbered by smallest id."""
+        return self.labels_many([k]).select("id", F.col("clusters")[0].alias("cluster"))
+
+    def labels_many(self, ks: list[int]) -> DataFrame:
+        """(id, clusters): one cluster number per k, with a single join to the rows."""
+        coded = self.nodes
+        for i, k in enumerate(ks):
+            coded = coded.join(self._numbered(k, f"c{i}"), "id")
+        coded = coded.select("features", F.array(*[f"c{i}" for i in range(len(ks))]).alias("clusters"))
+        return self.rows.join(coded, "features").select("id", "clusters")
+
+    def _numbered(self, k: int, name: str) -> DataFrame:
         if not 1 <= k <= self.n_nodes:
             raise ValueError(f"{k} clusters asked from {self.n_nodes} distinct rows")
-        last = self.edges.orderBy(F.desc("d"), F.desc("round"), F.desc("a"), F.desc("b")).limit(k - 1)
-        kept = self.edges.join(F.broadcast(last.select("a", "b")), ["a", "b"], "left_anti") if k > 1 else self.edges
-        roots = self.nodes.join(components(kept.select("a", "b")), self.nodes["id"] == F.col("node"), "left").select(
-            self.nodes["id"].alias("id"), "features", F.coalesce("root", self.nodes["id"]).alias("root")
-        )
-        numbers = sorted(r["root"] for r in roots.select("root").distinct().collect())  # k values
-        code = F.create_map(*[v for i, r in enumerate(numbers) for v in (F.lit(r), F.lit(i))])
-        coded = roots.select("features", code[F.col("root")].alias("cluster"))
-        return self.rows.join(coded, "features").select("id", "cluster")
+        last = self.edges.orderBy(F.desc("d"), F.desc("round"), F.desc("a"), F.desc("b")).limit(k - 1).select("a", "b")
+        kept = self.edges.join(F.broadcast(last) if k <= LOCAL_EDGES else last, ["a", "b"], "left_anti") if k > 1 else self.edges
+        found = components(kept.select("a", "b"))
+        roots = self.nodes.select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
+        numbers = row_numbers(roots.select("root").distinct(), ["root"], name)
+        return roots.join(numbers, "root").select("id", F.col(name).cast("int").alias(name))
 
 
 def merge_tree(df: DataFrame, metric: str = "euclidean", linkage: str = "complete", finish: int = FINISH, split_rows: int = SPLIT_ROWS) -> MergeTree:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -69,6 +70,11 @@ def adjusted_rand(table: DataFrame, keys: tuple = ()) -> DataFrame:
         F.sum(n).alias("N"), F.sum(n * n).alias("cells"),
         F.sum(n * F.col("n_label")).alias("rows"), F.sum(n * F.col("n_cluster")).alias("cols"),
     )
+    return s.select(*keys, _rand())
+
+
+def _rand():
+    """Adjusted Rand from N and the squared sums of cells, rows and cols."""
     both = (F.col("cells") - F.col("N")) / 2
     row = (F.col("rows") - F.col("N")) / 2
     col = (F.col("cols") - F.col("N")) / 2
@@ -76,19 +82,35 @@ def adjusted_rand(table: DataFrame, keys: tuple = ()) -> DataFrame:
     chance = F.when(pairs > 0, row * col / pairs).otherwise(F.lit(0.0))
     # identical partitions (also all-in-one or all-apart on both sides) score 1
     same = (both == row) & (both == col)
-    return s.select(*keys, F.when(same, F.lit(1.0)).otherwise((both - chance) / ((row + col) / 2 - chance)).alias("ari"))
+    return F.when(same, F.lit(1.0)).otherwise((both - chance) / ((row + col) / 2 - chance)).alias("ari")
+
+
+def label_suite(table: DataFrame, keys: tuple = ()) -> DataFrame:
+    """ari, purity and f_measure from one contingency table in one aggregate over its cells."""
+    cells = with_totals(table, keys).withColumn("f1", F.lit(2.0) * F.col("n") / (F.col("n_label") + F.col("n_cluster")))
+    top = F.row_number().over(Window.partitionBy(*keys, "cluster").orderBy(F.desc("n"))) == 1
+    best = F.row_number().over(Window.partitionBy(*keys, "label").orderBy(F.desc("f1"))) == 1
+    cells = cells.withColumn("top", top).withColumn("best", best)
+    n = F.col("n").cast("double")
+    s = cells.groupBy(*keys).agg(
+        F.sum(n).alias("N"), F.sum(n * n).alias("cells"), F.sum(n * F.col("n_label")).alias("rows"), F.sum(n * F.col("n_cluster")).alias("cols"),
+        F.sum(F.when(F.col("top"), n)).alias("pure"), F.sum(F.when(F.col("best"), F.col("f1") * F.col("n_label"))).alias("f"),
+    )
+    return s.select(*keys, _rand(), (F.col("pure") / F.col("N")).alias("purity"), (F.col("f") / F.col("N")).alias("f_measure"))
 
 
-def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
+def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cluster", centroids: DataFrame | None = None) -> DataFrame:
     """One row: mean over clusters of the worst (spread_i + spread_j) / centroid distance.
 
-    Null when there are fewer than two clusters or as many clusters as rows.
+    Null when there are fewer than two clusters or as many clusters as rows. ``centroids``
+    (cluster, c, n) saves a scan where they are known.
     """
     spark = df.sparkSession
     rows = df.select(F.col(cluster).alias("cluster"), F.col(features).cast("array<double>").alias("f"))
-    centroids = rows.groupBy("cluster").agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col("f")))).alias("c"), F.count("*").alias("n")
-    )
+    if centroids is None:
+        centroids = rows.groupBy("cluster").agg(
+            vector_to_array(Summarizer.mean(array_to_vector(F.col("f")))).alias("c"), F.count("*").alias("n")
+        )
     head = centroids.limit(CENTRES_ON_DRIVER + 1).collect()
     if len(head) > CENTRES_ON_DRIVER:
         return _davies_bouldin_wide(rows, centroids)
@@ -146,19 +168,69 @@ def _davies_bouldin_wide(rows: DataFrame, centroids: DataFrame) -> DataFrame:
 
 
 def metric_suite(df: DataFrame, features: str = "features", label: str = "label", cluster: str = "cluster") -> DataFrame:
-    """One row with ari, purity, davies_bouldin and f_measure."""
-    table = contingency(df, label, cluster)
-    one = F.lit(1).alias("one")
-    parts = [adjusted_rand(table), purity(table), davies_bouldin(df, features, cluster), f_measure(table)]
-    out = parts[0].select("*", one)
-    for p in parts[1:]:
-        out = out.join(p.select("*", one), "one")
-    return out.select("ari", "purity", "davies_bouldin", "f_measure")
-
-
-def label_scores(df: DataFrame, label: str, clusters: str) -> DataFrame:
-    """(model, ari, purity, f_measure) for an array column holding one cluster id per model."""
+    """One row with ari, purity, davies_bouldin and f_measure, from two scans.
+
+    The first scan counts (label, cluster) cells and sums their features, which yields the contingency
+    table and the centroids; the second measures the spreads.
+    """
+    v = array_to_vector(F.col(features).cast("array<double>"))
+    cells = df.groupBy(F.col(label).alias("label"), F.col(cluster).alias("cluster")).agg(
+        F.count("*").alias("n"), Summarizer.mean(v).alias("m")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    centroids = cells.groupBy("cluster").agg(
+        vector_to_array(Summarizer.mean(F.col("m"), F.col("n").cast("double"))).alias("c"), F.sum("n").alias("n")
+    )
+    scores = label_suite(cells.select("label", "cluster", "n")).first()
+    dbi = davies_bouldin(df, features, cluster, centroids).first()[0]
+    cells.unpersist()
+    ddl = "ari double, purity double, davies_bouldin double, f_measure double"
+    return df.sparkSession.createDataFrame([(scores["ari"], scores["purity"], dbi, scores["f_measure"])], ddl)
+
+
+def suite_many(df: DataFrame, models: int, features: str = "features", label: str = "label", clusters: str = "clusters") -> list[dict]:
+    """The metric suite of many clusterings at once: ``clusters`` holds one cluster number (from 0) per model.
+
+    All models share the contingency job and two feature scans, whatever their number.
+    """
     long = df.select(F.col(label).alias("label"), F.posexplode(clusters).alias("model", "cluster"))
     table = contingency(long, keys=("model",))
-    keys = ("model",)
-    return adjusted_rand(table, keys).join(purity(table, keys), "model").join(f_measure(table, keys), "model")
+    scores = {r["model"]: r.asDict() for r in label_suite(table, ("model",)).collect()}
+    widest = {r["model"]: r["k"] for r in table.groupBy("model").agg((F.max("cluster") + 1).alias("k")).collect()}
+    at = np.concatenate([[0], np.cumsum([widest.get(m, 0) for m in range(models)])]).astype(int)
+    slim = df.select(F.col(features).cast("array<double>").alias("f"), F.col(clusters).alias("c"))
+
+    def totals(fn, width):
+        def partial(batches):
+            out = np.zeros((at[-1], width))
+            for b in batches:
+                x, c = linalg.rows_of(b.column("f")), linalg.rows_of(b.column("c"))
+                if len(x):
+                    for m in range(models):
+                        out[at[m] : at[m + 1]] += fn(x, c[:, m], m)
+            rows = pa.array(out.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_pydict({"slot": pa.array(range(len(out)), pa.int32()), "v": rows})
+
+        parts = slim.mapInArrow(partial, "slot int, v array<double>")
+        summed = parts.groupBy("slot").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("v")))).alias("v"))
+        out = np.zeros((at[-1], width))
+        for r in summed.collect():
+            out[r["slot"]] = r["v"]
+        return out
+
+    d = slim.select(F.size("f").alias("d")).first()["d"]
+    sums = totals(lambda x, c, m: linalg.group_sums(x, c, at[m + 1] - at[m]), 1 + d)
+    size = sums[:, 0]
+    centres = np.divide(sums[:, 1:], size[:, None], out=np.zeros_like(sums[:, 1:]), where=size[:, None] > 0)
+
+    def gaps(x, c, m):
+        dist = np.sqrt(((x - centres[at[m] + c]) ** 2).sum(axis=1))
+        return np.bincount(c, weights=dist, minlength=at[m + 1] - at[m])[:, None]
+
+    spread = np.divide(totals(gaps, 1)[:, 0], size, out=np.zeros_like(size), where=size > 0)
+    out = []
+    for m in range(models):
+        used = np.nonzero(size[at[m] : at[m + 1]] > 0)[0] + at[m]
+        dbi = davies_bouldin_value(centres[used], spread[used]) if 2 <= len(used) < size[used].sum() else None
+        s = scores[m]
+        out.append({"ari": s["ari"], "purity": s["purity"], "davies_bouldin": dbi, "f_measure": s["f_measure"]})
+    return out

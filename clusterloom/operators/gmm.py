@@ -60,7 +60,10 @@ class MixtureModel:
         return -2.0 * self.avg_log_likelihood * self.n + self.n_parameters * np.log(self.n)
 
     def log_density(self, x: np.ndarray) -> np.ndarray:
-        return log_joint(x, *self._solved())
+        return linalg.log_joint(x, *self._solved())
+
+    def parameters(self) -> tuple[str, tuple]:
+        return "gaussian", self._solved()
 
     def _solved(self):
         return np.log(self.weights), self.means, factors(self.covariances)
@@ -73,7 +76,7 @@ class MixtureModel:
 
         @F.arrow_udf("int")
         def component(x: pa.Array) -> pa.Array:
-            return pa.array(log_joint(linalg.rows_of(x), *parts).argmax(axis=1) if len(x) else [], pa.int32())
+            return pa.array(linalg.log_joint(linalg.rows_of(x), *parts).argmax(axis=1) if len(x) else [], pa.int32())
 
         return df.withColumn(cluster, component(F.col(features).cast("array<double>")))
 
@@ -84,15 +87,6 @@ def factors(cov: np.ndarray) -> list[np.ndarray]:
     return [np.linalg.solve(np.linalg.cholesky(c), eye).T for c in cov]
 
 
-def log_joint(x, log_weights, means, precisions) -> np.ndarray:
-    """log(weight * density) per row and component."""
-    out = np.empty((len(x), len(means)))
-    for j, (mu, p) in enumerate(zip(means, precisions)):
-        z = (x - mu) @ p
-        out[:, j] = -0.5 * (np.einsum("ij,ij->i", z, z) + x.shape[1] * np.log(2 * np.pi)) + np.log(np.diag(p)).sum() + log_weights[j]
-    return out
-
-
 def log_total(joint: np.ndarray) -> np.ndarray:
     top = joint.max(axis=1, keepdims=True)
     return (top + np.log(np.exp(joint - top).sum(axis=1, keepdims=True)))[:, 0]
@@ -224,7 +218,7 @@ def _em(blocks: Blocks, models: list[MixtureModel], shift) -> None:
         def stats(x):
             out = []
             for job in jobs:
-                joint = log_joint(x, *job)
+                joint = linalg.log_joint(x, *job)
                 total = log_total(joint)
                 out += [_moments(x, np.exp(joint - total[:, None]), shift), [total.sum()]]
             return np.concatenate(out)

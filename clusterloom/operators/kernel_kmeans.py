@@ -41,6 +41,8 @@ class KernelModel:
     labels: DataFrame  # (id, cluster) for every input row
     inertia: float
     iterations: int
+    shared: DataFrame  # (id, labels): one cluster per k of the sweep
+    slot: int  # position of this k in ``labels``
 
 
 class _Layout:
@@ -130,7 +132,7 @@ def fit_kernel_kmeans(
         h.unpersist()
     by_row = rows.join(final, "features").select(rows["id"], "labels")
     return {
-        k: KernelModel(k, kernel, gamma, [b.id for b in chosen[:k]], by_row.select("id", F.col("labels")[i].alias("cluster")), float(inertia[i]), int(min(rounds[i] + 1, max_iters)))
+        k: KernelModel(k, kernel, gamma, [b.id for b in chosen[:k]], by_row.select("id", F.col("labels")[i].alias("cluster")), float(inertia[i]), int(min(rounds[i] + 1, max_iters)), by_row, i)
         for i, k in enumerate(lay.ks)
     }
 

@@ -52,6 +52,9 @@ class KMeansModel:
             raise ValueError("model is not fitted; call fit first")
         return df.withColumn(cluster, assign(F.col(features), self.centres, self.spec.metric))
 
+    def parameters(self) -> tuple[str, tuple]:
+        return "nearest", (self.centres, self.spec.metric)
+
     def centre_table(self, spark) -> DataFrame:
         rows = [(j, [float(v) for v in c]) for j, c in enumerate(self.centres)]
         return spark.createDataFrame(rows, "cluster int, centroid array<double>")
@@ -69,6 +72,21 @@ def assign(features, centres: np.ndarray, metric: str = "euclidean"):
     return nearest_index(features.cast("array<double>"))
 
 
+def assign_all(features, models: list):
+    """Column: array with the cluster of the row under every model, in one pass over the features."""
+    specs = [m.parameters() for m in models]
+
+    @F.arrow_udf("array<int>")
+    def clusters(x: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.list_(pa.int32()))
+        rows = linalg.rows_of(x)
+        labels = np.stack([linalg.label_rows(rows, *s) for s in specs], axis=1).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(specs)), pa.array(labels.ravel()))
+
+    return clusters(features.cast("array<double>"))
+
+
 def assign_expression(features, centres: np.ndarray, metric: str = "euclidean"):
     """The same as :func:`assign` from built-in functions only; for narrow data and few centres."""
     dist = C.sq_euclidean if metric == "euclidean" else C.manhattan

@@ -12,6 +12,7 @@ from clusterloom.session import cut_lineage
 
 COLLECTED = 20_000  # distinct values per narrowing round that may reach the driver
 ACCURACY = 10_000
+TOP_ROWS = 10_000  # samples up to this size are taken by a top-n
 
 
 @dataclass(frozen=True)
@@ -99,8 +100,20 @@ def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
 
 
 def exact_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer) drawn by seeded hash order: the same rows on any engine."""
-    return df.orderBy(C.hash_order(id_col, seed), F.col(id_col)).limit(n)
+    """Exactly ``n`` rows (all, if fewer) drawn by seeded hash order: the same rows on any engine.
+
+    A small sample is a bounded top-n. A large one would gather in one task, so its last hash is found
+    as an order statistic instead and the rows up to it are filtered in place.
+    """
+    key = C.hash_order(id_col, seed)
+    if n <= TOP_ROWS:
+        return df.orderBy(key, F.col(id_col)).limit(n)
+    prefix = F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")  # orders as the hash does
+    if df.count() <= n:
+        return df
+    cut = order_statistics(df.select(prefix.alias("h")), "h", [n - 1])[n - 1]
+    tied = df.where(prefix == F.lit(cut.value)).orderBy(key, F.col(id_col)).limit(n - cut.under)
+    return df.where(prefix < F.lit(cut.value)).unionByName(tied)
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:

@@ -17,7 +17,7 @@ from clusterloom.operators.fekm import fit_fekm
 from clusterloom.operators.fuzzy import FuzzySpec, fit_fuzzy
 from clusterloom.operators.gmm import MixtureSpec, fit_mixture
 from clusterloom.operators.kernel_kmeans import fit_kernel_kmeans
-from clusterloom.operators.kmeans import KMeansSpec, fit_many
+from clusterloom.operators.kmeans import KMeansSpec, assign_all, fit_many
 from clusterloom.operators.pca import fit_pca
 from clusterloom.sources.results import RESULT_SCHEMA, conform, schema
 
@@ -127,9 +127,13 @@ def run_tasks(name: str, df: DataFrame, tasks: list[dict], on_batch=None) -> Dat
                 continue
             start = time.perf_counter()
             try:
-                fitted = fit(space, packed, batch)
+                clustered, order, values = fit(space, packed, batch)
                 seconds = (time.perf_counter() - start) / len(batch)
-                rows = [scored(name, t, space, p, width, seconds, *f) for t, f in zip(batch, fitted)]
+                scores = evaluate.suite_many(clustered, len(order)) if order else []
+                rows = []
+                for i, t in enumerate(batch):
+                    extra = {"runtime": seconds, "runtime_sec": seconds if t["session"] == "S1" else None, **values[i]}
+                    rows.append(result_row(name, t, p, width, **extra, **(scores[order.index(i)] if i in order else {})))
             except Exception as e:  # a failed family must not stop the sweep
                 rows = [result_row(name, t, p, width, error=str(e)[:500]) for t in batch]
             out += rows
@@ -156,48 +160,54 @@ def result_row(name, task, p, width, **values) -> dict:
     return row
 
 
-def scored(name, task, space, p, width, seconds, assigned, values) -> dict:
-    if values.get("error"):
-        return result_row(name, task, p, width, runtime=seconds, **values)
-    m = evaluate.metric_suite(assigned).first()
-    return result_row(name, task, p, width, runtime=seconds, runtime_sec=seconds if task["session"] == "S1" else None, **m.asDict(), **values)
+# A family returns (frame with an array column of clusters, task numbers in array order, extra values per task).
+
+
+def _by_models(space, models, values):
+    good = [i for i, m in enumerate(models) if not getattr(m, "error", None)]
+    if not good:
+        return None, [], values
+    return space.withColumn("clusters", assign_all(F.col("features"), [models[i] for i in good])), good, values
 
 
 def _agglomerative(space, packed, tasks):
-    trees, out = {}, []
-    for t in tasks:
-        key = (t["metric"], t["linkage"])
-        trees[key] = trees.get(key) or merge_tree(space, *key)
-        out.append((space.join(trees[key].labels(t["n_clusters"]), "id"), {}))
-    return out
+    """One tree per (metric, linkage) and one join per tree."""
+    out, parts, order = space, [], []
+    for i, key in enumerate(sorted({(t["metric"], t["linkage"]) for t in tasks})):
+        mine = [j for j, t in enumerate(tasks) if (t["metric"], t["linkage"]) == key]
+        labels = merge_tree(space, *key).labels_many([tasks[j]["n_clusters"] for j in mine])
+        out = out.join(labels.withColumnRenamed("clusters", f"t{i}"), "id")
+        parts.append(f"t{i}")
+        order += mine
+    return out.withColumn("clusters", F.concat(*parts)), order, [{}] * len(tasks)
 
 
 def _mixture(space, packed, tasks):
     models = fit_mixture(packed, [MixtureSpec(t["n_clusters"], t["init_params"], seed=t["run_id"], reg_covar=t.get("reg_covar", 1e-4)) for t in tasks])
-    return [
-        (None, {"error": m.error}) if m.error else (m.transform(space), {"bic": float(m.bic), "avg_log_likelihood": m.avg_log_likelihood})
-        for m in models
-    ]
+    return _by_models(space, models, [{"error": m.error} if m.error else {"bic": float(m.bic), "avg_log_likelihood": m.avg_log_likelihood} for m in models])
 
 
 def _kmeans(space, packed, tasks):
     models = fit_many(packed, [KMeansSpec(t["n_clusters"], t["metric"], seed=t["run_id"]) for t in tasks])
-    return [(m.transform(space), {"inertia": m.inertia}) for m in models]
+    return _by_models(space, models, [{"inertia": m.inertia} for m in models])
 
 
 def _fekm(space, packed, tasks):
-    models = fit_fekm(packed, sorted({t["n_clusters"] for t in tasks}), sorted({t["metric"] for t in tasks}))
-    return [(models[t["n_clusters"], t["metric"]].transform(space), {"inertia": models[t["n_clusters"], t["metric"]].inertia}) for t in tasks]
+    fits = fit_fekm(packed, sorted({t["n_clusters"] for t in tasks}), sorted({t["metric"] for t in tasks}))
+    models = [fits[t["n_clusters"], t["metric"]] for t in tasks]
+    return _by_models(space, models, [{"inertia": m.inertia} for m in models])
 
 
 def _kernel(space, packed, tasks):
-    models = fit_kernel_kmeans(space, sorted({t["n_clusters"] for t in tasks}), tasks[0]["kernel"])
-    return [(space.join(models[t["n_clusters"]].labels, "id"), {"inertia": models[t["n_clusters"]].inertia}) for t in tasks]
+    fits = fit_kernel_kmeans(space, sorted({t["n_clusters"] for t in tasks}), tasks[0]["kernel"])
+    models = [fits[t["n_clusters"]] for t in tasks]
+    labels = models[0].shared.select("id", F.array(*[F.col("labels")[m.slot] for m in models]).alias("clusters"))
+    return space.join(labels, "id"), list(range(len(tasks))), [{"inertia": m.inertia} for m in models]
 
 
 def _fuzzy(space, packed, tasks):
     models = fit_fuzzy(packed, [FuzzySpec(t["n_clusters"], t["param_m"], t["param_alpha"], seed=t["run_id"]) for t in tasks])
-    return [(m.transform(space), {}) for m in models]
+    return _by_models(space, models, [{}] * len(tasks))
 
 
 FAMILIES = {

@@ -29,10 +29,19 @@ def test_rand_is_one_for_relabelled_classes(frame):
     assert E.adjusted_rand(E.contingency(scored(frame, [0] * 4, [1] * 4))).first()[0] == 1.0
 
 
-def test_scores_per_model(frame, spark):
-    df = spark.createDataFrame([(y, [p, y]) for y, p in zip(Y, P)], "label int, clusters array<int>")
-    rows = {r["model"]: r for r in E.label_scores(df, "label", "clusters").collect()}
-    assert np.isclose(rows[0]["ari"], 1.2 / 3.7) and rows[1]["ari"] == 1.0 and np.isclose(rows[0]["purity"], 5 / 6)
+def test_suite_of_many_models_equals_single_suites(frame, spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(40, 3)), [int(v) for v in rng.integers(0, 3, 40)]
+    ps = [[int(v) for v in rng.integers(0, k, 40)] for k in (2, 5)] + [[0] * 40]
+    rows = [(x[i].tolist(), y[i], [p[i] for p in ps]) for i in range(40)]
+    many = E.suite_many(spark.createDataFrame(rows, "features array<double>, label int, clusters array<int>"), 3)
+    for p, got in zip(ps, many):
+        want = E.metric_suite(scored(frame, y, p, x)).first().asDict()
+        assert want["davies_bouldin"] is got["davies_bouldin"] is None or np.isclose(want["davies_bouldin"], got["davies_bouldin"])
+        assert all(np.isclose(want[k], got[k]) for k in ("ari", "purity", "f_measure"))
+        t = E.contingency(scored(frame, y, p, x))
+        assert np.isclose(E.purity(t).first()[0], got["purity"]) and np.isclose(E.f_measure(t).first()[0], got["f_measure"])
+        assert np.isclose(E.adjusted_rand(t).first()[0], got["ari"])
 
 
 @pytest.mark.parametrize("limit", [2000, 1])

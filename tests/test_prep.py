@@ -82,3 +82,11 @@ def test_sample_is_exact_and_repeatable(spark):
     t = spark.range(500)
     a = {r["id"] for r in selection.exact_sample(t, 30, 1).collect()}
     assert len(a) == 30 and a == {r["id"] for r in selection.exact_sample(t.repartition(7), 30, 1).collect()}
+
+
+def test_large_sample_equals_small_path(spark, monkeypatch):
+    t = spark.range(3000)
+    want = {r["id"] for r in selection.exact_sample(t, 700, 5).collect()}
+    monkeypatch.setattr(selection, "TOP_ROWS", 10)
+    assert {r["id"] for r in selection.exact_sample(t, 700, 5).collect()} == want
+    assert selection.exact_sample(t, 4000, 5).count() == 3000
