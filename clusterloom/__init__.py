@@ -1,8 +1,8 @@
 """clusterloom: clustering, projection and cluster evaluation as Spark jobs."""
 
-from pyspark import cloudpickle
+import sys
 
-from clusterloom.functions import linalg
+from pyspark import cloudpickle
 
-# Task-side helpers travel inside the pickled job, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(linalg)
+# Task-side code travels inside the pickled job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

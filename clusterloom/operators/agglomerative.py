@@ -28,6 +28,7 @@ LINKAGES = ("single", "complete", "average", "ward")
 METRICS = ("euclidean", "manhattan", "cosine")
 FINISH = 512  # with so few clusters left their distance matrix is model-sized
 SPLIT_ROWS = 8192  # a cluster with more rows is spread over several blocks
+MAPPED = 1000  # up to this many clusters are numbered by a literal map
 LOCAL_EDGES = 200_000  # forests up to this size are resolved on the driver
 
 
@@ -57,6 +58,10 @@ class MergeTree:
         kept = self.edges.join(F.broadcast(last) if k <= LOCAL_EDGES else last, ["a", "b"], "left_anti") if k > 1 else self.edges
         found = components(kept.select("a", "b"))
         roots = self.nodes.select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
+        if k <= MAPPED:
+            names = sorted(r["root"] for r in roots.select("root").distinct().collect())
+            code = F.create_map(*[F.lit(v) for i, r in enumerate(names) for v in (r, i)])
+            return roots.select("id", code[F.col("root")].alias(name))
         numbers = row_numbers(roots.select("root").distinct(), ["root"], name)
         return roots.join(numbers, "root").select("id", F.col(name).cast("int").alias(name))
 

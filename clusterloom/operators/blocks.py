@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from clusterloom.functions import linalg
 
 BLOCK_BYTES = 4 << 20  # upper size of one packed matrix
+PARTITION_BYTES = 64 << 20  # partitions are merged towards this size
 DRIVER_BYTES = 32 << 20  # partial results above this are reduced on executors
 BROADCAST_BYTES = 64 << 20  # data above this is never sent whole to every task
 SLOT = 4096  # partial vectors travel in pieces of this many numbers
@@ -46,9 +47,14 @@ class Blocks:
         cores = self.spark.sparkContext.defaultParallelism
         self.df = packed.persist(StorageLevel.MEMORY_AND_DISK)
         s = self._shape()
-        if s["parts"] < cores and s["n"] and s["blocks"] > s["parts"]:
-            spread = packed.repartition(min(cores, s["blocks"])).persist(StorageLevel.MEMORY_AND_DISK)
-            old, self.df = self.df, spread
+        target = max(cores, -(-int(s["n"] or 0) * int(s["d"] or 0) * 8 // PARTITION_BYTES))
+        placed = None
+        if s["parts"] > 2 * target:
+            placed = packed.coalesce(target)  # many small partitions: fewer tasks per pass, no shuffle
+        elif s["parts"] < cores and s["n"] and s["blocks"] > s["parts"]:
+            placed = packed.repartition(min(cores, s["blocks"]))
+        if placed is not None:
+            old, self.df = self.df, placed.persist(StorageLevel.MEMORY_AND_DISK)
             s = self._shape()
             old.unpersist()
         self.n, self.d, self.parts = int(s["n"] or 0), int(s["d"] or 0), max(1, int(s["parts"]))

@@ -20,6 +20,7 @@ from clusterloom.operators.kmeans import KMeansSpec, fit_many
 
 INITS = ("kmeans", "random", "k-means++")
 STAT_NUMBERS = 1 << 23
+NARROW = 16
 EPS = 10 * np.finfo(float).eps  # fixed value: added to every component weight
 
 
@@ -99,8 +100,12 @@ def _moments(x, r, shift):
     out = np.empty((k, 1 + d + d * d))
     out[:, 0] = r.sum(axis=0)
     out[:, 1 : 1 + d] = r.T @ c
-    for j in range(k):
-        out[j, 1 + d :] = ((c * r[:, j : j + 1]).T @ c).ravel()
+    if d <= NARROW:
+        # all components in one product with the row-wise outer products
+        out[:, 1 + d :] = r.T @ (c[:, :, None] * c[:, None, :]).reshape(len(c), d * d)
+    else:
+        for j in range(k):
+            out[j, 1 + d :] = ((c * r[:, j : j + 1]).T @ c).ravel()
     return out.ravel()
 
 
@@ -216,19 +221,20 @@ def _em(blocks: Blocks, models: list[MixtureModel], shift) -> None:
             return
 
         def stats(x):
-            out = []
+            parts, score = [], []
             for job in jobs:
                 joint = linalg.log_joint(x, *job)
                 total = log_total(joint)
-                out += [_moments(x, np.exp(joint - total[:, None]), shift), [total.sum()]]
-            return np.concatenate(out)
+                parts.append(np.exp(joint - total[:, None]))
+                score.append(total.sum())
+            return np.concatenate([_moments(x, np.hstack(parts), shift), score])
 
         flat = blocks.sums(stats, sum(m.spec.k * width + 1 for m in active))
         at, still, final = 0, [], []
-        for m in active:
+        for m, score in zip(active, flat[-len(active) :] / blocks.n):
             size = m.spec.k * width
-            part, score = flat[at : at + size], flat[at + size] / blocks.n
-            at += size + 1
+            part = flat[at : at + size]
+            at += size
             gain, m.avg_log_likelihood = score - m.avg_log_likelihood, float(score)
             if m in last:
                 continue  # likelihood of the final parameters
