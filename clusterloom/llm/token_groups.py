@@ -206,10 +206,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sigs = written(texts.mapInArrow(_signature_scan(k, percent, sketch), "doc_id bigint, n bigint, fp bigint, hist binary, prefix array<bigint>"))
 
     # Tokens of prefixes that more than one class has.
-    tokens = sigs.select("fp", "n", F.explode("prefix").alias("token"))
+    tokens = sigs.select("fp", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("token")
-    rows = written(tokens.join(shared, "token", "left_semi").groupBy("token", "fp").agg(F.first("n").alias("n")))
-    member = written(sigs.select("fp", "doc_id", "n", "hist").join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("hist").alias("hist")))
+    held = written(tokens.join(shared, "token", "left_semi").distinct())
+    member = written(sigs.select("fp", "doc_id", "n", "hist").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("hist").alias("hist")))
+    rows = written(held.join(member.select("fp", "n"), "fp"))
 
     def fits(n1, n2):
         return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
@@ -233,8 +234,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = written(main.join(many, "main").select("fp", "comp", F.xxhash64("main", F.pmod(F.xxhash64("fp"), F.col("blocks"))).alias("g")))
     groups = written(grouped.join(member.select("fp", "n", "hist"), "fp").groupBy("g").agg(F.collect_list(F.struct("fp", "n", "comp", "hist")).alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n")))
     matrix = written(groups.mapInArrow(_group_rows, "g bigint, row binary").join(groups.select("g", "least_n", "most_n"), "g"))
-    held = left.join(grouped.select("fp", "g"), "fp").select("token", "g").distinct()
-    met = held.alias("x").join(held.alias("y"), "token").where("x.g <= y.g").select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct()
+    in_group = left.join(grouped.select("fp", "g"), "fp").select("token", "g").distinct()
+    met = in_group.alias("x").join(in_group.alias("y"), "token").where("x.g <= y.g").select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct()
     one, two = (matrix.select(F.col("g").alias(c), F.col("least_n").alias(f"n{i}"), F.col("most_n").alias(f"m{i}"), F.col("row").alias(f"h{i}")) for c, i in (("a", 1), ("b", 2)))
     near = met.join(one, "a").join(two, "b").where(f"100 * m1 >= {percent} * n2 and 100 * m2 >= {percent} * n1").mapInArrow(_bounded(percent), "a bigint, b bigint")
     one, two = (groups.select(F.col("g").alias(c), F.col("members").alias(f"m{i}")) for c, i in (("a", 1), ("b", 2)))
