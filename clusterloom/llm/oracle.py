@@ -19,4 +19,18 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, least(d.doc_id,
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.x = d.doc_id LEFT JOIN k ON k.x = d.doc_id
 """
 
-ORACLES = {"op5_jaccard_join": OP5}
+OP3 = f"""
+WITH norm AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 10 THEN list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS t, least(len(w), 10) AS size FROM item),
+sizes AS (SELECT DISTINCT size FROM win),
+place AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM norm, sizes WHERE len(w) >= size),
+occ AS (SELECT doc_id, i, x.size, item_id FROM place x JOIN win y ON x.size = y.size AND array_to_string(w[i:i + x.size - 1], ' ') = y.t),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM occ) GROUP BY 1),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM norm LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op5_jaccard_join": OP5}

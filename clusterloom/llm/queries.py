@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import token_groups
+from clusterloom.llm import ftrl, suffix_automaton, token_groups
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -11,5 +11,13 @@ def op5_jaccard_join(spark, sf_dir):
     return token_groups.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_jaccard_join": op5_jaccard_join}
+def op3_decontamination(spark, sf_dir):
+    return suffix_automaton.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_classifier(spark, sf_dir):
+    return ftrl.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
 
