@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clusterloom.session import shared_dir
 
 #: A side of a join is broadcast only when it was counted and holds at most so many bytes.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import ftrl, suffix_automaton, token_groups
+from clusterloom.llm import bucket_pointer, crf_pii, ftrl, suffix_automaton, token_groups
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -19,5 +19,13 @@ def op9_quality_classifier(spark, sf_dir):
     return ftrl.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
+def op2_pii(spark, sf_dir):
+    return crf_pii.report(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark, sf_dir):
+    return bucket_pointer.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
 
