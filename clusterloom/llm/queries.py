@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import bucket_pointer, crf_pii, ftrl, suffix_automaton, token_groups
+from clusterloom.llm import bucket_pointer, compression, crf_pii, ftrl, suffix_automaton, token_groups
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -27,5 +27,9 @@ def op4_suffix_dedup(spark, sf_dir):
     return bucket_pointer.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
+def op8_compression_bands(spark, sf_dir):
+    return compression.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op8_compression_bands": op8_compression_bands, "op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
 
