@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import bucket_pointer, compression, crf_pii, ftrl, suffix_automaton, token_groups
+from clusterloom.llm import bucket_pointer, compression, crf_pii, ftrl, suffix_automaton, templates, token_groups
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -31,5 +31,9 @@ def op8_compression_bands(spark, sf_dir):
     return compression.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_compression_bands": op8_compression_bands, "op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
+def op10_main_text(spark, sf_dir):
+    return templates.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op8_compression_bands": op8_compression_bands, "op10_main_text": op10_main_text, "op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
 
