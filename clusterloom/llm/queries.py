@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import bucket_pointer, compression, crf_pii, ftrl, suffix_automaton, templates, token_groups
+from clusterloom.llm import bucket_pointer, compression, crf_pii, ftrl, mixing, suffix_automaton, templates, token_groups, url_model, warc
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -35,5 +35,19 @@ def op10_main_text(spark, sf_dir):
     return templates.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op8_compression_bands": op8_compression_bands, "op10_main_text": op10_main_text, "op2_pii": op2_pii, "op4_suffix_dedup": op4_suffix_dedup, "op3_decontamination": op3_decontamination, "op9_quality_classifier": op9_quality_classifier, "op5_jaccard_join": op5_jaccard_join}
+def op1_mixing(spark, sf_dir):
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
+
+def op6_url_filter(spark, sf_dir):
+    return url_model.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op7_warc_derivatives(spark, sf_dir):
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_mixing, op2_pii, op3_decontamination, op4_suffix_dedup, op5_jaccard_join, op6_url_filter, op7_warc_derivatives, op8_compression_bands, op9_quality_classifier, op10_main_text)
+}
