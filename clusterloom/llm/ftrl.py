@@ -116,20 +116,38 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return weights
 
 
+def _scores(column, weights: np.ndarray) -> np.ndarray:
+    out = [np.zeros(0)]
+    for _, texts in pieces(column):
+        bucket, value, ends = _features(texts)
+        sums = np.concatenate(([0.0], np.cumsum(weights[bucket] * value)))
+        out.append(1 / (1 + np.exp(-np.clip(sums[ends[1:]] - sums[ends[:-1]] + weights[BUCKETS], -35, 35))))
+    return np.concatenate(out)
+
+
 def _score_scan(model):
     def scan(batches):
-        weights = model.value
         for batch in batches:
-            scores = []
-            for _, texts in pieces(batch.column("text")):
-                bucket, value, ends = _features(texts)
-                sums = np.concatenate(([0.0], np.cumsum(weights[bucket] * value)))
-                scores.append(1 / (1 + np.exp(-np.clip(sums[ends[1:]] - sums[ends[:-1]] + weights[BUCKETS], -35, 35))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores) if scores else np.zeros(0))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), model.value))], ["doc_id", "score"])
 
     return scan
 
 
+def _keep_scan(model, text_col: str, threshold: float):
+    def scan(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
+            yield batch.filter(pa.array(_scores(texts, model.value) >= threshold))
+
+    return scan
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that score below the threshold."""
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(_keep_scan(docs.sparkSession.sparkContext.broadcast(weights), text_col, threshold), docs.schema)
+
+
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score in 0..1) of every document; null and empty texts get the score of the bias."""
     small_batches(docs.sparkSession)

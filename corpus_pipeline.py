@@ -1,21 +1,59 @@
-"""The corpus pipeline: documents in, a cleaned and weighted corpus out, stage by stage through written tables."""
+"""The corpus pipeline: documents in, a cleaned and weighted corpus out, stage by stage through written tables.
+
+Every stage works on all that its predecessor kept and returns the columns of documents; the last adds rates. Texts that a stage
+changes get a new n_chars. Null texts pass every stage as empty ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterloom.llm import token_groups
-from clusterloom.llm.common import table, written
+from clusterloom.llm import crf_pii, ftrl, mixing, suffix_automaton, token_groups
+from clusterloom.llm.common import small_or_shuffled, table, written
+
+#: Shares of the tokens that the mixed corpus should have.
+TARGETS = {"good": 0.95, "good_toxic": 0.04, "poor": 0.008, "poor_toxic": 0.002}
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects go."""
+    return ftrl.keep_good(docs, ftrl.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near duplicates: the document with the least id of each group of linked documents stays, whole."""
-    groups = token_groups.jaccard_components(docs)
-    return docs.join(groups.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    extra = written(token_groups.jaccard_components(docs).where("doc_id <> component_id").select("doc_id"))
+    return docs.join(small_or_shuffled(extra, 16), "doc_id", "left_anti").select(docs.columns)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: hit spans are cut out; documents hit by more than half of their words go."""
+    return _counted(suffix_automaton.decontaminate(docs, table(spark, sf_dir, "benchmark")))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; no document goes."""
+    return _counted(crf_pii.redact(docs))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: rate and n_copies of each document that is taken at least once."""
+    rates = mixing.mix(docs, mixing.label_domains(table(spark, sf_dir, "labels")), TARGETS).where("n_copies > 0").select("doc_id", "rate", "n_copies")
+    return docs.join(small_or_shuffled(written(rates), 40), "doc_id").select(*docs.columns, "rate", "n_copies")
 
 
-STAGES = [("n-gram Jaccard join", one_of_each_group)]
+STAGES = [
+    ("quality classifier", good_documents),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmarks),
+    ("personal data", without_personal_data),
+    ("mixing sources to target weights", mixed),
+]
 
 #: Trained models and span decoding have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
