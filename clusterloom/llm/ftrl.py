@@ -27,11 +27,11 @@ THRESHOLD = 0.3
 
 
 class Settings(NamedTuple):
-    alpha: float = 0.5
+    alpha: float = 4.0
     beta: float = 1.0
-    l1: float = 0.002
-    l2: float = 0.02
-    passes: int = 2
+    l1: float = 0.0003
+    l2: float = 0.002
+    passes: int = 4
     epochs: int = 2
 
 

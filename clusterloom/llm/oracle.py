@@ -1,5 +1,7 @@
 """DuckDB SQL of the text queries that SQL can express."""
 
+from clusterloom.llm import mixing, url_model, warc
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP5 = f"""
@@ -33,4 +35,110 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM norm LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
 """
 
-ORACLES = {"op3_decontamination": OP3, "op5_jaccard_join": OP5}
+
+def _quoted(text: str) -> str:
+    """A DuckDB string literal with its control characters."""
+    return "E'" + text.replace("\\", "\\\\").replace("'", "''").replace("\t", "\\t").replace("\r", "\\r").replace("\n", "\\n").replace("\f", "\\f") + "'"
+
+
+def _uuid(parts: str) -> str:
+    return f"'urn:uuid:' || regexp_replace(md5(concat_ws('|', {parts})), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
+
+
+def _plain_text(html: str) -> str:
+    for pattern, by in warc.TEXT_STEPS:
+        html = f"regexp_replace({html}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
+    for ref, by in warc.REFERENCES:
+        html = f"replace({html}, {_quoted(ref)}, {_quoted(by)})"
+    return f"regexp_replace(regexp_replace({html}, {_quoted('^[ \n]+')}, ''), {_quoted('[ \n]+$')}, '')"
+
+
+OP7 = f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT *, {_quoted("HTTP/1.1 200 OK" + warc.CRLF + "Content-Type: text/html; charset=utf-8" + warc.CRLF + "Content-Length: ")} || strlen(payload) || {_quoted(warc.CRLF * 2)} AS source_headers, 'sha256:' || sha256(payload) AS source_payload_digest FROM p),
+r AS (SELECT *, 'sha256:' || sha256(source_headers || payload) AS source_block_digest, {_uuid("'response', coalesce(page_id::VARCHAR, ''), target_uri, source_payload_digest")} AS refers_to,
+  trim(regexp_replace(regexp_extract(payload, {_quoted("(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title")}, 1), {_quoted("[ \t\r\n]+")}, ' ', 'g')) AS title,
+  regexp_extract(payload, {_quoted("(?i)<html[^>]*[ \t\r\n]lang=[\"']?([A-Za-z0-9-]+)")}, 1) AS lang,
+  len(regexp_extract_all(payload, {_quoted("(?i)<a[ \t\r\n][^>]*href")})) AS links FROM h),
+b AS (
+  SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS content_type, concat('title: ', title, {_quoted(warc.CRLF)}, 'language: ', lang, {_quoted(warc.CRLF)}, 'outlinks: ', links, {_quoted(warc.CRLF)},
+    'source-payload-digest: ', source_payload_digest, {_quoted(warc.CRLF)}, 'source-block-digest: ', source_block_digest, {_quoted(warc.CRLF)}) AS body FROM r
+  UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', {_plain_text("payload")} FROM r)
+SELECT page_id, warc_type, {_uuid("warc_type, refers_to")} AS record_id, refers_to, target_uri, '{warc.DATE}' AS date, content_type, strlen(body) AS content_length, 'sha256:' || sha256(body) AS block_digest,
+  source_payload_digest, source_block_digest, source_headers, body FROM b
+"""
+
+
+def _op6() -> str:
+    u, k = url_model, url_model.ORDER
+    rule = verdict = "NULL"
+    for h, p, v in sorted(u.RULES, key=lambda r: (len(r[0] + r[1]), r)):
+        fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+        rule, verdict = f"CASE WHEN {fits} THEN '{h}{p}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{v}' ELSE {verdict} END"
+    orders = []
+    for m in range(1, k + 2):
+        lower = ("1 / 256.0", "1 / 256.0", "") if m == 1 else ("l.pa", "l.pr", f"JOIN m{m - 1} l ON l.gram = substr(c.gram, 2)")
+        least = f"HAVING sum(a) + sum(r) >= {u.LEAST_CONTEXT if m > 1 else 0}"
+        orders.append(
+            f"m{m} AS MATERIALIZED (SELECT c.gram, (c.a + {u.SMOOTH} * {lower[0]}) / (t.na + {u.SMOOTH}) AS pa, (c.r + {u.SMOOTH} * {lower[1]}) / (t.nr + {u.SMOOTH}) AS pr FROM counts c "
+            f"JOIN (SELECT substr(gram, 1, {m - 1}) AS context, sum(a)::DOUBLE AS na, sum(r)::DOUBLE AS nr FROM counts WHERE length(gram) = {m} GROUP BY 1 {least}) t ON t.context = substr(c.gram, 1, {m - 1}) {lower[2]} WHERE length(c.gram) = {m})"
+        )
+    best = "coalesce(" + ", ".join(f"ln(x{m}.pa) - ln(x{m}.pr)" for m in range(k + 1, 0, -1)) + ", 0)"
+    joins = " ".join(f"LEFT JOIN m{m} x{m} ON i >= {m} AND x{m}.gram = substr(t, i - {m - 1}, {m})" for m in range(1, k + 2))
+    draw = "('0x' || substr(md5(page_id::VARCHAR), {}, 8))::BIGINT / 4294967296.0"
+    return f"""
+WITH s AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM s),
+base AS (SELECT *, {rule} AS rule, {verdict} AS ruled, '^' || translate(rest, '{UPPER}', '{LOWER}') || '$' AS t FROM h),
+sized AS (SELECT *, ruled IS NOT NULL AND {draw.format(1)} < {u.TRAIN_URLS} / (count(*) OVER (PARTITION BY ruled))::DOUBLE AS keep, {draw.format(9)} < 0.2 AS held FROM base),
+fitted AS (SELECT t, ruled = 'allow' AS accepted FROM sized WHERE keep AND NOT held),
+chars AS (SELECT t, accepted, unnest(range(2, length(t) + 1)) AS i FROM fitted),
+grams AS (SELECT accepted, substr(t, i - k, k + 1) AS gram FROM chars, range(0, {k + 1}) o(k) WHERE i > k),
+counts AS MATERIALIZED (SELECT gram, count(*) FILTER (accepted) AS a, count(*) FILTER (NOT accepted) AS r FROM grams GROUP BY 1),
+{", ".join(orders)},
+place AS (SELECT page_id, t, unnest(range(2, length(t) + 1)) AS i FROM base),
+scores AS (SELECT page_id, round(sum({best}) / count(*), 9) AS score FROM place {joins} GROUP BY 1),
+cut AS (SELECT coalesce(round(quantile_cont(score, {u.MISSED}), 9), 0) AS cut FROM sized JOIN scores USING (page_id) WHERE keep AND held AND ruled = 'allow')
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict, score FROM base JOIN scores USING (page_id), cut
+"""
+
+
+def _op1() -> str:
+    m, names, targets = mixing, list(mixing.TARGETS), list(mixing.TARGETS.values())
+    ks = range(len(names))
+    listed = ", ".join(f"'{d}'" for d in names)
+    draw = "('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0"
+    each = lambda f, sep=", ": sep.join(f(k) for k in ks)
+    steps = ["r0 AS MATERIALIZED (SELECT c.*, 1.0::DOUBLE AS r FROM cells c)", "t0 AS MATERIALIZED (SELECT sum(tokens)::DOUBLE AS total FROM cells)"]
+    steps.append("w AS MATERIALIZED (SELECT " + each(lambda k: f"1 / greatest(sum(tokens * (h{k} / 100.0::DOUBLE)) / any_value(total), 1e-6) AS w{k}") + " FROM cells, t0)")
+    for n in range(m.STEPS):
+        steps.append(f"g{n} AS MATERIALIZED (SELECT " + each(lambda k: f"any_value(w{k}) * (sum(tokens * (h{k} / 100.0::DOUBLE) * r) / any_value(total) - {targets[k]!r}::DOUBLE) AS g{k}") + f" FROM r{n}, t0, w)")
+        steps.append(f"r{n + 1} AS MATERIALIZED (SELECT r{n}.* REPLACE (greatest(0, r - (" + each(lambda k: f"h{k} / 100.0::DOUBLE * g{k}", " + ") + f")) AS r) FROM r{n}, g{n})")
+    return f"""
+WITH lab AS (SELECT doc_id, CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END || CASE toxic WHEN 1 THEN '_toxic' WHEN 0 THEN '' END AS domain FROM labels),
+known AS (SELECT * FROM lab WHERE domain IN ({listed})),
+chosen AS MATERIALIZED (SELECT * FROM known WHERE {draw} < {m.TRAIN_DOCS} / (SELECT greatest(count(*), 1) FROM known)::DOUBLE),
+n AS MATERIALIZED (SELECT count(*)::DOUBLE AS n, {each(lambda k: f"count(*) FILTER (domain = '{names[k]}')::DOUBLE AS n{k}")} FROM chosen),
+split AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+words AS MATERIALIZED (SELECT doc_id, substr(unnest(ws), 1, {m.WORD_LENGTH}) AS w FROM split),
+perdoc AS (SELECT doc_id, domain, w, count(*) AS c FROM words JOIN chosen USING (doc_id) GROUP BY ALL),
+counts AS (SELECT w, count(*)::DOUBLE AS seen, {each(lambda k: f"count(*) FILTER (domain = '{names[k]}')::DOUBLE AS d{k}, coalesce(sum(c) FILTER (domain = '{names[k]}'), 0) AS c{k}")} FROM perdoc GROUP BY 1),
+chi AS (SELECT counts.*, round({each(lambda k: f"CASE WHEN n{k} > 0 THEN (d{k} - seen * (n{k} / n)) * (d{k} - seen * (n{k} / n)) / (seen * (n{k} / n)) ELSE 0 END", " + ")}, 6) AS chi FROM counts, n),
+best AS MATERIALIZED (SELECT * FROM chi WHERE chi >= {m.LEAST_CHI} ORDER BY chi DESC, w LIMIT {m.WORDS}),
+tot AS MATERIALIZED (SELECT count(*) AS m, {each(lambda k: f"coalesce(sum(c{k}), 0) AS s{k}")} FROM best),
+model AS MATERIALIZED (SELECT w, {each(lambda k: f"ln((c{k} + 1.0::DOUBLE) / (s{k} + m)::DOUBLE) AS v{k}")} FROM best, tot),
+summed AS (SELECT doc_id, count(words.w) AS nt, count(v0) AS m, {each(lambda k: f"coalesce(sum(v{k}), 0) AS v{k}")} FROM split LEFT JOIN words USING (doc_id) LEFT JOIN model ON model.w = words.w GROUP BY 1),
+z AS (SELECT doc_id, nt, {each(lambda k: f"ln((n{k} + 1) / (n + {len(names)})) + v{k} * least(1.0::DOUBLE, {m.FULL_WORDS}.0::DOUBLE / greatest(m, 1)) AS v{k}")} FROM summed, n),
+e AS (SELECT doc_id, nt, {each(lambda k: f"exp(v{k} - greatest({each(lambda j: f'v{j}')})) AS v{k}")} FROM z),
+hs AS (SELECT doc_id, nt, {", ".join(f"floor(100 * v{k} / ({each(lambda j: f'v{j}', ' + ')}) + 1e-6)::INTEGER AS h{k}" for k in ks if k)} FROM e),
+post AS MATERIALIZED (SELECT *, 100 - ({" + ".join(f"h{k}" for k in ks if k)}) AS h0 FROM hs),
+cells AS MATERIALIZED (SELECT {each(lambda k: f"h{k}")}, sum(nt) AS tokens FROM post GROUP BY ALL),
+{", ".join(steps)}
+SELECT doc_id, nt AS n_tokens, {each(lambda k: f"post.h{k} / 100.0::DOUBLE AS p_{names[k]}")}, round(r, 6) AS rate, floor(round(r, 6) + {draw})::INTEGER AS n_copies
+FROM post JOIN r{m.STEPS} USING ({each(lambda k: f"h{k}")})
+"""
+
+
+OP6, OP1 = _op6(), _op1()
+
+ORACLES = {"op1_mixing": OP1, "op3_decontamination": OP3, "op5_jaccard_join": OP5, "op6_url_filter": OP6, "op7_warc_derivatives": OP7}
