@@ -183,10 +183,10 @@ def _compared(percent: int):
     return scan
 
 
-def _links(pairs: DataFrame, texts: DataFrame, member: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough; each class's text is read once, by its first document."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(member.select("fp", "doc_id"), "fp"))
-    sets = written(texts.join(small_or_shuffled(wanted, 24), "doc_id").select("fp", "text").mapInArrow(_set_scan(k), "fp bigint, tokens binary"))
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    sets = written(texts.join(small_or_shuffled(wanted, 16), "doc_id").select(F.col("doc_id").alias("fp"), "text").mapInArrow(_set_scan(k), "fp bigint, tokens binary"))
     full = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("s1")), "a").join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("s2")), "b")
     return written(full.mapInArrow(_compared(percent), "a bigint, b bigint"))
 
@@ -205,11 +205,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sketch = spark.sparkContext.broadcast(shingle_counts(texts, k))
     sigs = written(texts.mapInArrow(_signature_scan(k, percent, sketch), "doc_id bigint, n bigint, fp bigint, hist binary, prefix array<bigint>"))
 
+    # Classes of equal sets; from here on a class goes by its least document (column fp).
+    classes = sigs.groupBy("fp").agg(F.min("doc_id").alias("class_id"))
+    named = written(sigs.select("doc_id", "n", "fp").join(classes, "fp").select("doc_id", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
+    copies = written(named.where("doc_id <> class_id").select("doc_id"))
+    one_each = sigs.join(small_or_shuffled(copies, 16), "doc_id", "left_anti").withColumn("fp", F.col("doc_id"))
+
     # Tokens of prefixes that more than one class has.
-    tokens = sigs.select("fp", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("token")
-    held = written(tokens.join(shared, "token", "left_semi").distinct())
-    member = written(sigs.select("fp", "doc_id", "n", "hist").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("hist").alias("hist")))
+    tokens = one_each.select("fp", F.explode("prefix").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    held = written(tokens.join(shared, "token", "left_semi"))
+    member = written(one_each.select("fp", "n", "hist").join(held.select("fp").distinct(), "fp", "left_semi"))
     rows = written(held.join(member.select("fp", "n"), "fp"))
 
     def fits(n1, n2):
@@ -222,7 +228,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # First links: every class with the least class of each of its tokens.
     least = rows.groupBy("token").agg(F.min(F.struct("fp", "n")).alias("l"))
     star = rows.join(least, "token").where((F.col("fp") != F.col("l.fp")) & fits(F.col("n"), F.col("l.n"))).select(F.col("l.fp").alias("a"), F.col("fp").alias("b")).distinct()
-    first = _links(written(by_hist(star)), texts, member, k, percent)
+    first = _links(written(by_hist(star)), texts, k, percent)
     comp = written(components(first))
 
     # What is left: tokens that join different components. Groups are made by the commonest such token of a class.
@@ -240,18 +246,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = met.join(one, "a").join(two, "b").where(f"100 * m1 >= {percent} * n2 and 100 * m2 >= {percent} * n1").mapInArrow(_bounded(percent), "a bigint, b bigint")
     one, two = (groups.select(F.col("g").alias(c), F.col("members").alias(f"m{i}")) for c, i in (("a", 1), ("b", 2)))
     pairs = written(near.join(one, "a").join(two, "b").mapInArrow(_opened(percent), "a bigint, b bigint").distinct())
-    second = _links(pairs, texts, member, k, percent)
+    second = _links(pairs, texts, k, percent)
 
-    # Classes of equal sets, components of classes.
-    classes = sigs.groupBy("fp").agg(F.min("doc_id").alias("class_id"))
-    roots = components(first.union(second)).withColumnRenamed("node", "fp")
-    joined = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = joined.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = written(joined.join(lowest, "root").select("fp", "class_id", "component_id"))
-    alone = F.col("n") == 0
-    return sigs.select("doc_id", "n", "fp").join(named, "fp").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-    )
+    roots = components(first.union(second))
+    lowest = roots.groupBy("root").agg(F.min("node").alias("component_id"))
+    found = written(roots.join(lowest, "root").select(F.col("node").alias("class_id"), "component_id"))
+    return named.join(found, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "class_id").alias("component_id"), "class_id")
