@@ -88,11 +88,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataFr
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """The rate of a posterior after the gradient steps so far."""
-    r = F.lit(1.0)
-    for g in steps:
-        r = F.greatest(F.lit(0.0), r - sum((F.col(f"h{k}") / 100 * F.lit(x) for k, x in enumerate(g)), F.lit(0.0)))
-    return r
+    """The rate of a posterior after the gradient steps so far: one fold over an array of them, whatever their number."""
+    if not steps:
+        return F.lit(1.0)
+    taken = F.array(*(F.array(*map(F.lit, g)) for g in steps))
+    return F.aggregate(taken, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - sum((F.col(f"h{k}") / 100 * g[k] for k in range(1, len(steps[0]))), F.col("h0") / 100 * g[0])))
 
 
 def fit_rates(cells: DataFrame, targets: list[float], steps: int = STEPS) -> list[list[float]]:
