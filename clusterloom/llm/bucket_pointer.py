@@ -29,7 +29,7 @@ LENGTH = 400
 REACH = 320
 STEP = 16
 Q = LENGTH - REACH + 1
-PIECE = 1 << 21
+PIECE = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
 _SCHEMA = "doc_id bigint, p bigint, s bigint, e bigint, q bigint, o1 bigint, o2 bigint"
 
@@ -132,8 +132,8 @@ def _string_scan(batches):
 
 
 def _repeated(df: DataFrame, *keys: str) -> DataFrame:
-    """Bucket identifiers that two or more rows have."""
-    return df.groupBy(*keys).count().where("count > 1").drop("count")
+    """Bucket identifiers that two or more rows have, as a table of its own: a join with it can be split where a bucket is hot."""
+    return small_or_shuffled(written(df.groupBy(*keys).count().where("count > 1").drop("count")), 16 * len(keys))
 
 
 def _still_open(marked: DataFrame, bucket: str) -> DataFrame:
@@ -177,7 +177,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = [marked.where("whole").select("doc_id", F.col("s").alias("a"), (F.col("e") + LENGTH).alias("b"))]
 
     per_doc = written(_still_open(marked, "q").groupBy("doc_id").agg(F.collect_list(F.struct("p", "s", "e", "q")).alias("open")))
-    contexts = written(texts.join(small_or_shuffled(per_doc, 200), "doc_id").mapInArrow(_context_scan, "doc_id bigint, p bigint, s bigint, e bigint, q bigint, at bigint, context binary"))
+    contexts = written(texts.join(small_or_shuffled(per_doc, F.size("open") * 64 + 32), "doc_id").mapInArrow(_context_scan, "doc_id bigint, p bigint, s bigint, e bigint, q bigint, at bigint, context binary"))
     blocks = written(contexts.mapInArrow(_block_scan, "doc_id bigint, p bigint, b bigint, s bigint, e bigint, core bigint, o1 bigint, o2 bigint"))
     judged = _marked(blocks.join(_repeated(blocks, "core"), "core", "left_semi"))
     found.append(judged.where("whole").select("doc_id", F.col("s").alias("a"), (F.col("e") + LENGTH).alias("b")))
@@ -208,7 +208,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Null and empty texts, and those shorter than ``LENGTH`` bytes, lose nothing; equal texts lose all their bytes from that length on.
     """
     runs = written(repeated_runs(docs, id_col, text_col))
-    return text_bytes(docs, id_col, text_col).join(small_or_shuffled(runs, 80), "doc_id", "left").mapInArrow(_kept_scan, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return text_bytes(docs, id_col, text_col).join(small_or_shuffled(runs, F.size("runs") * 8 + 32), "doc_id", "left").mapInArrow(_kept_scan, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -29,10 +29,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_or_shuffled(side: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``side`` with a broadcast hint if its counted rows of ``row_bytes`` stay within ``limit``, else unchanged (the
-    join then shuffles both sides). ``side`` should be a written table: it is counted."""
-    return F.broadcast(side) if side.count() * row_bytes <= limit else side
+def small_or_shuffled(side: DataFrame, row_bytes, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``side`` with a broadcast hint if its rows of ``row_bytes`` (a number, or a column for rows of different sizes) add up to at
+    most ``limit``, else unchanged: the join then shuffles both sides, and adaptive execution may split a hot key. ``side`` should be
+    a written table, since it is measured."""
+    total = side.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(side) if total <= limit else side
 
 
 def text_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -255,7 +255,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, limits: Limits = Limits(),
         shared = docs.sparkSession.sparkContext.broadcast(Automaton(first, columns.get("window", WINDOW)))
         return docs.mapInArrow(_clean_scan(shared, text_col, limits), docs.schema)
     hit = written(contamination(docs, bench, id_col, text_col, **columns).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_col), "spans"))
-    return docs.join(small_or_shuffled(hit, 400), id_col, "left").select(*docs.columns, "spans").mapInArrow(_clean_scan(None, text_col, limits), docs.schema)
+    return docs.join(small_or_shuffled(hit, F.size("spans") * 8 + 32), id_col, "left").select(*docs.columns, "spans").mapInArrow(_clean_scan(None, text_col, limits), docs.schema)
 
 
 def report(docs: DataFrame, bench: DataFrame) -> DataFrame:

@@ -242,5 +242,5 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", id_c
     small_batches(pages.sparkSession)
     templates = written(host_templates(pages, html_col, url_col))
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(F.col(url_col)).alias("host"))
-    joined = base.join(small_or_shuffled(templates, 2000), "host", "left").select("page_id", "url", "html", "digests")
+    joined = base.join(small_or_shuffled(templates, F.size("digests") * 8 + 64), "host", "left").select("page_id", "url", "html", "digests")
     return joined.mapInArrow(_text_scan, "page_id bigint, url string, text string, n_chars bigint")

@@ -213,8 +213,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # Tokens of prefixes that more than one class has.
     tokens = one_each.select("fp", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    held = written(tokens.join(shared, "token", "left_semi"))
+    shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"))
+    held = written(tokens.join(small_or_shuffled(shared, 16), "token", "left_semi"))
     member = written(one_each.select("fp", "n", "hist").join(held.select("fp").distinct(), "fp", "left_semi"))
     rows = written(held.join(member.select("fp", "n"), "fp"))
 
