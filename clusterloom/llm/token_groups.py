@@ -212,9 +212,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one_each = sigs.join(small_or_shuffled(copies, 16), "doc_id", "left_anti").withColumn("fp", F.col("doc_id"))
 
     # Tokens of prefixes that more than one class has.
-    tokens = one_each.select("fp", F.explode("prefix").alias("token"))
-    shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"))
-    held = written(tokens.join(small_or_shuffled(shared, 16), "token", "left_semi"))
+    # The smaller set of a link has one of the common tokens among its first n - ceil(2 t n / (1 + t)) + 1, so a token that no set has there
+    # can go.
+    early = F.col("pos") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1
+    tokens = one_each.select("fp", "n", F.posexplode("prefix").alias("pos", "token"))
+    counted = tokens.select("token", early.alias("early")).groupBy("token").agg(F.count("*").alias("c"), F.max("early").alias("early"))
+    shared = written(counted.where("c > 1 AND early").select("token"))
+    tokens = tokens.select("fp", "token")
+    held = written(tokens.join(shared, "token", "left_semi"))
     member = written(one_each.select("fp", "n", "hist").join(held.select("fp").distinct(), "fp", "left_semi"))
     rows = written(held.join(member.select("fp", "n"), "fp"))
 
