@@ -6,7 +6,13 @@ import numpy as np
 
 
 def rows_of(column) -> np.ndarray:
-    """(n, d) view of an Arrow list<double> column."""
+    """(n, d) view of an Arrow list<double> column. Null vectors and vectors of different lengths are refused."""
+    if len(column):
+        if column.null_count:
+            raise ValueError("a feature vector is null")
+        widths = column.value_lengths().to_numpy(zero_copy_only=False)
+        if (widths != widths[0]).any():
+            raise ValueError(f"feature vectors have different lengths: {int(widths.min())} and {int(widths.max())}")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 

@@ -138,7 +138,7 @@ def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cl
 
 def davies_bouldin_value(centres: np.ndarray, spread: np.ndarray) -> float:
     gap = np.sqrt(linalg.direct_dists(centres, centres, "euclidean"))
-    if np.allclose(spread, 0) or np.allclose(gap, 0):
+    if not spread.any() or not gap.any():
         return 0.0
     gap[gap == 0] = np.inf
     return float(((spread[:, None] + spread[None, :]) / gap).max(axis=1).mean())
@@ -151,7 +151,10 @@ def _davies_bouldin_wide(rows: DataFrame, centroids: DataFrame) -> DataFrame:
     near = rows.join(centroids, "cluster").select(
         "cluster", "c", F.sqrt(F.aggregate(F.zip_with("f", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)).alias("dist")
     )
-    table = near.groupBy("cluster").agg(F.avg("dist").alias("s"), F.any_value("c").alias("c"))
+    table = near.groupBy("cluster").agg(F.avg("dist").alias("s"), F.any_value("c").alias("c"), F.count("*").alias("n"))
+    size = table.agg(F.count("*").alias("k"), F.sum("n").alias("n")).first()
+    if not 2 <= size["k"] < size["n"]:
+        return rows.sparkSession.createDataFrame([(None,)], "davies_bouldin double")
 
     def worst(left, right, same):
         out = []

@@ -17,6 +17,7 @@ from clusterloom.functions import columns as C
 from clusterloom.functions import linalg
 from clusterloom.operators.blocks import Blocks
 from clusterloom.operators.kmeans import KMeansSpec, fit_many
+from clusterloom.operators.prep import nan_to_zero
 
 INITS = ("kmeans", "random", "k-means++")
 STAT_NUMBERS = 1 << 23
@@ -169,6 +170,9 @@ def fit_mixture(data: DataFrame | Blocks, specs: list[MixtureSpec]) -> list[Mixt
     """Fit every spec. A spec whose covariance degenerates ends with ``error`` set; the others go on."""
     blocks = data if isinstance(data, Blocks) else Blocks(data)
     shift = blocks.sums(lambda x: x.sum(axis=0), blocks.d) / blocks.n
+    if not np.isfinite(shift).all():  # missing values count as 0
+        blocks = Blocks(blocks.rows.withColumn("features", nan_to_zero(F.col("features"))))
+        shift = blocks.sums(lambda x: x.sum(axis=0), blocks.d) / blocks.n
     models = [MixtureModel(s, blocks.n) for s in specs]
     _start(blocks, models, shift)
     width = 1 + blocks.d + blocks.d**2

@@ -1,7 +1,7 @@
 """One-to-one matching of clusters to classes with the largest total overlap.
 
-The contingency table is counted on Spark; the choice is a dynamic programme over sets of used
-classes, one grouped maximum per cluster, with at most 2^classes states.
+The contingency table is counted on Spark; the assignment runs on the counted table, whose size is checked: it has a row per
+class and cluster that meet, whatever the number of rows behind it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,43 @@ from pyspark.sql import functions as F
 
 from clusterloom.operators.evaluate import contingency
 
-MAX_CLASSES = 16
+#: Largest counted table that is matched.
+MAX_CELLS = 4_000_000
+
+
+def best_assignment(gain: list[list[int]]) -> list[int]:
+    """Column of each row so that the summed gain is largest (rows <= columns; any integers): shortest augmenting paths with potentials."""
+    rows, cols = len(gain), len(gain[0]) if gain else 0
+    u, v, owner = [0] * (rows + 1), [0] * (cols + 1), [0] * (cols + 1)
+    for r in range(1, rows + 1):
+        owner[0], at = r, 0
+        slack, came, done = [None] * (cols + 1), [0] * (cols + 1), [False] * (cols + 1)
+        while owner[at]:
+            done[at], row = True, owner[at]
+            step, to = None, 0
+            for c in range(1, cols + 1):
+                if done[c]:
+                    continue
+                cost = -gain[row - 1][c - 1] - u[row] - v[c]
+                if slack[c] is None or cost < slack[c]:
+                    slack[c], came[c] = cost, at
+                if step is None or slack[c] < step:
+                    step, to = slack[c], c
+            for c in range(cols + 1):
+                if done[c]:
+                    u[owner[c]] += step
+                    v[c] -= step
+                elif slack[c] is not None:
+                    slack[c] -= step
+            at = to
+        while at:
+            owner[at] = owner[came[at]]
+            at = came[at]
+    pick = [0] * rows
+    for c in range(1, cols + 1):
+        if owner[c]:
+            pick[owner[c] - 1] = c - 1
+    return pick
 
 
 def match_clusters(table: DataFrame) -> DataFrame:
@@ -23,29 +59,18 @@ def match_clusters(table: DataFrame) -> DataFrame:
     spark = table.sparkSession
     label_type = table.schema["label"].dataType.simpleString()
     cluster_type = table.schema["cluster"].dataType.simpleString()
-    cells = table.limit(MAX_CLASSES * 4096 + 1).collect()
-    classes = sorted({r["label"] for r in cells})
-    clusters = sorted({r["cluster"] for r in cells})
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"matching supports up to {MAX_CLASSES} classes, got {len(classes)}")
+    cells = table.limit(MAX_CELLS + 1).collect()
+    if len(cells) > MAX_CELLS:
+        raise ValueError(f"the counted table has more than {MAX_CELLS} cells")
+    classes, clusters = (sorted({r[c] for r in cells}) for c in ("label", "cluster"))
     count = {(r["cluster"], r["label"]): r["n"] for r in cells}
-    states = spark.range(1).select(F.lit(0).alias("mask"), F.lit(0).cast("bigint").alias("score"), F.array().cast("array<int>").alias("picks"))
-    for c in clusters:
-        # picks hold negated class positions, so the larger array prefers smaller classes
-        moves = [F.struct(F.col("mask"), F.col("score"), F.concat("picks", F.array(F.lit(-len(classes)))).alias("picks"))]
-        for i, label in enumerate(classes):
-            free = F.col("mask").bitwiseAND(F.lit(1 << i)) == 0
-            moves.append(F.when(free, F.struct(
-                F.col("mask").bitwiseOR(F.lit(1 << i)).alias("mask"),
-                (F.col("score") + F.lit(count.get((c, label), 0))).alias("score"),
-                F.concat("picks", F.array(F.lit(-i))).alias("picks"),
-            )))
-        step = states.select(F.explode(F.array(*moves)).alias("s")).where("s IS NOT NULL").select("s.*")
-        states = step.groupBy("mask").agg(F.max(F.struct("score", "picks")).alias("b")).select("mask", "b.*")
-    best = states.agg(F.max(F.struct("score", "picks")).alias("b")).first()["b"]
+    k, n = len(classes), len(clusters)
+    # One integer per choice: the overlap first, then the preference of the earlier clusters for smaller classes.
+    scale = (k + 1) ** n
+    gain = [[count.get((c, label), 0) * scale + (k - j) * (k + 1) ** (n - 1 - i) for j, label in enumerate(classes)] + [0] * n for i, c in enumerate(clusters)]
     rows = []
-    for c, p in zip(clusters, best["picks"]):
-        label = classes[-p] if -p < len(classes) else None
+    for c, p in zip(clusters, best_assignment(gain)):
+        label = classes[p] if p < k else None
         rows.append((c, label, count.get((c, label), 0)))
     return spark.createDataFrame(rows, f"cluster {cluster_type}, matched {label_type}, overlap bigint")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from clusterloom.operators.prep import nan_to_zero
 from clusterloom.operators import evaluate
 from clusterloom.operators.agglomerative import merge_tree
 from clusterloom.operators.blocks import Blocks
@@ -104,8 +105,8 @@ def run_tasks(name: str, df: DataFrame, tasks: list[dict], on_batch=None) -> Dat
     """Run all tasks of one dataset ``df(id, features, label)``: one result row each.
 
     Tasks of one family and space are fitted together, so pair passes, merge trees and scans are
-    shared; ``runtime`` is the family's time divided by its models. A failing family yields
-    rows with ``error`` and null scores. ``on_batch(rows)`` sees each finished family.
+    shared; ``runtime`` is the family's time divided by its models. A failing task yields a
+    row with ``error`` and null scores. ``on_batch(rows)`` sees each finished family.
     """
     spark = df.sparkSession
     base = df.select("id", F.col("features").cast("array<double>").alias("features"), "label").persist(StorageLevel.MEMORY_AND_DISK)
@@ -125,17 +126,7 @@ def run_tasks(name: str, df: DataFrame, tasks: list[dict], on_batch=None) -> Dat
             batch = [t for t in mine if family_of(t["algorithm"]) == family]
             if not batch:
                 continue
-            start = time.perf_counter()
-            try:
-                clustered, order, values = fit(space, packed, batch)
-                seconds = (time.perf_counter() - start) / len(batch)
-                scores = evaluate.suite_many(clustered, len(order)) if order else []
-                rows = []
-                for i, t in enumerate(batch):
-                    extra = {"runtime": seconds, "runtime_sec": seconds if t["session"] == "S1" else None, **values[i]}
-                    rows.append(result_row(name, t, p, width, **extra, **(scores[order.index(i)] if i in order else {})))
-            except Exception as e:  # a failed family must not stop the sweep
-                rows = [result_row(name, t, p, width, error=str(e)[:500]) for t in batch]
+            rows = _fitted_rows(name, fit, space, packed, batch, p, width)
             out += rows
             if on_batch:
                 on_batch(spark.createDataFrame([tuple(r.get(f.name) for f in RESULT_SCHEMA.fields) for r in rows], RESULT_SCHEMA))
@@ -147,6 +138,24 @@ def run_tasks(name: str, df: DataFrame, tasks: list[dict], on_batch=None) -> Dat
     return spark.createDataFrame([tuple(r.get(f.name) for f in RESULT_SCHEMA.fields) for r in out], RESULT_SCHEMA)
 
 
+def _fitted_rows(name, fit, space, packed, batch, p, width) -> list[dict]:
+    """Result rows of tasks fitted together. If that fails, each task is fitted alone, so only the faulty ones carry an error."""
+    start = time.perf_counter()
+    try:
+        clustered, order, values = fit(space, packed, batch)
+        seconds = (time.perf_counter() - start) / len(batch)
+        scores = evaluate.suite_many(clustered, len(order)) if order else []
+    except Exception as e:  # a faulty task must not stop the sweep
+        if len(batch) == 1:
+            return [result_row(name, batch[0], p, width, error=str(e))]
+        return [r for t in batch for r in _fitted_rows(name, fit, space, packed, [t], p, width)]
+    rows = []
+    for i, t in enumerate(batch):
+        extra = {"runtime": seconds, "runtime_sec": seconds if t["session"] == "S1" else None, **values[i]}
+        rows.append(result_row(name, t, p, width, **extra, **(scores[order.index(i)] if i in order else {})))
+    return rows
+
+
 def family_of(algorithm: str) -> str:
     return "FCM" if algorithm.startswith("FCM") else algorithm
 
@@ -183,6 +192,7 @@ def _agglomerative(space, packed, tasks):
 
 
 def _mixture(space, packed, tasks):
+    space = space.withColumn("features", nan_to_zero(F.col("features")))
     models = fit_mixture(packed, [MixtureSpec(t["n_clusters"], t["init_params"], seed=t["run_id"], reg_covar=t.get("reg_covar", 1e-4)) for t in tasks])
     return _by_models(space, models, [{"error": m.error} if m.error else {"bic": float(m.bic), "avg_log_likelihood": m.avg_log_likelihood} for m in models])
 
@@ -199,10 +209,19 @@ def _fekm(space, packed, tasks):
 
 
 def _kernel(space, packed, tasks):
-    fits = fit_kernel_kmeans(space, sorted({t["n_clusters"] for t in tasks}), tasks[0]["kernel"])
-    models = [fits[t["n_clusters"]] for t in tasks]
-    labels = models[0].shared.select("id", F.array(*[F.col("labels")[m.slot] for m in models]).alias("clusters"))
-    return space.join(labels, "id"), list(range(len(tasks))), [{"inertia": m.inertia} for m in models]
+    """One fit and one join per kernel."""
+    out, parts, order, values = space, [], [], [{}] * len(tasks)
+    for i, kernel in enumerate(sorted({t["kernel"] for t in tasks})):
+        mine = [j for j, t in enumerate(tasks) if t["kernel"] == kernel]
+        fits = fit_kernel_kmeans(space, sorted({tasks[j]["n_clusters"] for j in mine}), kernel)
+        models = [fits[tasks[j]["n_clusters"]] for j in mine]
+        labels = models[0].shared.select("id", F.array(*[F.col("labels")[m.slot] for m in models]).alias(f"k{i}"))
+        out = out.join(labels, "id")
+        parts.append(f"k{i}")
+        order += mine
+        for j, m in zip(mine, models):
+            values[j] = {"inertia": m.inertia}
+    return out.withColumn("clusters", F.concat(*parts)), order, values
 
 
 def _fuzzy(space, packed, tasks):

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 ATTRIBUTE = r"(?i)^\s*@attribute\s+('[^']*'|\"[^\"]*\"|\S+)\s+(.+?)\s*$"  # fixed pattern of a header line
 NUMERIC = ("numeric", "real", "integer")  # fixed values: declared numeric types
-HEADER_LINES = 20_000
 
 
 def read_attributes(spark: SparkSession, path: str) -> list[tuple[str, str]]:
@@ -22,20 +21,20 @@ def read_attributes(spark: SparkSession, path: str) -> list[tuple[str, str]]:
         lines.where(F.col("file") == first).withColumn("row", F.monotonically_increasing_id())
         .where(F.col("value").rlike(r"(?i)^\s*@attribute\s"))
         .select("row", F.regexp_extract("value", ATTRIBUTE, 1).alias("name"), F.lower(F.regexp_extract("value", ATTRIBUTE, 2)).alias("type"))
-        .orderBy("row").limit(HEADER_LINES).collect()
+        .orderBy("row").collect()
     )
     return [(r["name"].strip("'\""), "double" if r["type"] in NUMERIC else "string") for r in declared]
 
 
 def read_arff(spark: SparkSession, path: str, id_col: str | None = "id") -> DataFrame:
-    """One row per data line; ``id`` grows with file and line order."""
+    """One row per data line; ``id`` is unique and grows with the lines of a file, in no fixed order of files."""
     attrs = read_attributes(spark, path)
     if not attrs:
         raise ValueError(f"no @attribute line in {path}")
     # text first: a marker such as ? must survive until types are decided
     ddl = ", ".join(f"`{n}` string" for n, _ in attrs)
     body = spark.read.text(path).withColumn("_row", F.monotonically_increasing_id())
-    body = body.where(~F.col("value").rlike(r"^\s*(@|%|$)"))
+    body = body.where(~F.col("value").rlike(r"(?i)^\s*(@(relation|attribute)\s|@data\s*$|%|$)"))
     opts = {"quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
     rows = body.select("_row", F.from_csv("value", ddl, opts).alias("r")).select("_row", "r.*")
     typed = rows.withColumns({n: F.col(f"`{n}`").try_cast("double") for n, t in attrs if t == "double"})

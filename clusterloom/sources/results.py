@@ -42,7 +42,7 @@ def scan_results(spark: SparkSession, roots: list[str], pattern: str = "*_final_
         return None
     opts = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
     lines = spark.read.options(**opts).text(present).select("value", F.input_file_name().alias("file"))
-    heads = lines.where(F.col("value").startswith("dataset,") | F.col("value").contains(",dataset,")).groupBy("value").agg(F.collect_set("file").alias("files")).collect()
+    heads = lines.where(F.col("value").rlike(r'(^|,)\s*"?dataset"?\s*(,|$)')).groupBy("value").agg(F.collect_set("file").alias("files")).collect()
     frames = [spark.read.csv(r["files"], header=True) for r in sorted(heads, key=lambda r: r["value"])]
     return conform(unite(frames)) if frames else None
 
