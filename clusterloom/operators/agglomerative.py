@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterloom.functions import linalg
-from clusterloom.operators.pairs import block_count, block_pairs
+from clusterloom.operators.pairs import TILE_ROWS, block_count, block_pairs, tiles
 from clusterloom.operators.selection import row_numbers
 from clusterloom.session import cut_lineage
 
 LINKAGES = ("single", "complete", "average", "ward")
 METRICS = ("euclidean", "manhattan", "cosine")
 FINISH = 512  # with so few clusters left their distance matrix is model-sized
-SPLIT_ROWS = 8192  # a cluster with more rows is spread over several blocks
+SPLIT_ROWS = 2048  # a cluster with more rows is spread over several blocks
 MAPPED = 1000  # up to this many clusters are numbered by a literal map
 LOCAL_EDGES = 200_000  # forests up to this size are resolved on the driver
 
@@ -146,9 +146,15 @@ def _spanning_tree(nodes: DataFrame, n: int, metric: str, blocks: int) -> DataFr
 
     def shortest(left, right, same):
         left, right = _by_id(left), _by_id(right)
+        found = [r for pair in tiles(left, right, same) for r in in_tile(*pair)]
+        comp, other, d, a, b = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((b, a, d, comp))
+        first = order[np.unique(comp[order], return_index=True)[1]]
+        return [pa.RecordBatch.from_pydict({"comp": comp[first], "other": other[first], "d": d[first], "a": a[first], "b": b[first]})]
+
+    def in_tile(left, right, same):
         d = _dist(left["features"], right["features"], metric, same)
         d[left["comp"][:, None] == right["comp"][None, :]] = np.inf
-        out = []
         for one, other, m in ((left, right, d),) if same else ((left, right, d), (right, left, d.T)):
             j = m.argmin(axis=1)
             top = m[np.arange(len(j)), j]
@@ -157,8 +163,7 @@ def _spanning_tree(nodes: DataFrame, n: int, metric: str, blocks: int) -> DataFr
             lo, hi, comp, far, top = np.minimum(a, b), np.maximum(a, b), one["comp"][ok], other["comp"][j[ok]], top[ok]
             order = np.lexsort((hi, lo, top, comp))
             first = order[np.unique(comp[order], return_index=True)[1]]
-            out.append(pa.RecordBatch.from_pydict({"comp": comp[first], "other": far[first], "d": top[first], "a": lo[first], "b": hi[first]}))
-        return out
+            yield comp[first], far[first], top[first], lo[first], hi[first]
 
     state = nodes.select("id", "features", F.col("id").alias("comp"))
     tree, left, rnd = None, n, 0
@@ -189,9 +194,7 @@ def _mutual_merges(nodes, n, metric, linkage, blocks, finish, split_rows) -> Dat
     state = nodes.select("id", "features", "w", F.col("id").alias("cid"))
     total, left, rnd = None, n, 0
     while left > finish:
-        big = _big_clusters(state, n, split_rows)
-        near = _nearest_clusters(state, metric, linkage, blocks, big)
-        near = cut_lineage(near)
+        near = cut_lineage(_nearest_clusters(_marked(state, n, split_rows), metric, linkage, blocks, n > split_rows))
         other = near.select(F.col("cid").alias("other"), F.col("other").alias("cid"))
         mutual = near.join(other, ["cid", "other"]).where("cid < other")
         merges = cut_lineage(mutual.select(F.col("cid").alias("a"), F.col("other").alias("b"), "d").withColumn("round", F.lit(rnd)))
@@ -214,11 +217,12 @@ def _merged(state: DataFrame, merges: DataFrame, linkage: str) -> DataFrame:
     return means.select(F.col("cid").alias("id"), "features", "w", "cid")
 
 
-def _big_clusters(state: DataFrame, n: int, split_rows: int) -> list[int]:
-    """Clusters too large for one block: at most n / split_rows of them."""
+def _marked(state: DataFrame, n: int, split_rows: int) -> DataFrame:
+    """``state`` with a flag ``split`` for the rows of clusters too large for one block."""
     if n <= split_rows:
-        return []
-    return [r["cid"] for r in state.groupBy("cid").count().where(F.col("count") > split_rows).collect()]
+        return state.withColumn("split", F.lit(False))
+    big = state.groupBy("cid").count().where(F.col("count") > split_rows).select("cid", F.lit(True).alias("split"))
+    return state.join(big, "cid", "left").withColumn("split", F.coalesce("split", F.lit(False)))
 
 
 def _segments(cid: np.ndarray):
@@ -243,52 +247,88 @@ def _cluster_stats(left, right, same, metric, linkage):
     return ln, rn, stat, np.outer(np.add.reduceat(wl, ls), np.add.reduceat(wr, rs))
 
 
-def _pair_stats(state: DataFrame, metric: str, linkage: str, blocks: int, big: list[int] | None) -> DataFrame:
-    """(lo, hi, stat, ww, whole): nearest whole clusters, and partial statistics of split ones.
+def _pair_stats(state: DataFrame, metric: str, linkage: str, blocks: int) -> DataFrame:
+    """(cid, other, stat, ww, whole): nearest whole clusters, and partial statistics of the clusters flagged ``split``.
 
-    ``big`` None asks for the statistics of all cluster pairs (few clusters are left then).
+    Both are reduced inside the task, so a pair of blocks gives one row per whole cluster and one per pair with a split cluster.
     """
-    big_set = None if big is None else np.array(sorted(big), dtype=np.int64)
 
-    def emit(left, right, same):
-        left, right = _by_id(left, "cid"), _by_id(right, "cid")
+    def in_tile(left, right, same):
         ln, rn, stat, ww = _cluster_stats(left, right, same, metric, linkage)
-        eq = ln[:, None] == rn[None, :]
-        lb = np.ones(len(ln), bool) if big_set is None else np.isin(ln, big_set)
-        rb = np.ones(len(rn), bool) if big_set is None else np.isin(rn, big_set)
-        part = (lb[:, None] | rb[None, :]) & ~eq
-        if same:
-            part = np.triu(part, 1)
-        i, j = np.nonzero(part)
-        found = [(ln[i], rn[j], stat[i, j], ww[i, j], np.zeros(len(i), bool))]
-        value = np.where(eq | lb[:, None] | rb[None, :], np.inf, stat / ww)
-        for names, others, m, both in ((ln, rn, value, ww),) if same else ((ln, rn, value, ww), (rn, ln, value.T, ww.T)):
+        lb, rb = (side["split"][_segments(side["cid"])[1]] for side in (left, right))
+        apart = ln[:, None] != rn[None, :]
+        either = lb[:, None] | rb[None, :]
+        i, j = np.nonzero(np.triu(either & apart, 1) if same else either & apart)
+        parts = (np.minimum(ln[i], rn[j]), np.maximum(ln[i], rn[j]), stat[i, j], ww[i, j])
+        value = np.where(apart & ~either, stat / ww, np.inf)
+        near = []
+        for names, others, m in ((ln, rn, value),) if same else ((ln, rn, value), (rn, ln, value.T)):
             j = m.argmin(axis=1)
             i = np.nonzero(np.isfinite(m[np.arange(len(j)), j]))[0]
-            found.append((names[i], others[j[i]], m[i, j[i]], np.ones(len(i)), np.ones(len(i), bool)))
+            near.append((names[i], others[j[i]], m[i, j[i]]))
+        return parts, [np.concatenate(c) for c in zip(*near)]
+
+    def emit(left, right, same):
+        left, right = _by_id(left, "cid"), _by_id(right, "cid")
+        cuts = (_tile_cuts(side["cid"], side["split"]) for side in (left, right))
+        part, near = None, None
+        for pair in tiles(left, right, same, *cuts):
+            p, v = in_tile(*pair)
+            part = _sum_parts(p if part is None else [np.concatenate(c) for c in zip(part, p)], linkage)
+            near = _least(v if near is None else [np.concatenate(c) for c in zip(near, v)])
+        found = [(*part, np.zeros(len(part[0]), bool)), (*near, np.ones(len(near[0])), np.ones(len(near[0]), bool))]
         cols = [np.concatenate(c) for c in zip(*found)]
         return [pa.RecordBatch.from_pydict(dict(zip(("cid", "other", "stat", "ww", "whole"), cols)))]
 
-    key = F.col("cid")
-    if big:
-        key = F.when(F.col("cid").isin(big), F.col("id")).otherwise(F.col("cid"))
-    elif big is None:
-        key = F.col("id")
-    keyed = state.withColumn("k", key)
+    keyed = state.withColumn("k", F.when(F.col("split"), F.col("id")).otherwise(F.col("cid")))
     return block_pairs(keyed, emit, "cid bigint, other bigint, stat double, ww double, whole boolean", block_key="k", blocks=blocks)
 
 
+def _tile_cuts(cid: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Where rows sorted by cluster may be cut into tiles: whole clusters stay together, split ones are cut by rows."""
+    starts = np.append(_segments(cid)[1], len(cid))
+    cuts, last = [0], 0
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        if hi - last > TILE_ROWS and lo > last:
+            cuts.append(lo)
+            last = lo
+        while split[lo] and hi - last > TILE_ROWS:
+            last += TILE_ROWS
+            cuts.append(last)
+    return np.array([*cuts, len(cid)])
+
+
+def _sum_parts(cols, linkage: str):
+    """One row per pair of clusters from columns (lo, hi, stat, ww)."""
+    lo, hi, stat, ww = cols
+    if not len(lo):
+        return cols
+    order = np.lexsort((hi, lo))
+    lo, hi, stat, ww = (c[order] for c in (lo, hi, stat, ww))
+    first = np.flatnonzero(np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+    join = np.add if linkage == "average" else np.maximum
+    return lo[first], hi[first], join.reduceat(stat, first), np.add.reduceat(ww, first)
+
+
+def _least(cols):
+    """The nearest cluster of each under the order (d, smaller id, larger id)."""
+    cid, other, d = cols
+    order = np.lexsort((np.maximum(cid, other), np.minimum(cid, other), d, cid))
+    first = order[np.unique(cid[order], return_index=True)[1]]
+    return cid[first], other[first], d[first]
+
+
 def _joined_stats(parts: DataFrame, linkage: str) -> DataFrame:
     """(lo, hi, d) of cluster pairs whose statistics came in pieces."""
     total = F.sum("stat") / F.sum("ww") if linkage == "average" else F.max("stat")
     return parts.groupBy(F.least("cid", "other").alias("lo"), F.greatest("cid", "other").alias("hi")).agg(total.alias("d"))
 
 
-def _nearest_clusters(state, metric, linkage, blocks, big) -> DataFrame:
+def _nearest_clusters(state, metric, linkage, blocks, splits: bool) -> DataFrame:
     """(cid, other, d): nearest cluster of each under the order (d, smaller id, larger id)."""
-    stats = _pair_stats(state, metric, linkage, blocks, big)
+    stats = _pair_stats(state, metric, linkage, blocks)
     whole = stats.where("whole").select("cid", "other", F.col("stat").alias("d"))
-    if big:
+    if splits:
         split = _joined_stats(stats.where("NOT whole"), linkage)
         whole = whole.unionByName(split.select(F.col("lo").alias("cid"), F.col("hi").alias("other"), "d")).unionByName(
             split.select(F.col("hi").alias("cid"), F.col("lo").alias("other"), "d")
@@ -304,7 +344,7 @@ def _finish(state: DataFrame, metric: str, linkage: str, blocks: int, rnd: int)
     at = {c: i for i, c in enumerate(names)}
     w = np.array([weights[c] for c in names])
     d = np.full((len(names), len(names)), np.inf)
-    found = _joined_stats(_pair_stats(state, metric, linkage, blocks, None), linkage).toArrow()
+    found = _joined_stats(_pair_stats(state.withColumn("split", F.lit(True)), metric, linkage, blocks), linkage).toArrow()
     lo = [at[c] for c in found.column("lo").to_pylist()]
     hi = [at[c] for c in found.column("hi").to_pylist()]
     d[lo, hi] = d[hi, lo] = found.column("d").to_numpy()

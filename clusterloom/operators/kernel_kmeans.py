@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from clusterloom.functions import columns as C
 from clusterloom.functions import linalg
 from clusterloom.operators.blocks import BROADCAST_BYTES, DRIVER_BYTES, Blocks
-from clusterloom.operators.pairs import block_pairs
+from clusterloom.operators.pairs import TILE_ROWS, block_pairs
 from clusterloom.session import cut_lineage
 
 KERNELS = ("linear", "rbf")
@@ -325,6 +325,15 @@ def _lists(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(np.ascontiguousarray(m).ravel()))
 
 
+def _kernel_sums(x: np.ndarray, y: np.ndarray, delta: np.ndarray, kernel: str, gamma: float) -> np.ndarray:
+    """Kernel matrix of x and y times ``delta``, tile by tile."""
+    out = np.zeros((len(x), delta.shape[1]))
+    for a in range(0, len(x), TILE_ROWS):
+        for c in range(0, len(y), TILE_ROWS):
+            out[a : a + TILE_ROWS] += linalg.kernel(x[a : a + TILE_ROWS], y[c : c + TILE_ROWS], kernel, gamma) @ delta[c : c + TILE_ROWS]
+    return out
+
+
 def _corrected_by_blocks(ahead: DataFrame, lay: _Layout, kernel: str, gamma: float) -> DataFrame:
     """The same without sending the changed rows to every task."""
     id_type = ahead.schema["id"].dataType.simpleString()
@@ -335,7 +344,7 @@ def _corrected_by_blocks(ahead: DataFrame, lay: _Layout, kernel: str, gamma: flo
             hit = (other["lab"] != other["new"]).any(axis=1)
             if hit.any():
                 delta = lay.deltas(other["lab"][hit], other["new"][hit], other["w"][hit])
-                out.append(pa.RecordBatch.from_arrays([one["id"], _lists(linalg.kernel(one["features"], other["features"][hit], kernel, gamma) @ delta)], names=["id", "v"]))
+                out.append(pa.RecordBatch.from_arrays([one["id"], _lists(_kernel_sums(one["features"], other["features"][hit], delta, kernel, gamma))], names=["id", "v"]))
         return out
 
     slim = ahead.select("id", "features", "w", "lab", "new")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from clusterloom.functions import linalg
 
 BLOCK_BYTES = 32 << 20
+#: A task evaluates pairs tile by tile: a matrix of pair values holds TILE_ROWS x TILE_ROWS doubles (32 MiB), whatever the block size.
+TILE_ROWS = 2048
 
 
 def block_count(rows: int, width: int, cores: int) -> int:
@@ -41,6 +43,24 @@ def frame_of(batch) -> dict:
     return out
 
 
+def tiles(left: dict, right: dict, same: bool, left_cuts=None, right_cuts=None):
+    """(left tile, right tile, same) of two blocks: every pair of rows once; ``same`` blocks give each unordered pair of tiles.
+
+    Tiles begin at the given cuts (first 0, last the number of rows), or every ``TILE_ROWS`` rows.
+    """
+
+    def cut(side, cuts):
+        n = len(side["features"])
+        cuts = range(0, n + TILE_ROWS, TILE_ROWS) if cuts is None else cuts
+        return [{c: v[a:b] for c, v in side.items()} for a, b in zip(cuts[:-1], cuts[1:]) if a < n]
+
+    ones = cut(left, left_cuts)
+    others = ones if same else cut(right, right_cuts)
+    for i, one in enumerate(ones):
+        for j in range(i if same else 0, len(others)):
+            yield one, others[j], same and i == j
+
+
 def block_pairs(df: DataFrame, fn: Callable, schema: str, block_key: str = "id", blocks: int | None = None) -> DataFrame:
     """Run ``fn(left, right, same) -> [RecordBatch]`` on every unordered pair of blocks.
 

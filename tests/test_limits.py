@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from clusterloom.functions import linalg
-from clusterloom.operators import evaluate, matching
+from clusterloom.operators import agglomerative, evaluate, kernel_kmeans, matching, pairs
 from clusterloom.operators.gmm import MixtureSpec, fit_mixture
 from clusterloom.plans import grid
 from clusterloom.sources import arff, results
@@ -75,3 +75,28 @@ def test_result_files_with_any_header_order(spark, tmp_path):
         row = "d,0.5" if head[0] in 'd"' else "0.5,d"
         (tmp_path / f"r{k}_final_results_compiled.csv").write_text(f"{head}\n{row}\n")
     assert results.scan_results(spark, [str(tmp_path)]).where("dataset = 'd'").count() == 3
+
+
+def test_tiles_meet_every_pair_once():
+    n, m = 2 * pairs.TILE_ROWS + 5, pairs.TILE_ROWS + 1
+    left, right = ({"features": np.arange(k)[:, None], "id_n": np.arange(k)} for k in (n, m))
+    met = list(pairs.tiles(left, right, False))
+    assert sum(len(a["id_n"]) * len(b["id_n"]) for a, b, _ in met) == n * m and not any(s for *_, s in met)
+    met = list(pairs.tiles(left, left, True))
+    assert sum(len(a["id_n"]) * (len(a["id_n"]) - 1) // 2 if s else len(a["id_n"]) * len(b["id_n"]) for a, b, s in met) == n * (n - 1) // 2
+    assert max(len(t["id_n"]) for a, b, _ in met for t in (a, b)) <= pairs.TILE_ROWS
+
+
+def test_tiles_keep_whole_clusters_together():
+    size, t = [3, pairs.TILE_ROWS - 1, 2, 3 * pairs.TILE_ROWS + 7, 4], pairs.TILE_ROWS
+    cid, split = np.repeat(np.arange(5), size), np.repeat([False, False, False, True, False], size)
+    cuts = agglomerative._tile_cuts(cid, split)
+    assert cuts[0] == 0 and cuts[-1] == len(cid) and np.diff(cuts).max() <= t and np.diff(cuts).min() > 0
+    inner = cuts[1:-1]
+    assert all(cid[c - 1] != cid[c] or split[c] for c in inner)
+
+
+def test_kernel_sums_by_tiles():
+    rng = np.random.default_rng(5)
+    x, y, delta = rng.normal(size=(pairs.TILE_ROWS + 9, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 2))
+    assert np.allclose(kernel_kmeans._kernel_sums(x, y, delta, "rbf", 0.4), linalg.kernel(x, y, "rbf", 0.4) @ delta)
