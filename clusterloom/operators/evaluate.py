@@ -146,7 +146,7 @@ def davies_bouldin_value(centres: np.ndarray, spread: np.ndarray) -> float:
 
 def _davies_bouldin_wide(rows: DataFrame, centroids: DataFrame) -> DataFrame:
     """Many clusters: spreads by join, worst partner by a block-pair pass over the centroids."""
-    from clusterloom.operators.pairs import block_pairs
+    from clusterloom.operators.pairs import TILE_ROWS, block_pairs
 
     near = rows.join(centroids, "cluster").select(
         "cluster", "c", F.sqrt(F.aggregate(F.zip_with("f", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)).alias("dist")
@@ -159,9 +159,13 @@ def _davies_bouldin_wide(rows: DataFrame, centroids: DataFrame) -> DataFrame:
     def worst(left, right, same):
         out = []
         for one, other in ((left, right),) if same else ((left, right), (right, left)):
-            gap = np.sqrt(linalg.direct_dists(one["features"], other["features"], "euclidean"))
-            gap[gap == 0] = np.inf
-            ratio = ((one["s"][:, None] + other["s"][None, :]) / gap).max(axis=1)
+            ratio = np.zeros(len(one["s"]))
+            for a in range(0, len(one["s"]), TILE_ROWS):
+                for b in range(0, len(other["s"]), TILE_ROWS):
+                    gap = np.sqrt(linalg.direct_dists(one["features"][a : a + TILE_ROWS], other["features"][b : b + TILE_ROWS], "euclidean"))
+                    gap[gap == 0] = np.inf
+                    tile = (one["s"][a : a + TILE_ROWS, None] + other["s"][None, b : b + TILE_ROWS]) / gap
+                    ratio[a : a + TILE_ROWS] = np.maximum(ratio[a : a + TILE_ROWS], tile.max(axis=1))
             out.append(pa.RecordBatch.from_pydict({"id": one["id"], "r": ratio}))
         return out
 
