@@ -152,7 +152,8 @@ def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", dr
     """Learn types, fills, bounds, categories and class codes from the whole table.
 
     Three scans: one aggregate over all columns, one count of categorical and class values, and the
-    medians of numeric columns that have gaps. A fill never moves a bound, so bounds come early.
+    medians of numeric columns. Every column gets a fill, since later rows may have gaps where these have none.
+    A fill never moves a bound, so bounds come early.
     """
     class_col = class_column(df, class_col)
     feats = [f for f in df.schema.fields if f.name not in (class_col, id_col)]
@@ -168,8 +169,7 @@ def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", dr
     coerced = [c for c in numeric if c not in typed]
     bounds = {c: (s[f"lo_{i}"], s[f"hi_{i}"]) for i, c in enumerate(names) if c in numeric}
     clean = markers_to_null(df).withColumns({c: parsed(c) for c in coerced})
-    holed = [c for i, c in enumerate(names) if c in numeric and s[f"n_{i}"] < s["n"]]
-    fills: dict[str, object] = {c: m for c, m in medians(clean, holed).items() if m is not None}
+    fills: dict[str, object] = {c: m for c, m in medians(clean, numeric).items() if m is not None}
     counted = categorical + ([] if drop_class else [class_col])
     categories, dictionary, classes = {}, None, None
     if counted:
@@ -181,8 +181,7 @@ def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", dr
             ).collect()
         }
         for c in categorical:
-            if c not in summary or summary[c]["n"] < s["n"]:
-                fills[c] = summary[c]["mode"] if c in summary else FILL_ALL_NULL
+            fills[c] = summary[c]["mode"] if c in summary else FILL_ALL_NULL
         empty = [c for c in categorical if c not in summary]
         width = sum(summary[c]["values"] for c in categorical if c in summary) + len(empty)
         if width <= MAX_DENSE:

@@ -14,6 +14,7 @@ from clusterloom.operators.agglomerative import merge_tree
 from clusterloom.operators.blocks import Blocks
 from clusterloom.plans import grid as grids
 from clusterloom.plans import inputs, reports
+from clusterloom.plans.experiment import run_experiment
 from clusterloom.session import shared_dir
 from clusterloom.sources import arff, results
 
@@ -107,6 +108,15 @@ def prep_features(spark, d):
     return long.select("id", "label", "position", r("value", 6).alias("value"))
 
 
+def prep_new_rows(spark, d):
+    """Prepare rows with gaps by a model that was learnt on rows without any."""
+    t = inputs.table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size", "p_brand", F.col("p_type").alias("label"))
+    model = prep.fit_prep(t, class_col="label")
+    gaps = t.withColumns({"p_size": F.when(F.col("id") % 7 != 0, F.col("p_size")), "p_brand": F.when(F.col("id") % 5 != 0, F.col("p_brand"))})
+    long = model.transform(gaps).select("id", F.posexplode("features").alias("position", "value"))
+    return long.select("id", F.col("position").cast("bigint").alias("position"), r("value", 6).alias("value"))
+
+
 def prep_drop_class(spark, d):
     x, _ = prep.prepare(inputs.gapped_part(spark, d), drop_class=True)
     return x.select("id", F.size("features").alias("width"), r(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
@@ -256,9 +266,9 @@ def kernel_init(spark, d):
     return spark.createDataFrame([(j, c.id) for j, c in enumerate(chosen)], "cluster int, id bigint")
 
 
-def _kernel(kernel, k=3, iters=2):
+def _kernel(kernel, k=3, iters=2, **sizes):
     def query(spark, d):
-        return kernel_kmeans.fit_kernel_kmeans(inputs.embeddings(spark, d), [k], kernel, max_iters=iters)[k].labels
+        return kernel_kmeans.fit_kernel_kmeans(inputs.embeddings(spark, d), [k], kernel, max_iters=iters, **sizes)[k].labels
 
     return query
 
@@ -303,7 +313,7 @@ def fcm_labels(spark, d):
 
 
 def fcm_fit(spark, d):
-    models = fuzzy.fit_fuzzy(inputs.lineitem(spark, d), [fuzzy.FuzzySpec(3, 2.0, 1.0, 1, 60), fuzzy.FuzzySpec(3, 1.5, 0.5, 1, 60)])
+    models = fuzzy.fit_fuzzy(inputs.lineitem(spark, d), [fuzzy.FuzzySpec(3, 2.0, 1.0, 1), fuzzy.FuzzySpec(3, 1.5, 0.5, 1)])
     return spark.createDataFrame([(m.spec.m, m.spec.alpha, m.iterations, m.change) for m in models], "m double, alpha double, iterations int, change double")
 
 
@@ -320,33 +330,46 @@ def gmm_fit(spark, d):
     return spark.createDataFrame(rows, "component int, weight double, mean double, variance double")
 
 
+def gmm_gaps(spark, d):
+    """A mixture over values some of which are NaN (they count as 0)."""
+    x = inputs.events(spark, d)
+    x = x.withColumn("features", F.transform("features", lambda v: F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).otherwise(v)))
+    m = gmm.fit_mixture(x, [gmm.MixtureSpec(2, "random", 3, 1e-4, max_iters=3, tol=0.0)])[0]
+    rows = [(j, round(float(m.weights[j]), 6), round(float(m.means[j, 0]), 6), round(float(m.covariances[j, 0, 0]), 6)) for j in range(2)]
+    return spark.createDataFrame(rows, "component int, weight double, mean double, variance double")
+
+
 def gmm_bic(spark, d):
     m = _event_mixture(spark, d)
     return spark.createDataFrame([(round(float(m.bic), 3), round(m.avg_log_likelihood, 6))], "bic double, avg_log_likelihood double")
 
 
 def gmm_inits(spark, d):
-    models = gmm.fit_mixture(inputs.lineitem(spark, d), [gmm.MixtureSpec(3, i, 1, max_iters=20) for i in gmm.INITS])
+    models = gmm.fit_mixture(inputs.lineitem(spark, d), [gmm.MixtureSpec(3, i, 1) for i in gmm.INITS])
     rows = [(m.spec.init_params, m.iterations, float(m.bic), m.avg_log_likelihood, m.error) for m in models]
     return spark.createDataFrame(rows, "init_params string, iterations int, bic double, avg_log_likelihood double, error string")
 
 
 def gmm_predict(spark, d):
     x = inputs.lineitem(spark, d)
-    model = gmm.fit_mixture(x, [gmm.MixtureSpec(3, "k-means++", 1, max_iters=5)])[0]
+    model = gmm.fit_mixture(x, [gmm.MixtureSpec(3, "k-means++", 1)])[0]
     return model.transform(x).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
 # -- agglomerative --------------------------------------------------------------------------
 
 
-def _linked(linkage, metric="euclidean", k=10):
+def _linked(linkage, metric="euclidean", k=10, **sizes):
     def query(spark, d):
-        return merge_tree(inputs.embeddings(spark, d), metric, linkage).labels(k)
+        return merge_tree(inputs.embeddings(spark, d), metric, linkage, **sizes).labels(k)
 
     return query
 
 
+#: Merge rounds down to one cluster, with clusters split from 64 rows on: nothing is finished on the driver.
+ROUNDS = {"finish": 1, "split_rows": 64}
+
+
 # -- projection -----------------------------------------------------------------------------
 
 
@@ -389,7 +412,7 @@ def pca_then_fekm(spark, d):
     e = inputs.embeddings(spark, d)
     m, out = pca.fit_pca(e), []
     for p in grids.PCA_SIZES:
-        for (k, _), v in fekm.fit_fekm(m.transform(e, p), [2, 3, 4]).items():
+        for (k, _), v in fekm.fit_fekm(m.transform(e, p), list(grids.K_VALUES)).items():
             out.append((p, k, v.iterations, v.inertia))
     return spark.createDataFrame(out, "p int, k int, iterations int, inertia double")
 
@@ -478,6 +501,15 @@ def grid_run(spark, d):
     return out.select("session", "algorithm", "preprocessing", "n_clusters", "metric", "init_params", "ari", "purity", "davies_bouldin", "f_measure", "error")
 
 
+def experiment_resume(spark, d):
+    """All farthest-pair and K-Means tasks of the customers, stopped after one algorithm and resumed."""
+    rows = inputs.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("n"), "c_nationkey").alias("nation"), "c_acctbal", "c_mktsegment")
+    tables, out = {"customer": (rows, "c_mktsegment")}, _scratch(spark, "experiment")
+    run_experiment(tables, out, algorithms=["KMeans_FEKM"])
+    done = run_experiment(tables, out, algorithms=["KMeans_FEKM", "KMeans_Standard"])
+    return done.groupBy("dataset", "session", "algorithm", "n_clusters", "metric", "preprocessing", "n_features_orig").agg(F.count("*").alias("rows"), F.count("error").alias("errors"), F.count("purity").alias("scored"))
+
+
 def compile_results(spark, d):
     t = inputs.runs(spark, d)
     own = t.where("n_components IS NOT NULL").drop("preprocessing", "n_clusters", "linkage")
@@ -561,13 +593,16 @@ QUERIES = {
         kernel_com_distance, kernel_init, kernel_inertia, kernel_sweep, fcm_init, fcm_centres, fcm_labels, fcm_fit,
         gmm_fit, gmm_bic, gmm_inits, gmm_predict, pca_mean_cov, pca_components, pca_transform, pca_reconstruct,
         pca_variance_ratio, pca_then_fekm, contingency, confusion_normalized, davies_bouldin, metric_suite, match_clusters,
-        relabel, matched_confusion, matched_fekm, grid, grid_resume, grid_run, compile_results, run_counts, distinct_values,
+        relabel, matched_confusion, matched_fekm, grid, grid_resume, grid_run, experiment_resume, prep_new_rows, gmm_gaps, compile_results, run_counts, distinct_values,
         results_numeric, best_config, projected_points, arff_ingest, results_csv_roundtrip, results_scan,
     )},
     "kernel_kmeans_rbf": _kernel("rbf"), "kernel_kmeans_linear": _kernel("linear"),
     "fcm_membership": _fcm_memberships(2.0, 1.0), "fcm_suppressed": _fcm_memberships(1.5, 0.5),
     "agg_single": _linked("single"), "agg_complete": _linked("complete"), "agg_average": _linked("average", "cosine"),
     "agg_manhattan": _linked("complete", "manhattan"), "agg_ward": _linked("ward"),
+    "agg_complete_rounds": _linked("complete", **ROUNDS), "agg_average_rounds": _linked("average", "cosine", **ROUNDS),
+    "agg_manhattan_rounds": _linked("complete", "manhattan", **ROUNDS), "agg_ward_rounds": _linked("ward", **ROUNDS),
+    "kernel_kmeans_blocks": _kernel("rbf", broadcast_bytes=0),
     "purity": _score(evaluate.purity, "purity"), "f_measure": _score(evaluate.f_measure, "f_measure"), "ari": _score(evaluate.adjusted_rand, "ari"),
     "elbow": _curve(reports.elbow, "inertia"), "bic_curve": _curve(reports.bic_curve, "bic"),
     "linkage_effect": _curve(reports.linkage_effect, "purity"), "metric_effect": _curve(reports.metric_effect, "purity"),

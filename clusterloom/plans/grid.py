@@ -34,7 +34,7 @@ PCA_SIZES = (2, 3, 5)
 
 TASK_SCHEMA = schema(
     "session string, algorithm string, n_clusters int, metric string, linkage string, kernel string, init_params string, "
-    "param_m double, param_alpha double, run_id int, pca_dim int"
+    "param_m double, param_alpha double, reg_covar double, gamma double, run_id int, pca_dim int"
 )
 TASK_COLUMNS = TASK_SCHEMA.names
 
@@ -44,11 +44,11 @@ def fuzzy_name(alpha: float) -> str:
 
 
 def parameter_grid(ks=K_VALUES, runs: int = RUNS) -> list[tuple]:
-    """All parameter combinations for one dataset; deterministic algorithms get one run."""
+    """All parameter combinations for one dataset; deterministic algorithms get one run. ``reg_covar`` and ``gamma`` are null: the defaults."""
     out = []
 
     def add(session, algorithm, k, metric=None, linkage=None, kernel=None, init=None, m=None, alpha=None, run=None, pca=None):
-        out.append((session, algorithm, k, metric, linkage, kernel, init, m, alpha, run, pca))
+        out.append((session, algorithm, k, metric, linkage, kernel, init, m, alpha, None, None, run, pca))
 
     for k in ks:
         for linkage in AGG_LINKAGES:
@@ -87,7 +87,7 @@ def grid(datasets: DataFrame, ks=K_VALUES, runs: int = RUNS) -> DataFrame:
 
 def pending(tasks: DataFrame, results: DataFrame) -> DataFrame:
     """Tasks without a result row yet: what a restarted run still has to do."""
-    keys = ["session", "dataset", "algorithm", "n_clusters", "metric", "linkage", "kernel", "init_params", "param_m", "param_alpha", "run_id", "preprocessing"]
+    keys = ["session", "dataset", "algorithm", "n_clusters", "metric", "linkage", "kernel", "init_params", "param_m", "param_alpha", "reg_covar", "gamma", "run_id", "preprocessing"]
     named = tasks.withColumn("preprocessing", preprocessing_name(F.col("pca_dim")))
     t, r = named.alias("t"), results.select(*keys).distinct().alias("r")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
@@ -193,7 +193,7 @@ def _agglomerative(space, packed, tasks):
 
 def _mixture(space, packed, tasks):
     space = space.withColumn("features", nan_to_zero(F.col("features")))
-    models = fit_mixture(packed, [MixtureSpec(t["n_clusters"], t["init_params"], seed=t["run_id"], reg_covar=t.get("reg_covar", 1e-4)) for t in tasks])
+    models = fit_mixture(packed, [MixtureSpec(t["n_clusters"], t["init_params"], seed=t["run_id"], reg_covar=1e-4 if t.get("reg_covar") is None else t["reg_covar"]) for t in tasks])
     return _by_models(space, models, [{"error": m.error} if m.error else {"bic": float(m.bic), "avg_log_likelihood": m.avg_log_likelihood} for m in models])
 
 
@@ -209,11 +209,11 @@ def _fekm(space, packed, tasks):
 
 
 def _kernel(space, packed, tasks):
-    """One fit and one join per kernel."""
+    """One fit and one join per kernel and gamma."""
     out, parts, order, values = space, [], [], [{}] * len(tasks)
-    for i, kernel in enumerate(sorted({t["kernel"] for t in tasks})):
-        mine = [j for j, t in enumerate(tasks) if t["kernel"] == kernel]
-        fits = fit_kernel_kmeans(space, sorted({tasks[j]["n_clusters"] for j in mine}), kernel)
+    for i, (kernel, gamma) in enumerate(sorted({(t["kernel"], t.get("gamma")) for t in tasks}, key=str)):
+        mine = [j for j, t in enumerate(tasks) if (t["kernel"], t.get("gamma")) == (kernel, gamma)]
+        fits = fit_kernel_kmeans(space, sorted({tasks[j]["n_clusters"] for j in mine}), kernel, gamma=gamma)
         models = [fits[tasks[j]["n_clusters"]] for j in mine]
         labels = models[0].shared.select("id", F.array(*[F.col("labels")[m.slot] for m in models]).alias(f"k{i}"))
         out = out.join(labels, "id")

@@ -135,6 +135,11 @@ PREP = {
  UNION ALL SELECT p_partkey, 1, {rnd('(p_retailprice - lp) / (hp - lp)', 6)} FROM part, b
  UNION ALL SELECT p_partkey, CAST(br.position AS INTEGER), CASE WHEN part.p_brand = br.p_brand THEN 1.0 ELSE 0.0 END FROM part CROSS JOIN brands br""",
     "prep_features": f"WITH {PREPARED} SELECT id, CAST(label AS INTEGER) AS label, CAST(position AS INTEGER) AS position, {rnd('value', 6)} AS value FROM feats JOIN classes USING (cls)",
+    "prep_new_rows": f"""WITH b AS (SELECT min(p_size) AS ls, max(p_size) AS hs, median(p_size) AS ms FROM part),
+ brands AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS position FROM (SELECT DISTINCT p_brand FROM part)),
+ t AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS size, CASE WHEN p_partkey % 5 <> 0 THEN p_brand ELSE {mode_of('p_brand', 'part')} END AS brand FROM part)
+ SELECT id, CAST(0 AS BIGINT) AS position, {rnd('(coalesce(CAST(size AS DOUBLE), ms) - ls) / CAST(hs - ls AS DOUBLE)', 6)} AS value FROM t, b
+ UNION ALL SELECT id, CAST(br.position AS BIGINT), CASE WHEN brand = br.p_brand THEN 1.0 ELSE 0.0 END FROM t CROSS JOIN brands br""",
     "prep_drop_class": f"WITH {PREPARED} SELECT id, CAST(count(*) AS INTEGER) AS width, {rnd('sum(value)', 5)} AS total FROM feats GROUP BY id",
     "prep_nan_guard": "SELECT event_id AS id, CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value END AS a, value AS b FROM events",
     "sample_exact": f"SELECT id FROM (SELECT {LINE_KEY} AS id FROM lineitem) ORDER BY {order_hash('id', 42)}, id LIMIT 3000",
@@ -253,6 +258,7 @@ KERNEL = {
     "kernel_com_distance": with_(_kernel_ctes("rbf")) + f"SELECT i AS id, {rnd('com', 8)} AS com FROM com",
     "kernel_init": with_(_kernel_ctes("rbf")) + "SELECT CAST(cl AS INTEGER) AS cluster, z AS id FROM p2",
     "kernel_kmeans_rbf": with_(_kernel_rounds("rbf")) + "SELECT id, CAST(cl AS INTEGER) AS cluster FROM l2",
+    "kernel_kmeans_blocks": with_(_kernel_rounds("rbf")) + "SELECT id, CAST(cl AS INTEGER) AS cluster FROM l2",
     "kernel_kmeans_linear": with_(_kernel_rounds("linear")) + "SELECT id, CAST(cl AS INTEGER) AS cluster FROM l2",
     "kernel_inertia": f"SELECT * FROM ({_kernel_cost('linear')}) UNION ALL SELECT * FROM ({_kernel_cost('rbf')})",
 }
@@ -293,9 +299,9 @@ FUZZY = {
 # -- mixture of two one-dimensional components, random start with seed 3, three rounds
 
 
-def _mixture_rounds(rounds=3):
+def _mixture_rounds(rounds=3, value="value / 100.0"):
     raw = " UNION ALL ".join(f"SELECT id, v, {j} AS cl, {uniform('id', j, 3)} AS r FROM x" for j in (0, 1))
-    out = ["x AS (SELECT event_id AS id, value / 100.0 AS v FROM events)", f"r0 AS MATERIALIZED (SELECT id, v, cl, r / sum(r) OVER (PARTITION BY id) AS r FROM ({raw}))"]
+    out = [f"x AS (SELECT event_id AS id, {value} AS v FROM events)", f"r0 AS MATERIALIZED (SELECT id, v, cl, r / sum(r) OVER (PARTITION BY id) AS r FROM ({raw}))"]
     for n in range(1, rounds + 2):
         out += [
             f"p{n} AS MATERIALIZED (SELECT cl, s / sum(s) OVER () AS w, mu, ss / s - mu * mu + 1e-4 AS var FROM (SELECT cl, sum(r) + 2.220446049250313e-15 AS s, sum(r * v) / (sum(r) + 2.220446049250313e-15) AS mu, sum(r * v * v) AS ss FROM r{n - 1} GROUP BY cl))",
@@ -307,6 +313,7 @@ def _mixture_rounds(rounds=3):
 
 MIXTURE = {
     "gmm_fit": with_(_mixture_rounds()) + "SELECT CAST(cl AS INTEGER) AS component, round(w, 6) AS weight, round(mu, 6) AS mean, round(var, 6) AS variance FROM p4",
+    "gmm_gaps": with_(_mixture_rounds(value="CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value / 100.0 END")) + "SELECT CAST(cl AS INTEGER) AS component, round(w, 6) AS weight, round(mu, 6) AS mean, round(var, 6) AS variance FROM p4",
     "gmm_bic": with_(_mixture_rounds()) + "SELECT round(-2 * sum(ld) + 5 * ln(count(*)), 3) AS bic, round(avg(ld), 6) AS avg_log_likelihood FROM r4 WHERE cl = 0",
 }
 
@@ -364,6 +371,7 @@ LINKAGE = {
     "agg_single": _linkage_sql("single", "euclidean", rounds=9), "agg_complete": _linkage_sql("complete", "euclidean"),
     "agg_average": _linkage_sql("average", "cosine"), "agg_manhattan": _linkage_sql("complete", "manhattan"), "agg_ward": _linkage_sql("ward", "euclidean"),
 }
+LINKAGE |= {f"{name}_rounds": LINKAGE[name] for name in ("agg_complete", "agg_average", "agg_manhattan", "agg_ward")}
 
 # -- projection
 
@@ -456,6 +464,12 @@ _TASKS = """tk AS (SELECT * FROM (VALUES ('S1', 'Agglomerative', 9, 0), ('S1', '
  ('S3', 'Kernel_KMeans', 1, 2), ('S3', 'Kernel_KMeans', 1, 3), ('S3', 'Kernel_KMeans', 1, 5)) v(session, algorithm, per_k, p)), ds AS (SELECT DISTINCT source AS dataset FROM documents)"""
 
 REPORTS = {
+    "experiment_resume": """WITH w AS (SELECT CAST(1 + count(DISTINCT c_nationkey) AS INTEGER) AS width FROM customer), k AS (SELECT CAST(range AS INTEGER) AS k FROM range(2, 11)),
+ t AS (SELECT 'S2' AS session, 'KMeans_FEKM' AS algorithm, m AS metric, 0 AS p, 1 AS n FROM (VALUES ('euclidean'), ('manhattan')) v(m)
+  UNION ALL SELECT 'S2', 'KMeans_Standard', m, 0, 10 FROM (VALUES ('euclidean'), ('manhattan')) v(m)
+  UNION ALL SELECT 'S3', 'KMeans_FEKM', 'euclidean', p, 1 FROM (VALUES (2), (3), (5)) v(p))
+ SELECT 'customer' AS dataset, session, algorithm, k AS n_clusters, metric, CASE WHEN p = 0 THEN 'Original' ELSE 'PCA_' || p || 'D' END AS preprocessing, width AS n_features_orig,
+ CAST(n AS BIGINT) AS rows, CAST(0 AS BIGINT) AS errors, CAST(n AS BIGINT) AS scored FROM t, k, w WHERE p < width""",
     "grid": f"WITH {_TASKS} SELECT dataset, session, algorithm, CAST(sum(per_k * 9) AS BIGINT) AS tasks FROM ds CROSS JOIN tk WHERE p < length(dataset) GROUP BY dataset, session, algorithm",
     "grid_resume": f"WITH {_TASKS} SELECT dataset, algorithm, CAST(k AS INTEGER) AS n_clusters, CAST(sum(per_k) AS BIGINT) AS tasks FROM ds CROSS JOIN tk CROSS JOIN range(3, 10, 2) r(k) GROUP BY dataset, algorithm, k",
     "compile_results": f"WITH {RUNS} SELECT run_key, dataset, algorithm, n_clusters, n_components, CASE WHEN algorithm = 'GaussianMixture' THEN 'Original' ELSE coalesce(preprocessing, 'Original') END AS preprocessing, purity FROM runs",

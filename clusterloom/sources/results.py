@@ -20,7 +20,7 @@ def schema(fields: str) -> StructType:
 RESULT_SCHEMA = schema(
     "session string, dataset string, preprocessing string, algorithm string, n_clusters int, n_components int, "
     "metric string, linkage string, kernel string, init_params string, param_m double, param_alpha double, "
-    "run_id int, n_features_orig int, n_features_reduced int, inertia double, bic double, "
+    "reg_covar double, gamma double, run_id int, n_features_orig int, n_features_reduced int, inertia double, bic double, "
     "avg_log_likelihood double, runtime double, runtime_sec double, ari double, purity double, "
     "davies_bouldin double, f_measure double, error string"
 )
