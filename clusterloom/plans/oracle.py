@@ -371,7 +371,6 @@ LINKAGE = {
     "agg_single": _linkage_sql("single", "euclidean", rounds=9), "agg_complete": _linkage_sql("complete", "euclidean"),
     "agg_average": _linkage_sql("average", "cosine"), "agg_manhattan": _linkage_sql("complete", "manhattan"), "agg_ward": _linkage_sql("ward", "euclidean"),
 }
-LINKAGE |= {f"{name}_rounds": LINKAGE[name] for name in ("agg_complete", "agg_average", "agg_manhattan", "agg_ward")}
 
 # -- projection
 
