@@ -58,19 +58,21 @@ def _least_in_reach(buffer: bytes) -> np.ndarray:
 
 
 def _joined(column):
-    """Pieces of about ``PIECE`` bytes: (buffer, [(row, offset in the text, offset in the buffer, bytes)]). A longer text is cut
-    into parts that overlap by ``LENGTH`` - 1 bytes, so that each string start falls into one part."""
+    """Pieces of about ``PIECE`` bytes: (buffer, [(row, offset in the text, offset in the buffer, bytes, first and end of the own
+    starts in the buffer)]). A longer text is cut into parts; a part holds one start before its own ones and ``REACH`` after
+    them, so that it sees every run whole that begins with one of its own."""
     parts, places, size = [], [], 0
     for row in range(len(column)):
         text = column[row].as_py()
-        for at in range(0, max(1, len(text) - LENGTH + 1), PIECE):
-            part = text[at : at + PIECE + LENGTH - 1] if len(text) > PIECE else text
+        for own in range(0, max(1, len(text) - LENGTH + 1), PIECE):
+            at = max(0, own - 1)
+            part = text[at : own + PIECE + REACH + LENGTH - 1] if len(text) > PIECE else text
             if len(part) < LENGTH:
                 continue
             if size and size + len(part) > PIECE:
                 yield b"".join(parts), places
                 parts, places, size = [], [], 0
-            places.append((row, at, size, len(part)))
+            places.append((row, at, size, len(part), size + own - at, size + own - at + PIECE))
             parts.append(part)
             size += len(part)
     if parts:
@@ -82,13 +84,16 @@ def _anchor_scan(batches):
         ids = batch.column("doc_id").to_pylist()
         for buffer, places in _joined(batch.column("text")):
             least = _least_in_reach(buffer)
-            valid = np.concatenate([np.arange(off, off + n - LENGTH + 1) for _, _, off, n in places])
-            part = np.repeat(np.arange(len(places)), [n - LENGTH + 1 for *_, n in places])
+            valid = np.concatenate([np.arange(off, off + n - LENGTH + 1) for _, _, off, n, *_ in places])
+            part = np.repeat(np.arange(len(places)), [n - LENGTH + 1 for _, _, _, n, *_ in places])
             a = least[valid]
             cut = np.flatnonzero((a[1:] != a[:-1]) | (part[1:] != part[:-1])) + 1
             lo, hi = np.concatenate(([0], cut)), np.concatenate((cut - 1, [len(a) - 1]))
+            first, end = (np.array(v)[part[lo]] for v in list(zip(*places))[4:])
+            own = (valid[lo] >= first) & (valid[lo] < end)  # a run that crosses a cut belongs to the part where it begins
+            lo, hi = lo[own], hi[own]
             p, s, e, part = a[lo], valid[lo], valid[hi], part[lo]
-            shift = np.array([at - off for _, at, off, _ in places])[part]
+            shift = np.array([at - off for _, at, off, *_ in places])[part]
             rows = np.array([ids[r] for r, *_ in places])[part]
             q, o1, o2 = (np.empty(len(p), np.int64) for _ in range(3))
             for k, (x, y, z) in enumerate(zip(p.tolist(), s.tolist(), e.tolist())):

@@ -5,6 +5,7 @@ import random
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from clusterloom.llm import bucket_pointer, common, compression, crf_pii, ftrl, mixing, queries, suffix_automaton, templates, token_groups, url_model, warc
@@ -76,6 +77,45 @@ def test_repeated_bytes(docs, nothing, monkeypatch):
     assert bucket_pointer.report(nothing).count() == 0
 
 
+def _brute_repeats(raw):
+    """(bytes, bytes removed, runs, digest of the rest) of each text."""
+    seen, want = {}, {}
+    for t in raw.values():
+        for k in range(len(t) - 399):
+            seen[t[k : k + 400]] = seen.get(t[k : k + 400], 0) + 1
+    for i, t in raw.items():
+        cover, reach = [], 0
+        for k in range(len(t)):
+            if k + 400 <= len(t) and seen[t[k : k + 400]] > 1:
+                reach = k + 400
+            cover.append(k < reach)
+        want[i] = (len(t), sum(cover), sum(c and not p for c, p in zip(cover, [False, *cover])), hashlib.sha256(bytes(b for b, c in zip(t, cover) if not c)).hexdigest())
+    return want
+
+
+def test_repeated_bytes_of_cut_texts(spark, monkeypatch):
+    """Texts longer than a piece lose at a cut only what repeats; each run of starts with one anchor is one row."""
+    from pyspark import cloudpickle
+
+    rnd = random.Random(11)
+    say = lambda n: "".join(rnd.choice("abcdefghijklmnopqrst ") for _ in range(n))
+    long = say(9_000)
+    raw = {1: long, 2: say(7_000), 3: say(300) + long[480:1_300] + say(300), 4: say(5_000) + "xy" * 700, 5: say(399), 6: say(400), 7: say(501)}
+    raw = {i: t.encode() for i, t in raw.items()}
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(raw), "text": list(raw.values())})
+    rows = lambda: sorted(tuple(r.values()) for b in bucket_pointer._anchor_scan([batch]) for r in b.to_pylist())
+    whole = rows()
+    df = spark.createDataFrame([(i, bytearray(t)) for i, t in raw.items()], "doc_id bigint, text binary")
+    cloudpickle.register_pickle_by_value(bucket_pointer)  # the workers get the smaller piece too
+    try:
+        for piece in (500, 777):
+            monkeypatch.setattr(bucket_pointer, "PIECE", piece)
+            assert rows() == whole
+            assert {r.doc_id: tuple(r)[1:] for r in bucket_pointer.report(df).collect()} == _brute_repeats(raw)
+    finally:
+        cloudpickle.unregister_pickle_by_value(bucket_pointer)
+
+
 def _brute_hits(words, items):
     hit, owners = set(), set()
     for item, w in items:
