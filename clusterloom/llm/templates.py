@@ -1,7 +1,7 @@
 """Main text of web pages with site template removal.
 
-A first scan hashes element subtrees; Spark counts them per host, once per page, and subtrees that recur on many pages of a host are its
-templates. A second scan reads the text, without what by its element, role or class is no article, and deletes template subtrees.
+A first scan hashes element subtrees; Spark counts them per host, once per distinct text, and subtrees that recur on many pages of a host are
+its templates. A second scan reads the text, without what by its element, role or class is no article, and deletes template subtrees.
 
 Scale: two scans. Only hashes of subtrees that could reach the text are shuffled, with map-side counts, so a hot host is many keys. The
 templates (one row per host) are broadcast if their counted size allows it; else a join by host that adaptive execution can split.
@@ -182,7 +182,7 @@ class Page:
             return
         digest = 0
         if f.parts:
-            digest = xxhash.xxh3_64_intdigest("\x01".join([f.tag, f.name, *f.parts]).encode("utf-8", "replace")) - 2**63
+            digest = _hash("\x01".join([f.tag, f.name, *f.parts]))
             self.stack[-1].parts.append(str(digest))
         if f.soft and not f.h1 or digest in self.templates:
             del self.blocks[f.blocks :]
@@ -205,26 +205,35 @@ class Page:
         return {d for d, a, m, tag in self.subtrees if level == 3 or ((a if level == 1 else m) and tag in BOXES)}
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - 2**63
+
+
 def _host(url):
     """Host of a url: between the first :// and the next /, ? or #, in lower case."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^[^/?#]*?://([^/?#]*)", 1))
 
 
 def _digest_scan(batches):
+    """A row per page without digest, and a row per candidate; ``page`` hashes the text, so that copies count once."""
     for batch in batches:
-        host, digest = [], []
+        host, digest, page = [], [], []
         for h, source in zip(batch.column("host").to_pylist(), batch.column("html")):
-            found = Page(source.as_py() or "").candidates()
+            read = Page(source.as_py() or "")
+            found = [None, *read.candidates()]
             host += [h] * len(found)
             digest += found
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(digest, pa.int64())], ["host", "digest"])
+            page += [_hash(read.main_text())] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(page, pa.int64())], ["host", "digest", "page"])
 
 
 def host_templates(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """(host, digests): the subtrees that recur on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the pages of a host."""
+    """(host, digests): the subtrees that recur on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the pages of a host; pages
+    with the same text count as one."""
     base = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    counts = base.mapInArrow(_digest_scan, "host string, digest bigint").groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    sizes = base.groupBy("host").agg(F.count("*").alias("pages"))
+    rows = written(base.mapInArrow(_digest_scan, "host string, digest bigint, page bigint"))
+    counts = rows.where("digest IS NOT NULL").groupBy("host", "digest").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    sizes = rows.where("digest IS NULL").groupBy("host").agg(F.count_distinct("page").alias("pages"))
     return counts.join(sizes, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("digest").alias("digests"))
 
 

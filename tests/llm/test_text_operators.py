@@ -234,6 +234,18 @@ def test_main_text(spark):
     assert [g[1:] for g in got[6:]] == [("", 0), ("", 0), ("plain text", 10), ("plain text", 10)]
 
 
+def test_copies_of_pages_are_no_templates(spark):
+    """Copies, whatever their url, stay whole; what recurs on different pages beside them goes."""
+    article = "<body><nav>%s</nav><article><h1>Head</h1><p>Story</p><section>Own section</section><ul><li>Own list</ul></article>"
+    plain = "<body><h1>Plain</h1><p>Text of it</p><div>And a box</div>"
+    rows = [(k, f"http://a.org/{k}", article % k) for k in range(8)] + [(k, None, plain) for k in range(10, 18)]
+    rows += [(k, f"http://b.org/{k % 3}", f"<article><h1>N{k // 2}</h1><p>Say {k // 2}</p><section>Site box</section></article>") for k in range(20, 34)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[k] == "Head\n\nStory\n\nOwn section\n\nOwn list" for k in range(8))
+    assert all(got[k] == "Plain\n\nText of it\n\nAnd a box" for k in range(10, 18))
+    assert all(got[k] == f"N{k // 2}\n\nSay {k // 2}" for k in range(20, 34))
+
+
 def test_url_rules(spark):
     urls = ["http://a.net/x", "https://b.Example.NET/en/1", "http://example.net/de", "ftp://x.example.com/de/a?b", "http://w.org/fr/", "http://worg/fr/", "net/", None, "", "http://net", "http://a.net/x"]
     got = {r.page_id: r for r in url_model.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()}
