@@ -253,6 +253,23 @@ def test_url_rules(spark):
     assert got[1].host == "b.example.net" and got[7].host == got[6].path == "" and got[9].path == ""
 
 
+def test_url_models_learn_from_every_ruled_url(spark, monkeypatch):
+    rnd = random.Random(2)
+    name = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 9)))
+    urls = [f"http://{name()}.{('net', 'example.net', 'org', 'com')[k % 4]}/{('x', 'en', 'fr', 'de')[k % 4]}/{name()}" for k in range(600)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    learnt, train = [], url_model.train
+    monkeypatch.setattr(url_model, "TRAIN_URLS", 20)
+    monkeypatch.setattr(url_model, "train", lambda rows: learnt.append(rows.count()) or train(rows))
+    got = url_model.filter_urls(df).collect()
+    held = {k for k in range(len(urls)) if int(hashlib.md5(str(k).encode()).hexdigest()[8:16], 16) / 2**32 < 0.2}
+    assert learnt == [sum(r.rule is not None and r.page_id not in held for r in got)] and learnt[0] > 300
+    cut = sorted(r.score for r in got if r.page_id in held and r.rule in ("example.net/en/", "org/fr/"))
+    at = (len(cut) - 1) * url_model.MISSED
+    cut = cut[int(at)] + (cut[int(at) + 1] - cut[int(at)]) * (at - int(at))
+    assert all((r.verdict == "allow") == (r.score >= cut) for r in got if r.rule is None and abs(r.score - cut) > 1e-9)
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a", "<html lang=de><head><title> A  b </title></head><p>x &lt; y</p><script>no</script>z"), (2, None, None), (3, "http://c", "")]
     out = warc.report(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
