@@ -41,10 +41,26 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _counted(crf_pii.redact(docs))
 
 
+def with_every_clean(rates: DataFrame, clean: str = "good") -> DataFrame:
+    """Rates and copies by which no clean document goes; clean is a document whose likeliest domain is ``clean``.
+
+    If the rate at the highest posterior of ``clean`` is below 1, all rates are scaled so that it is 1, which leaves the mix as it is. Clean documents
+    that are still below 1, for a part posterior on another domain, are raised to one copy.
+    """
+    others = [f"p_{d}" for d in TARGETS if d != clean]
+    is_clean = F.col(f"p_{clean}") >= F.greatest(*others)
+    top = rates.where(is_clean).agg(F.max(F.struct(f"p_{clean}", "rate")).alias("top")).first()["top"]
+    scale = 1 / top["rate"] if top and 0 < top["rate"] < 1 else 1.0
+    rate = F.round(F.col("rate") * scale, 6)
+    out = rates.withColumn("rate", F.when(is_clean, F.greatest(rate, F.lit(1.0))).otherwise(rate))
+    return out.withColumn("n_copies", F.floor(F.col("rate") + mixing.draw(F.col("doc_id"))).cast("int"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: rate and n_copies of each document that is taken at least once."""
-    rates = mixing.mix(docs, mixing.label_domains(table(spark, sf_dir, "labels")), TARGETS).where("n_copies > 0").select("doc_id", "rate", "n_copies")
-    return docs.join(small_or_shuffled(written(rates), 40), "doc_id").select(*docs.columns, "rate", "n_copies")
+    """Mixing: rate and n_copies of each document that is taken at least once; every clean one is."""
+    rates = written(mixing.mix(docs, mixing.label_domains(table(spark, sf_dir, "labels")), TARGETS))
+    taken = with_every_clean(rates).where("n_copies > 0").select("doc_id", "rate", "n_copies")
+    return docs.join(small_or_shuffled(taken, 40), "doc_id").select(*docs.columns, "rate", "n_copies")
 
 
 STAGES = [
