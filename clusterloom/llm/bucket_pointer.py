@@ -6,8 +6,8 @@ the least hash (leftmost on ties) is its anchor, so equal strings have equal anc
 
 Initial buckets hold anchors with the same q-gram. A bucket is then refined by what stands at earlier and later offsets: first
 by the whole context of the run (a bucket of two or more: all its strings repeat), then, for anchors left over, by the contexts of blocks of
-``STEP`` starts, and at last by single strings. A new bucket identifier hashes the old one with the new context, so every
-refinement is used by the next. A part whose shared core is alone in its bucket is dropped at once.
+``STEP`` starts, and at last by single strings. Identifiers hash raw bytes, not the buckets of later offsets as a bucket-pointer
+sort does; the stages only narrow what the next one reads. A part whose shared core is alone in its bucket is dropped at once.
 
 Scale: the first scan reduces the text to one row of 56 bytes per some 160 bytes; buckets are counted with map-side aggregation and joined
 back by sort-merge joins that adaptive execution can split, so a bucket may hold any share of the rows. Bucket identifiers have 64 bits
