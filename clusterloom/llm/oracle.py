@@ -1,6 +1,6 @@
 """DuckDB SQL of the text queries that SQL can express."""
 
-from clusterloom.llm import mixing, url_model, warc
+from clusterloom.llm import fill_middle, mixing, url_model, variant_grams, warc
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -141,4 +141,40 @@ FROM post JOIN r{m.STEPS} USING ({each(lambda k: f"h{k}")})
 
 OP6, OP1 = _op6(), _op1()
 
-ORACLES = {"op1_mixing": OP1, "op3_decontamination": OP3, "op5_jaccard_join": OP5, "op6_url_filter": OP6, "op7_warc_derivatives": OP7}
+
+def _op11() -> str:
+    draw = lambda k: f"('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), {8 * k + 1}, 8))::BIGINT"
+    p, s, m = fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u, {draw(0)} AS h1, {draw(1)} AS h2, {draw(3)} AS h4 FROM documents),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+x AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || pre || '{s}' || suf || '{m}' || mid ELSE '{s}' || suf || '{p}' || pre || '{m}' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM x
+"""
+
+
+def _op12() -> str:
+    v = variant_grams
+    byte = "list_transform(range(1, strlen(k) + 1), lambda i: ('0x' || substr(hex(encode(k)), 2 * i - 1, 2))::BIGINT)"
+    return f"""
+WITH RECURSIVE codes AS MATERIALIZED (SELECT list(list_reduce(range(8), lambda c, s: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS code FROM range(256) r(i)),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')), '{UPPER}', '{LOWER}') AS run FROM documents),
+once AS MATERIALIZED (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run, count(*) AS c FROM runs GROUP BY 1, 2),
+crc AS (SELECT run, c, xor(list_reduce({byte}, lambda s, b: xor(s >> 8, code[(xor(s, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM once, codes),
+drawn AS (SELECT CASE WHEN h % {v.DROP_EVERY} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM crc),
+words AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM drawn WHERE length(word) >= {v.LEAST_LENGTH} GROUP BY 1 HAVING sum(c) >= {v.LEAST_COUNT}),
+cut AS MATERIALIZED (SELECT word, length(word) AS l, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.l = y.l AND x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT cut.word, w.word FROM cut JOIN words w ON w.word = cut.rest UNION SELECT w.word, cut.word FROM cut JOIN words w ON w.word = cut.rest),
+best AS (SELECT a, count(*) AS n_near, max(n) AS m, first(b ORDER BY n DESC, b) AS b FROM pairs JOIN words ON word = b GROUP BY 1),
+judged AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {v.RATIO} * n THEN b END AS form, CASE WHEN m >= {v.RATIO} * n THEN m END AS form_n FROM words LEFT JOIN best ON a = word),
+way(word, last, up) AS (SELECT word, word, form FROM judged UNION ALL SELECT way.word, j.word, j.form FROM way JOIN judged j ON j.word = way.up)
+SELECT j.word, j.form, way.last AS root, j.n, j.n_near, j.form_n FROM judged j JOIN way ON way.word = j.word AND way.up IS NULL
+"""
+
+
+OP11, OP12 = _op11(), _op12()
+
+ORACLES = {"op1_mixing": OP1, "op3_decontamination": OP3, "op5_jaccard_join": OP5, "op6_url_filter": OP6, "op7_warc_derivatives": OP7, "op11_fill_middle": OP11, "op12_spelling_variants": OP12}
