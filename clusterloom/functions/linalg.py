@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
+from clusterloom.functions.sparse import MAGIC, Csr, unpacked
 
-def rows_of(column) -> np.ndarray:
-    """(n, d) view of an Arrow list<double> column. Null vectors and vectors of different lengths are refused."""
+#: Type of a sparse feature column.
+SPARSE = "struct<size: int, positions: array<int>, values: array<double>>"
+
+
+def rows_of(column) -> np.ndarray | Csr:
+    """(n, d) view of an Arrow list<double> column, or of one of sparse vectors. Null vectors and vectors of different lengths are refused."""
+    if pa.types.is_struct(column.type):
+        if column.null_count:
+            raise ValueError("a feature vector is null")
+        size, positions, values = column.flatten()
+        widths = size.to_numpy(zero_copy_only=False)
+        if len(widths) and (widths != widths[0]).any():
+            raise ValueError(f"feature vectors have different lengths: {int(widths.min())} and {int(widths.max())}")
+        lengths = positions.value_lengths().to_numpy(zero_copy_only=False)
+        flat = (v.flatten().to_numpy(zero_copy_only=False) for v in (positions, values))
+        return Csr(np.concatenate(([0], np.cumsum(lengths))), *flat, int(widths[0]) if len(widths) else 0)
     if len(column):
         if column.null_count:
             raise ValueError("a feature vector is null")
@@ -17,8 +33,23 @@ def rows_of(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def unpack(buffer, n: int) -> np.ndarray:
+def vector(v) -> np.ndarray:
+    """A collected feature vector, sparse or not, as an array."""
+    if not hasattr(v, "positions"):
+        return np.array(v, dtype=float)
+    out = np.zeros(v.size)
+    out[v.positions] = v["values"]
+    return out
+
+
+def sq_norms(x) -> np.ndarray:
+    return x.sq_norms() if isinstance(x, Csr) else np.einsum("ij,ij->i", x, x)
+
+
+def unpack(buffer, n: int) -> np.ndarray | Csr:
     """(n, d) matrix of a packed block."""
+    if bytes(memoryview(buffer)[: len(MAGIC)]) == MAGIC:
+        return unpacked(buffer)
     return np.frombuffer(buffer, dtype=np.float64).reshape(n, -1)
 
 
@@ -28,8 +59,8 @@ def sq_dists(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     A matrix product does the bulk; entries where cancellation matters are recomputed
     from differences, so coinciding points give exactly zero.
     """
-    xx = np.einsum("ij,ij->i", x, x)[:, None]
-    cc = np.einsum("ij,ij->i", c, c)[None, :]
+    xx = sq_norms(x)[:, None]
+    cc = sq_norms(c)[None, :]
     out = xx + cc
     small = out * 1e-9
     out = out - 2.0 * (x @ c.T)
@@ -37,6 +68,10 @@ def sq_dists(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     if len(rows):
         for s in range(0, len(rows), 65536):
             r, k = rows[s : s + 65536], cols[s : s + 65536]
+            if isinstance(x, Csr):
+                for j in np.unique(k):
+                    out[r[k == j], j] = x[r[k == j]].dists(c[j : j + 1], "euclidean")[:, 0]
+                continue
             diff = x[r] - c[k]
             out[r, k] = np.einsum("ij,ij->i", diff, diff)
     return out
@@ -45,10 +80,11 @@ def sq_dists(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 def direct_dists(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     """Distances from plain differences: squared L2 for euclidean, L1 for manhattan, 1 - cos."""
     if metric == "cosine":
-        nx = np.sqrt(np.einsum("ij,ij->i", x, x))
-        nc = np.sqrt(np.einsum("ij,ij->i", c, c))
+        nx, nc = np.sqrt(sq_norms(x)), np.sqrt(sq_norms(c))
         nx[nx == 0], nc[nc == 0] = 1.0, 1.0  # a zero vector is at distance 1 from everything
         return 1.0 - (x @ c.T) / (nx[:, None] * nc[None, :])
+    if isinstance(x, Csr):
+        return x.dists(c, metric)
     out = np.empty((len(x), len(c)))
     for j in range(len(c)):
         diff = x - c[j]
@@ -68,7 +104,7 @@ def nearest(x: np.ndarray, c: np.ndarray, metric: str):
     if len(c) > 1:
         # Near-ties are decided on differences, not on the expanded form.
         second = np.partition(d, 1, axis=1)[:, 1]
-        scale = np.einsum("ij,ij->i", x, x) + np.einsum("ij,ij->i", c, c).max() + 1.0
+        scale = sq_norms(x) + sq_norms(c).max() + 1.0
         close = np.nonzero(second - low <= 1e-9 * scale)[0]
         if len(close):
             e = direct_dists(x[close], c, metric)
@@ -77,6 +113,16 @@ def nearest(x: np.ndarray, c: np.ndarray, metric: str):
     return best, np.maximum(low, 0.0)
 
 
+def own_dists(x, centres: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Euclidean distance of every row to its own centre."""
+    if not isinstance(x, Csr):
+        return np.sqrt(((x - centres[j]) ** 2).sum(axis=1))
+    out = np.empty(len(x))
+    for c in np.unique(j):
+        out[j == c] = np.sqrt(x[j == c].dists(centres[c : c + 1], "euclidean")[:, 0])
+    return out
+
+
 def group_sums(x: np.ndarray, labels: np.ndarray, k: int, weights=None) -> np.ndarray:
     """(k, 1 + d): weight and weighted feature sums of each group."""
     hot = np.zeros((len(x), k))

@@ -4,33 +4,40 @@ The tree is built in rounds that merge many clusters at once, and is cut afterwa
 serves every number of clusters. Distances are evaluated block against block and reduced in the
 task (per row or per cluster); no table of row pairs exists at any time.
 
-* single: Boruvka rounds, every component takes its shortest outgoing edge -> spanning tree;
-* the others are reducible: all mutually nearest clusters may merge in the same round.
+* single: Boruvka rounds, every component takes its shortest outgoing edge -> spanning tree. Rows are grouped in balls once, and blocks
+  that lie in one component or are too far apart do not meet;
+* the others are reducible: all mutually nearest clusters may merge in the same round. Their distances are kept in a table with a row
+  per cluster, so that a round updates rows by the recurrence of the linkage instead of measuring again. It takes 8 bytes a pair of
+  distinct rows (100,000 rows: 80 GB) on the shared folder.
 """
 
 from __future__ import annotations
 
+import logging
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterloom.functions import linalg
-from clusterloom.operators.pairs import TILE_ROWS, block_count, block_pairs, tiles
+from clusterloom.operators.kmeans import random_rows
+from clusterloom.operators.pairs import balls, block_count, block_pairs, frame_of, tiles
 from clusterloom.operators.selection import row_numbers
 from clusterloom.session import cut_lineage
 
 LINKAGES = ("single", "complete", "average", "ward")
 METRICS = ("euclidean", "manhattan", "cosine")
-FINISH = 512  # with so few clusters left their distance matrix is model-sized
-SPLIT_ROWS = 2048  # a cluster with more rows is spread over several blocks
+FINISH = 2048  # with so few clusters left one task merges them one by one (a distance matrix of 32 MiB)
+BATCH_BYTES = 16 << 20
+BALLS, ROWS_PER_BALL = 64, 16
 MAPPED = 1000  # up to this many clusters are numbered by a literal map
 LOCAL_EDGES = 200_000  # forests up to this size are resolved on the driver
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class MergeTree:
@@ -38,35 +45,56 @@ class MergeTree:
     nodes: DataFrame  # (id, features) distinct
     n_nodes: int
     edges: DataFrame  # (a, b, d, round): n_nodes - 1 merges
+    n_rows: int
 
     def labels(self, k: int) -> DataFrame:
-        """(id, cluster) after undoing the last k - 1 merges; clusters are numbered by smallest id."""
+        """(id, cluster) after undoing the last k - 1 merges; clusters are numbered by smallest id.
+
+        Copies of a row merge before everything else, so that they come apart, those of the largest ids first, only where ``k``
+        exceeds the number of distinct rows.
+        """
         return self.labels_many([k]).select("id", F.col("clusters")[0].alias("cluster"))
 
     def labels_many(self, ks: list[int]) -> DataFrame:
         """(id, clusters): one cluster number per k, with a single join to the rows."""
+        for k in ks:
+            if not 1 <= k <= self.n_rows:
+                raise ValueError(f"{k} clusters asked from {self.n_rows} rows")
         coded = self.nodes
         for i, k in enumerate(ks):
-            coded = coded.join(self._numbered(k, f"c{i}"), "id")
-        coded = coded.select("features", F.array(*[f"c{i}" for i in range(len(ks))]).alias("clusters"))
-        return self.rows.join(coded, "features").select("id", "clusters")
+            if k <= self.n_nodes:
+                coded = coded.join(self._numbered(k, f"c{i}"), "id")
+        out = self.rows.join(coded.withColumnRenamed("id", "node"), "features").drop("features")
+        for i, k in enumerate(ks):
+            if k > self.n_nodes:
+                out = out.join(self._apart(k, f"c{i}"), "id")
+        return out.select("id", F.array(*[f"c{i}" for i in range(len(ks))]).alias("clusters"))
 
     def _numbered(self, k: int, name: str) -> DataFrame:
-        if not 1 <= k <= self.n_nodes:
-            raise ValueError(f"{k} clusters asked from {self.n_nodes} distinct rows")
         last = self.edges.orderBy(F.desc("d"), F.desc("round"), F.desc("a"), F.desc("b")).limit(k - 1).select("a", "b")
         kept = self.edges.join(F.broadcast(last) if k <= LOCAL_EDGES else last, ["a", "b"], "left_anti") if k > 1 else self.edges
         found = components(kept.select("a", "b"))
-        roots = self.nodes.select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
-        if k <= MAPPED:
-            names = sorted(r["root"] for r in roots.select("root").distinct().collect())
-            code = F.create_map(*[F.lit(v) for i, r in enumerate(names) for v in (r, i)])
-            return roots.select("id", code[F.col("root")].alias(name))
-        numbers = row_numbers(roots.select("root").distinct(), ["root"], name)
-        return roots.join(numbers, "root").select("id", F.col(name).cast("int").alias(name))
+        return _coded(self.nodes.select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")), k, name)
+
+    def _apart(self, k: int, name: str) -> DataFrame:
+        """(id, name): every distinct row a cluster of its own, and ``k - n_nodes`` copies too."""
+        rows = self.rows.join(self.nodes.withColumnRenamed("id", "node"), "features").select("id", "node")
+        single = rows.where("id != node").orderBy(F.desc("node"), F.desc("id")).limit(k - self.n_nodes).select("id", F.lit(True).alias("single"))
+        return _coded(rows.join(single, "id", "left").select("id", F.when(F.col("single"), F.col("id")).otherwise(F.col("node")).alias("root")), k, name)
+
 
+def _coded(roots: DataFrame, k: int, name: str) -> DataFrame:
+    """(id, name): roots (id, root) numbered in their order; there are ``k`` of them."""
+    if k <= MAPPED:
+        names = sorted(r["root"] for r in roots.select("root").distinct().collect())
+        code = F.create_map(*[F.lit(v) for i, r in enumerate(names) for v in (r, i)])
+        return roots.select("id", code[F.col("root")].alias(name))
+    numbers = row_numbers(roots.select("root").distinct(), ["root"], name)
+    return roots.join(numbers, "root").select("id", F.col(name).cast("int").alias(name))
 
-def merge_tree(df: DataFrame, metric: str = "euclidean", linkage: str = "complete", finish: int = FINISH, split_rows: int = SPLIT_ROWS) -> MergeTree:
+
+def merge_tree(df: DataFrame, metric: str = "euclidean", linkage: str = "complete", finish: int = FINISH) -> MergeTree:
+    """The tree of all merges. Rounds of merges go on until ``finish`` clusters are left, which one task then merges one by one."""
     if linkage not in LINKAGES or metric not in METRICS:
         raise ValueError(f"linkage must be one of {LINKAGES} and metric one of {METRICS}")
     if linkage == "ward" and metric != "euclidean":
@@ -75,13 +103,13 @@ def merge_tree(df: DataFrame, metric: str = "euclidean", linkage: str = "complet
     nodes = cut_lineage(
         rows.groupBy("features").agg(F.min("id").alias("id"), F.count("*").cast("double").alias("w")).select("id", "features", "w")
     )
-    s = nodes.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("d")).first()
+    s = nodes.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("d"), F.sum("w").alias("w")).first()
     blocks = block_count(s["n"], s["d"] or 1, df.sparkSession.sparkContext.defaultParallelism)
     if linkage == "single":
-        edges = _spanning_tree(nodes, s["n"], metric, blocks)
+        edges = _spanning_tree(nodes, s["n"], metric, finish)
     else:
-        edges = _mutual_merges(nodes, s["n"], metric, linkage, blocks, finish, split_rows)
-    return MergeTree(rows, nodes.select("id", "features"), s["n"], edges)
+        edges = _mutual_merges(nodes, s["n"], metric, linkage, blocks, finish)
+    return MergeTree(rows, nodes.select("id", "features"), s["n"], edges, int(s["w"] or 0))
 
 
 class Agglomerative:
@@ -140,10 +168,24 @@ def _dist(x, y, metric, same):
     return np.triu(d, 1) + np.triu(d, 1).T if same else d  # one value per unordered pair
 
 
-def _spanning_tree(nodes: DataFrame, n: int, metric: str, blocks: int) -> DataFrame:
-    """n - 1 edges (a, b, d, round) of the minimum spanning tree under the order (d, a, b)."""
+_LINKS = "comp bigint, other bigint, d double, a bigint, b bigint"
+
+
+def _spanning_tree(nodes: DataFrame, n: int, metric: str, finish: int, n_balls: int = BALLS) -> DataFrame:
+    """n - 1 edges (a, b, d, round) of the minimum spanning tree under the order (d, a, b).
+
+    Rows lie in balls and stay there; a round joins only their component to them. Within blocks every component finds a first outgoing edge. Two blocks
+    meet if they are not of one component and their balls come nearer than the longest such edge of a component in either.
+    """
     spark = nodes.sparkSession
 
+    def points(block: pa.Table) -> pa.Table:
+        side = _by_id(frame_of(block))
+        return _edge_table(_by_prim(side["id_n"], _dist(side["features"], side["features"], metric, True)))
+
+    if n <= max(finish, 1):
+        return cut_lineage(nodes.select("id", "features").groupBy().applyInArrow(points, _EDGES))
+
     def shortest(left, right, same):
         left, right = _by_id(left), _by_id(right)
         found = [r for pair in tiles(left, right, same) for r in in_tile(*pair)]
@@ -165,19 +207,61 @@ def _spanning_tree(nodes: DataFrame, n: int, metric: str, blocks: int) -> DataFr
             first = order[np.unique(comp[order], return_index=True)[1]]
             yield comp[first], far[first], top[first], lo[first], hi[first]
 
-    state = nodes.select("id", "features", F.col("id").alias("comp"))
-    tree, left, rnd = None, n, 0
+    # cosine distances are half the squared distances of unit vectors; manhattan distances are never below Euclidean ones
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, v: s + v * v))
+    by = F.when(norm > 0, F.transform("features", lambda v: v / norm)).otherwise(F.col("features")) if metric == "cosine" else F.col("features")
+    placed = cut_lineage(nodes.select("id", "features", by.alias("by")))
+    around = balls(placed, np.array([f for _, f in random_rows(placed, max(1, min(n // ROWS_PER_BALL, n_balls)), 0, features="by")]), by="by")
+    low = around.nearest() ** 2 / 2 if metric == "cosine" else around.nearest()
+    rows = cut_lineage(around.rows.select("id", "features", "_b"))
+    comps = rows.select("id", "_b", F.col("id").alias("comp"))
+    key = F.struct("d", "a", "b")
+    tree, left = None, n
     while left > 1:
-        best = block_pairs(state, shortest, "comp bigint, other bigint, d double, a bigint, b bigint", blocks=blocks)
-        key = F.struct("d", "a", "b")
+        state = rows.join(comps.select("id", "comp"), "id")
+        within = cut_lineage(block_pairs(state, shortest, _LINKS, met=np.eye(len(low), dtype=bool)))
+        reach = within.groupBy("comp").agg(F.min("d").alias("reach"))
+        of_block = comps.join(reach, "comp", "left").groupBy("_b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.coalesce("reach", F.lit(float("inf")))).alias("reach"))
+        met = _open_pairs(low, of_block.collect())
+        log.info("spanning tree: %d components, %d of %d row copies", left, around.copies(met), around.copies(np.ones_like(met)))
+        best = within.unionByName(block_pairs(state, shortest, _LINKS, met=met)) if met.any() else within
         picked = cut_lineage(best.groupBy("comp").agg(F.min_by(F.struct("other", "d", "a", "b"), key).alias("e")).select("comp", "e.*"))
-        edges = picked.select("a", "b", "d").distinct().withColumn("round", F.lit(rnd))
+        edges = picked.select("a", "b", "d").distinct().withColumn("round", F.lit(0))
         tree = edges if tree is None else tree.unionByName(edges)
         joined = components(picked.select(F.col("comp").alias("a"), F.col("other").alias("b")))
-        state = cut_lineage(state.join(joined, F.col("comp") == F.col("node")).select("id", "features", F.col("root").alias("comp")))
+        comps = cut_lineage(comps.join(joined, F.col("comp") == F.col("node")).select("id", "_b", F.col("root").alias("comp")))
         left -= edges.count()
-        rnd += 1
-    return tree if tree is not None else spark.createDataFrame([], "a bigint, b bigint, d double, round int")
+    return tree
+
+
+def _open_pairs(low: np.ndarray, blocks: list) -> np.ndarray:
+    """Flags of the pairs of different blocks that may hold a shortest outgoing edge; ``blocks`` (a row each): least and largest component, longest first edge."""
+    reach, lo, hi = np.full(len(low), -1.0), np.full(len(low), -1), np.full(len(low), -2)
+    for r in blocks:
+        reach[r["_b"]], lo[r["_b"]], hi[r["_b"]] = r["reach"], r["lo"], r["hi"]
+    met = low <= np.maximum(reach[:, None], reach[None, :])
+    one = lo == hi
+    met &= ~(one[:, None] & one[None, :] & (lo[:, None] == lo[None, :]))
+    met &= (reach >= 0)[:, None] & (reach >= 0)[None, :]
+    np.fill_diagonal(met, False)
+    return met
+
+
+def _by_prim(names: np.ndarray, d: np.ndarray) -> list[tuple]:
+    """Minimum spanning tree of a distance matrix under the order (d, smaller name, larger name); names rise."""
+    n = len(names)
+    best, src, inside = d[0].copy(), np.zeros(n, int), np.zeros(n, bool)
+    best[0], inside[0] = np.inf, True
+    out = []
+    for _ in range(n - 1):
+        tied = np.flatnonzero(~inside & (best == best[~inside].min()))
+        j = int(min(tied, key=lambda v: (min(v, src[v]), max(v, src[v]))))
+        i = int(src[j])
+        out.append((int(names[min(i, j)]), int(names[max(i, j)]), float(best[j]), 0))
+        inside[j] = True
+        nearer = ~inside & ((d[j] < best) | ((d[j] == best) & (j < src)))
+        best[nearer], src[nearer] = d[j][nearer], j
+    return out
 
 
 def _by_id(side: dict, key: str = "id") -> dict:
@@ -188,179 +272,207 @@ def _by_id(side: dict, key: str = "id") -> dict:
     return out
 
 
-def _mutual_merges(nodes, n, metric, linkage, blocks, finish, split_rows) -> DataFrame:
-    """n - 1 merges (a, b, d, round); a cluster is named by its smallest id and a absorbs b."""
-    spark = nodes.sparkSession
-    state = nodes.select("id", "features", "w", F.col("id").alias("cid"))
-    total, left, rnd = None, n, 0
-    while left > finish:
-        near = cut_lineage(_nearest_clusters(_marked(state, n, split_rows), metric, linkage, blocks, n > split_rows))
-        other = near.select(F.col("cid").alias("other"), F.col("other").alias("cid"))
-        mutual = near.join(other, ["cid", "other"]).where("cid < other")
-        merges = cut_lineage(mutual.select(F.col("cid").alias("a"), F.col("other").alias("b"), "d").withColumn("round", F.lit(rnd)))
-        total = merges if total is None else total.unionByName(merges)
-        left -= merges.count()
-        state = cut_lineage(_merged(state, merges, linkage))
-        rnd += 1
-    tail = _finish(state, metric, linkage, blocks, rnd) if left > 1 else []
-    rest = spark.createDataFrame(tail, "a bigint, b bigint, d double, round int")
-    return rest if total is None else cut_lineage(total.unionByName(rest))
-
-
-def _merged(state: DataFrame, merges: DataFrame, linkage: str) -> DataFrame:
-    moved = state.join(merges.select(F.col("b").alias("cid"), "a"), "cid", "left").withColumn("cid", F.coalesce("a", "cid")).drop("a")
-    if linkage != "ward":
-        return moved.select("id", "features", "w", "cid")
-    # Ward needs only sizes and centroids: one row per cluster
-    v = array_to_vector(F.col("features"))
-    means = moved.groupBy("cid").agg(vector_to_array(Summarizer.mean(v, F.col("w"))).alias("features"), F.sum("w").alias("w"))
-    return means.select(F.col("cid").alias("id"), "features", "w", "cid")
-
-
-def _marked(state: DataFrame, n: int, split_rows: int) -> DataFrame:
-    """``state`` with a flag ``split`` for the rows of clusters too large for one block."""
-    if n <= split_rows:
-        return state.withColumn("split", F.lit(False))
-    big = state.groupBy("cid").count().where(F.col("count") > split_rows).select("cid", F.lit(True).alias("split"))
-    return state.join(big, "cid", "left").withColumn("split", F.coalesce("split", F.lit(False)))
-
-
-def _segments(cid: np.ndarray):
-    names, starts = np.unique(cid, return_index=True)
-    return names, starts
-
-
-def _cluster_stats(left, right, same, metric, linkage):
-    """Cluster-by-cluster statistic of two blocks sorted by cluster: names, statistic, weight product."""
-    d = _dist(left["features"], right["features"], metric, same)
-    ln, ls = _segments(left["cid"])
-    rn, rs = _segments(right["cid"])
+# -- linkages with a table of cluster distances ------------------------------------------------
+
+
+def _joined(linkage: str, x, y, wx, wy, wc, height):
+    """Distance of clusters of weight ``wc`` to the union of two at distance ``height``, from their distances ``x`` and ``y`` to either."""
     if linkage == "complete":
-        stat = np.maximum.reduceat(np.maximum.reduceat(d, rs, axis=1), ls, axis=0)
-        return ln, rn, stat, np.ones_like(stat)
-    wl, wr = left["w"], right["w"]
-    if linkage == "ward":
-        stat = d * np.sqrt(2.0 * wl[:, None] * wr[None, :] / (wl[:, None] + wr[None, :]))
-        return ln, rn, stat, np.ones_like(stat)
-    weighted = d * wl[:, None] * wr[None, :]
-    stat = np.add.reduceat(np.add.reduceat(weighted, rs, axis=1), ls, axis=0)
-    return ln, rn, stat, np.outer(np.add.reduceat(wl, ls), np.add.reduceat(wr, rs))
+        return np.maximum(x, y)
+    if linkage == "average":
+        return (wx * x + wy * y) / (wx + wy)
+    return np.sqrt(np.maximum(((wx + wc) * x**2 + (wy + wc) * y**2 - wc * height**2) / (wx + wy + wc), 0.0))
 
 
-def _pair_stats(state: DataFrame, metric: str, linkage: str, blocks: int) -> DataFrame:
-    """(cid, other, stat, ww, whole): nearest whole clusters, and partial statistics of the clusters flagged ``split``.
+def _first_dists(x, y, wx, wy, metric, linkage, same=False):
+    d = _dist(x, y, metric, same)
+    return d * np.sqrt(2.0 * wx[:, None] * wy[None, :] / (wx[:, None] + wy[None, :])) if linkage == "ward" else d
 
-    Both are reduced inside the task, so a pair of blocks gives one row per whole cluster and one per pair with a split cluster.
-    """
 
-    def in_tile(left, right, same):
-        ln, rn, stat, ww = _cluster_stats(left, right, same, metric, linkage)
-        lb, rb = (side["split"][_segments(side["cid"])[1]] for side in (left, right))
-        apart = ln[:, None] != rn[None, :]
-        either = lb[:, None] | rb[None, :]
-        i, j = np.nonzero(np.triu(either & apart, 1) if same else either & apart)
-        parts = (np.minimum(ln[i], rn[j]), np.maximum(ln[i], rn[j]), stat[i, j], ww[i, j])
-        value = np.where(apart & ~either, stat / ww, np.inf)
-        near = []
-        for names, others, m in ((ln, rn, value),) if same else ((ln, rn, value), (rn, ln, value.T)):
-            j = m.argmin(axis=1)
-            i = np.nonzero(np.isfinite(m[np.arange(len(j)), j]))[0]
-            near.append((names[i], others[j[i]], m[i, j[i]]))
-        return parts, [np.concatenate(c) for c in zip(*near)]
+def _one_by_one(names: np.ndarray, w: np.ndarray, d: np.ndarray, linkage: str, rnd: int):
+    """Merges of a symmetric distance matrix in the order (d, smaller name, larger name); names rise.
 
-    def emit(left, right, same):
-        left, right = _by_id(left, "cid"), _by_id(right, "cid")
-        cuts = (_tile_cuts(side["cid"], side["split"]) for side in (left, right))
-        part, near = None, None
-        for pair in tiles(left, right, same, *cuts):
-            p, v = in_tile(*pair)
-            part = _sum_parts(p if part is None else [np.concatenate(c) for c in zip(part, p)], linkage)
-            near = _least(v if near is None else [np.concatenate(c) for c in zip(near, v)])
-        found = [(*part, np.zeros(len(part[0]), bool)), (*near, np.ones(len(near[0])), np.ones(len(near[0]), bool))]
-        cols = [np.concatenate(c) for c in zip(*found)]
-        return [pa.RecordBatch.from_pydict(dict(zip(("cid", "other", "stat", "ww", "whole"), cols)))]
-
-    keyed = state.withColumn("k", F.when(F.col("split"), F.col("id")).otherwise(F.col("cid")))
-    return block_pairs(keyed, emit, "cid bigint, other bigint, stat double, ww double, whole boolean", block_key="k", blocks=blocks)
-
-
-def _tile_cuts(cid: np.ndarray, split: np.ndarray) -> np.ndarray:
-    """Where rows sorted by cluster may be cut into tiles: whole clusters stay together, split ones are cut by rows."""
-    starts = np.append(_segments(cid)[1], len(cid))
-    cuts, last = [0], 0
-    for lo, hi in zip(starts[:-1], starts[1:]):
-        if hi - last > TILE_ROWS and lo > last:
-            cuts.append(lo)
-            last = lo
-        while split[lo] and hi - last > TILE_ROWS:
-            last += TILE_ROWS
-            cuts.append(last)
-    return np.array([*cuts, len(cid)])
-
-
-def _sum_parts(cols, linkage: str):
-    """One row per pair of clusters from columns (lo, hi, stat, ww)."""
-    lo, hi, stat, ww = cols
-    if not len(lo):
-        return cols
-    order = np.lexsort((hi, lo))
-    lo, hi, stat, ww = (c[order] for c in (lo, hi, stat, ww))
-    first = np.flatnonzero(np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
-    join = np.add if linkage == "average" else np.maximum
-    return lo[first], hi[first], join.reduceat(stat, first), np.add.reduceat(ww, first)
-
-
-def _least(cols):
-    """The nearest cluster of each under the order (d, smaller id, larger id)."""
-    cid, other, d = cols
-    order = np.lexsort((np.maximum(cid, other), np.minimum(cid, other), d, cid))
-    first = order[np.unique(cid[order], return_index=True)[1]]
-    return cid[first], other[first], d[first]
-
-
-def _joined_stats(parts: DataFrame, linkage: str) -> DataFrame:
-    """(lo, hi, d) of cluster pairs whose statistics came in pieces."""
-    total = F.sum("stat") / F.sum("ww") if linkage == "average" else F.max("stat")
-    return parts.groupBy(F.least("cid", "other").alias("lo"), F.greatest("cid", "other").alias("hi")).agg(total.alias("d"))
-
-
-def _nearest_clusters(state, metric, linkage, blocks, splits: bool) -> DataFrame:
-    """(cid, other, d): nearest cluster of each under the order (d, smaller id, larger id)."""
-    stats = _pair_stats(state, metric, linkage, blocks)
-    whole = stats.where("whole").select("cid", "other", F.col("stat").alias("d"))
-    if splits:
-        split = _joined_stats(stats.where("NOT whole"), linkage)
-        whole = whole.unionByName(split.select(F.col("lo").alias("cid"), F.col("hi").alias("other"), "d")).unionByName(
-            split.select(F.col("hi").alias("cid"), F.col("lo").alias("other"), "d")
-        )
-    key = F.struct("d", F.least("cid", "other"), F.greatest("cid", "other"))
-    return whole.groupBy("cid").agg(F.min_by(F.struct("other", "d"), key).alias("e")).select("cid", "e.*")
-
-
-def _finish(state: DataFrame, metric: str, linkage: str, blocks: int, rnd: int) -> list[tuple]:
-    """Merge the last few clusters one by one on their distance matrix (FINISH x FINISH at most)."""
-    weights = {r["cid"]: r["w"] for r in state.groupBy("cid").agg(F.sum("w").alias("w")).collect()}
-    names = sorted(weights)
-    at = {c: i for i, c in enumerate(names)}
-    w = np.array([weights[c] for c in names])
-    d = np.full((len(names), len(names)), np.inf)
-    found = _joined_stats(_pair_stats(state.withColumn("split", F.lit(True)), metric, linkage, blocks), linkage).toArrow()
-    lo = [at[c] for c in found.column("lo").to_pylist()]
-    hi = [at[c] for c in found.column("hi").to_pylist()]
-    d[lo, hi] = d[hi, lo] = found.column("d").to_numpy()
+    The nearest cluster of each is kept: of the linkages here none brings a merged cluster nearer than both its parts were, so that
+    only clusters whose nearest took part look again.
+    """
+    n, w = len(names), w.copy()
+    np.fill_diagonal(d, np.inf)
+    near = d.argmin(axis=1)
+    least = d[np.arange(n), near]
     out = []
-    for step in range(len(names) - 1):
-        i, j = np.unravel_index(d.argmin(), d.shape)  # symmetric, so the first minimum has i < j
+    for step in range(n - 1):
+        i = int(least.argmin())
+        j = int(near[i])
+        i, j = min(i, j), max(i, j)
         height = d[i, j]
-        out.append((names[i], names[j], float(height), rnd + step))
-        if linkage == "complete":
-            fresh = np.maximum(d[i], d[j])
-        elif linkage == "average":
-            fresh = (w[i] * d[i] + w[j] * d[j]) / (w[i] + w[j])
-        else:
-            fresh = np.sqrt(np.maximum(((w[i] + w) * d[i] ** 2 + (w[j] + w) * d[j] ** 2 - w * height**2) / (w[i] + w[j] + w), 0.0))
-        d[i], d[:, i] = fresh, fresh
-        d[j], d[:, j] = np.inf, np.inf
-        d[i, i] = np.inf
+        out.append((int(names[i]), int(names[j]), float(height), rnd + step))
+        fresh = _joined(linkage, d[i], d[j], w[i], w[j], w, height)
+        fresh[[i, j]] = np.inf
+        fresh[np.isinf(d[i])] = np.inf
+        d[i], d[:, i], d[j], d[:, j] = fresh, fresh, np.inf, np.inf
         w[i] += w[j]
+        again = (near == i) | (near == j)
+        again[[i, j]] = True, False
+        sooner = ~again & ((fresh < least) | ((fresh == least) & (i < near)))
+        near[sooner], least[sooner] = i, fresh[sooner]
+        again = np.flatnonzero(again & np.isfinite(least))
+        near[again] = d[again].argmin(axis=1)
+        least[again] = d[again, near[again]]
+        least[j], near[j] = np.inf, -1
     return out
+
+
+_EDGES = "a bigint, b bigint, d double, round int"
+_ROWS = "cid bigint, dist array<double>, other bigint, d double"
+
+
+def _edge_table(merges) -> pa.Table:
+    cols = list(zip(*merges)) if merges else [[]] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int32()))], names=["a", "b", "d", "round"])
+
+
+def _row_table(cid, dist: np.ndarray, ids: np.ndarray):
+    """Rows of the distance table with the nearest cluster of each, the one of the least name on ties."""
+    near = dist.argmin(axis=1)
+    rows = pa.ListArray.from_arrays(pa.array(np.arange(len(dist) + 1) * dist.shape[1], pa.int32()), pa.array(dist.ravel()))
+    return pa.table({"cid": pa.array(cid, pa.int64()), "dist": rows, "other": ids[near], "d": dist[np.arange(len(dist)), near]})
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    return pa.concat_arrays(column.chunks if isinstance(column, pa.ChunkedArray) else [column]).flatten().to_numpy().reshape(-1, width)
+
+
+@contextmanager
+def _batches_of(spark, width: int):
+    """Arrow batches of distance rows of at most ``BATCH_BYTES`` while jobs run in here."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, min(10_000, BATCH_BYTES // (8 * width)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _distance_rows(nodes: DataFrame, ids, metric: str, linkage: str, blocks: int) -> DataFrame:
+    """A row per cluster with its distances to all in the order of ``ids``, put together from the pairs of blocks."""
+
+    def emit(left, right, same):
+        left, right = _by_id(left), _by_id(right)
+        found = []
+        for one, other, again in tiles(left, right, same):
+            d = _first_dists(one["features"], other["features"], one["w"], other["w"], metric, linkage, again)
+            for x, y, m in ((one, other, d),) if again else ((one, other, d), (other, one, d.T)):
+                at = np.searchsorted(ids.value, y["id_n"])
+                for k, cid in enumerate(x["id_n"]):
+                    found.append((int(cid), at, m[k]))
+        return [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())))], ["cid", "at", "dist"])]
+
+    def whole(key, parts):
+        dist = np.empty((1, len(ids.value)))
+        dist[0, parts.column("at").combine_chunks().flatten().to_numpy()] = parts.column("dist").combine_chunks().flatten().to_numpy()
+        dist[0, np.searchsorted(ids.value, key[0].as_py())] = np.inf
+        return _row_table([key[0].as_py()], dist, ids.value)
+
+    parts = block_pairs(nodes.select("id", "features", "w"), emit, "cid bigint, at array<bigint>, dist array<double>", blocks=blocks)
+    return parts.groupBy("cid").applyInArrow(whole, _ROWS)
+
+
+def _after(rows: DataFrame, state, linkage: str) -> DataFrame:
+    """The distance table after a round of merges; ``state`` (a broadcast) has names, weights and merges as positions, and the names that stay."""
+
+    def columns(cid, dist):
+        s = state.value
+        at = np.searchsorted(s["ids"], cid)
+        out = dist.copy()
+        out[:, s["a"]] = _joined(linkage, dist[:, s["a"]], dist[:, s["b"]], s["w"][s["a"]], s["w"][s["b"]], s["w"][at][:, None], s["h"])
+        return out[:, s["stay"]]
+
+    def untouched(batches):
+        s = state.value
+        ids = s["ids"][s["stay"]]
+        for batch in batches:
+            cid = batch.column("cid").to_numpy()
+            if len(cid):
+                yield from _row_table(cid, columns(cid, _matrix(batch.column("dist"), len(s["ids"]))), ids).to_batches()
+
+    def merged(key, pair):
+        s = state.value
+        ids = s["ids"][s["stay"]]
+        cid = pair.column("cid").to_numpy()
+        order = np.argsort(cid)  # the one that gives the name first
+        dist = columns(cid, _matrix(pair.column("dist"), len(s["ids"])))[order]
+        wa, wb = s["w"][np.searchsorted(s["ids"], cid[order])]
+        height = s["h"][np.searchsorted(s["ids"][s["a"]], key[0].as_py())]
+        row = _joined(linkage, dist[0], dist[1], wa, wb, s["w_new"], height)[None, :]
+        row[0, np.searchsorted(ids, key[0].as_py())] = np.inf
+        return _row_table([key[0].as_py()], row, ids)
+
+    s = state.value
+    roots = np.concatenate([s["ids"][s["a"]]] * 2)
+    roles = rows.sparkSession.createDataFrame(pa.table({"cid": np.concatenate([s["ids"][s["a"]], s["ids"][s["b"]]]), "root": roots}))
+    placed = rows.join(F.broadcast(roles), "cid", "left")  # 16 bytes a cluster, less than two rows of the table
+    alone = placed.where("root IS NULL").select("cid", "dist").mapInArrow(untouched, _ROWS)
+    return alone.unionByName(placed.where("root IS NOT NULL").groupBy("root").applyInArrow(merged, _ROWS))
+
+
+def _mutual(ids: np.ndarray, near: pa.Table):
+    """Positions (a, b) of mutually nearest clusters and their distances; if rounding leaves none, the nearest pair of all."""
+    order = np.argsort(near.column("cid").to_numpy())
+    to = np.searchsorted(ids, near.column("other").to_numpy()[order])
+    d = near.column("d").to_numpy()[order]
+    own = np.arange(len(ids))
+    a = np.flatnonzero((to[to] == own) & (own < to))
+    if not len(a):
+        i = int(d.argmin())
+        return np.array([min(i, to[i])]), np.array([max(i, to[i])]), d[i : i + 1]
+    return a, to[a], d[a]
+
+
+def _mutual_merges(nodes, n, metric, linkage, blocks, finish) -> DataFrame:
+    """n - 1 merges (a, b, d, round); a cluster is named by its smallest id and a absorbs b.
+
+    Distances are computed once. Each round merges all mutually nearest clusters and updates the table by the recurrence of the linkage, so
+    it shrinks from round to round; names, weights and nearest clusters (less than two of its rows) are all that the driver sees.
+    """
+    spark = nodes.sparkSession
+
+    def points(block: pa.Table) -> pa.Table:
+        side = _by_id(frame_of(block))
+        d = _first_dists(side["features"], side["features"], side["w"], side["w"], metric, linkage, same=True)
+        return _edge_table(_one_by_one(side["id_n"], side["w"], d, linkage, 0))
+
+    if n <= max(finish, 1):
+        return cut_lineage(nodes.select("id", "features", "w").groupBy().applyInArrow(points, _EDGES))
+    head = nodes.select("id", "w").toArrow()
+    order = np.argsort(head.column("id").to_numpy())
+    ids, w = head.column("id").to_numpy()[order], head.column("w").to_numpy()[order]
+    shared = spark.sparkContext.broadcast(ids)
+    with _batches_of(spark, n):
+        rows = cut_lineage(_distance_rows(nodes, shared, metric, linkage, blocks))
+    shared.destroy()
+    merges: list[tuple] = []
+    rnd = 0
+    while len(ids) > max(finish, 1):
+        a, b, h = _mutual(ids, rows.select("cid", "other", "d").toArrow())
+        merges += zip(ids[a].tolist(), ids[b].tolist(), h.tolist(), [rnd] * len(a))
+        stay = np.setdiff1d(np.arange(len(ids)), b)
+        w_new = w.copy()
+        w_new[a] += w[b]
+        w_new = w_new[stay]
+        if len(stay) > 1:
+            state = spark.sparkContext.broadcast({"ids": ids, "w": w, "a": a, "b": b, "h": h, "stay": stay, "w_new": w_new})
+            with _batches_of(spark, len(ids)):
+                rows = cut_lineage(_after(rows, state, linkage))
+            state.destroy()
+        ids, w, rnd = ids[stay], w_new, rnd + 1
+    total = spark.createDataFrame(_edge_table(merges), _EDGES)
+    if len(ids) < 2:
+        return total
+
+    def rest(block: pa.Table) -> pa.Table:
+        order = np.argsort(block.column("cid").to_numpy())
+        d = _matrix(block.column("dist"), len(ids))[order]
+        return _edge_table(_one_by_one(ids, w, np.triu(d, 1) + np.triu(d, 1).T, linkage, rnd))
+
+    return cut_lineage(total.unionByName(rows.select("cid", "dist").groupBy().applyInArrow(rest, _EDGES)))

@@ -2,7 +2,8 @@
 
 Rows (id, features) are packed once into one matrix per Arrow batch and persisted. A pass sends
 a small model to the tasks and brings back sums, maxima or best rows; data rows never move, and no
-lineage grows between passes. Losing an executor only repacks its blocks from the source.
+lineage grows between passes. Losing an executor only repacks its blocks from the source. Sparse vectors (see ``linalg.SPARSE``)
+are packed without their zeros.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clusterloom.functions import linalg
 
@@ -27,6 +29,15 @@ BROADCAST_BYTES = 64 << 20  # data above this is never sent whole to every task
 SLOT = 4096  # partial vectors travel in pieces of this many numbers
 
 
+def is_sparse(df: DataFrame, features: str = "features") -> bool:
+    return isinstance(df.schema[features].dataType, StructType)
+
+
+def vectors(df: DataFrame, features: str = "features"):
+    """The feature column: sparse vectors as they are, anything else as an array of doubles."""
+    return F.col(features) if is_sparse(df, features) else F.col(features).cast("array<double>")
+
+
 @dataclass
 class Best:
     """Winning row of one slot of a best-row pass."""
@@ -41,7 +52,7 @@ class Blocks:
 
     def __init__(self, df: DataFrame, id_col: str = "id", features: str = "features"):
         self.spark = df.sparkSession
-        self.rows = df.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("features"))
+        self.rows = df.select(F.col(id_col).alias("id"), vectors(df, features).alias("features"))
         self.id_type = self.rows.schema["id"].dataType.simpleString()
         packed = self._pack(self.rows)
         cores = self.spark.sparkContext.defaultParallelism
@@ -75,7 +86,8 @@ class Blocks:
             for b in batches:
                 x = linalg.rows_of(b.column("features"))
                 ids = b.column("id")
-                step = max(1, min(BLOCK_BYTES // (8 * max(1, x.shape[1])), -(-len(x) // spread) if len(x) > 512 else 512))
+                row_bytes = 8 * max(1, x.shape[1]) if isinstance(x, np.ndarray) else 8 + 12 * max(1, len(x.values) // max(1, len(x)))
+                step = max(1, min(BLOCK_BYTES // row_bytes, -(-len(x) // spread) if len(x) > 512 else 512))
                 schema = schema or pa.schema([("ids", pa.list_(ids.type)), ("x", pa.binary()), ("n", pa.int32()), ("d", pa.int32())])
                 cuts = list(range(0, len(x), step))
                 sizes = [min(step, len(x) - s) for s in cuts]

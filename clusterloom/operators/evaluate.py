@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clusterloom.functions import linalg
+from clusterloom.operators.blocks import is_sparse, vectors
+from clusterloom.operators.selection import row_numbers
 
+_SUITE = "ari double, purity double, davies_bouldin double, f_measure double"
 CENTRES_ON_DRIVER = 2000  # up to this many centroids are compared as one small matrix
 
 
@@ -32,19 +35,22 @@ def with_totals(table: DataFrame, keys: tuple = ()) -> DataFrame:
     )
 
 
-def normalized_confusion(table: DataFrame) -> DataFrame:
-    """Dense row-normalised matrix: every class with every cluster, absent cells 0."""
-    clusters = table.agg(F.sort_array(F.collect_set("cluster")).alias("clusters"))
-    per_label = table.groupBy("label").agg(
-        F.map_from_entries(F.collect_list(F.struct("cluster", "n"))).alias("cells"), F.sum("n").alias("total")
-    )
-    # the one-row list of cluster ids is attached to the per-class rows as a scalar
-    ids = clusters.first()["clusters"]
-    return per_label.select("label", "total", "cells", F.explode(F.array(*[F.lit(i) for i in ids])).alias("cluster")).select(
-        "label", "cluster",
-        F.coalesce(F.element_at("cells", F.col("cluster")), F.lit(0)).alias("n"),
-        (F.coalesce(F.element_at("cells", F.col("cluster")), F.lit(0)) / F.col("total")).alias("share"),
-    )
+def normalized_confusion(table: DataFrame, dense: bool = True) -> DataFrame:
+    """(label, cluster, n, share): row-normalised confusion. ``dense`` has every class with every cluster, absent cells 0.
+
+    Clusters are numbered, and classes with those numbers find the names and the counts by joins, so that no list of clusters is built.
+    """
+    totals = table.groupBy("label").agg(F.sum("n").alias("total"))
+    if not dense:
+        rows = totals.withColumnRenamed("label", "_l")
+        return table.join(rows, F.col("label").eqNullSafe(F.col("_l"))).select("label", "cluster", "n", (F.col("n") / F.col("total")).alias("share"))
+    names = row_numbers(table.select("cluster").distinct(), ["cluster"], "j")
+    k = names.count()
+    grid = totals.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<bigint>"))) if k else totals.withColumn("j", F.lit(0).cast("bigint"))
+    cells = table.select(F.col("label").alias("_l"), F.col("cluster").alias("_c"), "n")
+    every = grid.join(names, "j").join(cells, F.col("label").eqNullSafe(F.col("_l")) & F.col("cluster").eqNullSafe(F.col("_c")), "left")
+    n = F.coalesce("n", F.lit(0))
+    return every.select("label", "cluster", n.alias("n"), (n / F.col("total")).alias("share"))
 
 
 def purity(table: DataFrame, keys: tuple = ()) -> DataFrame:
@@ -106,9 +112,9 @@ def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cl
     (cluster, c, n) saves a scan where they are known.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(cluster).alias("cluster"), F.col(features).cast("array<double>").alias("f"))
+    rows = df.select(F.col(cluster).alias("cluster"), vectors(df, features).alias("f"))
     if centroids is None:
-        centroids = rows.groupBy("cluster").agg(
+        centroids = _sparse_centroids(rows) if is_sparse(df, features) else rows.groupBy("cluster").agg(
             vector_to_array(Summarizer.mean(array_to_vector(F.col("f")))).alias("c"), F.count("*").alias("n")
         )
     head = centroids.limit(CENTRES_ON_DRIVER + 1).collect()
@@ -126,7 +132,7 @@ def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cl
         for b in batches:
             x, j = linalg.rows_of(b.column("f")), b.column("j").to_numpy(zero_copy_only=False)
             if len(j):
-                total += np.bincount(j, weights=np.sqrt(((x - centres[j]) ** 2).sum(axis=1)), minlength=len(total))
+                total += np.bincount(j, weights=linalg.own_dists(x, centres, j), minlength=len(total))
         yield pa.RecordBatch.from_pydict({"j": pa.array(range(len(total)), pa.int32()), "s": total})
 
     sums = rows.select("f", position[F.col("cluster")].alias("j")).mapInArrow(spreads, "j int, s double")
@@ -136,6 +142,17 @@ def davies_bouldin(df: DataFrame, features: str = "features", cluster: str = "cl
     return spark.createDataFrame([(davies_bouldin_value(centres, spread),)], "davies_bouldin double")
 
 
+def _sparse_centroids(rows: DataFrame) -> DataFrame:
+    """(cluster, c, n) of rows (cluster, f) with sparse vectors: entries are summed by cluster and position."""
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.max("f.size").alias("d"))
+    entries = rows.select("cluster", F.explode(F.arrays_zip("f.positions", "f.values")).alias("e"))
+    sums = entries.groupBy("cluster", F.col("e.positions").alias("p")).agg(F.sum("e.values").alias("v"))
+    lists = sums.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("p", "v"))).alias("m")).withColumnRenamed("cluster", "_c")
+    met = sizes.join(lists, F.col("cluster").eqNullSafe(F.col("_c")), "left")
+    mean = F.transform(F.sequence(F.lit(0), F.col("d") - 1), lambda j: F.coalesce(F.element_at("m", j), F.lit(0.0)) / F.col("n"))
+    return met.select("cluster", mean.alias("c"), "n")
+
+
 def davies_bouldin_value(centres: np.ndarray, spread: np.ndarray) -> float:
     gap = np.sqrt(linalg.direct_dists(centres, centres, "euclidean"))
     if not spread.any() or not gap.any():
@@ -180,6 +197,10 @@ def metric_suite(df: DataFrame, features: str = "features", label: str = "label"
     The first scan counts (label, cluster) cells and sums their features, which yields the contingency
     table and the centroids; the second measures the spreads.
     """
+    if is_sparse(df, features):
+        scores = label_suite(contingency(df, label, cluster)).first()
+        dbi = davies_bouldin(df, features, cluster).first()[0]
+        return df.sparkSession.createDataFrame([(scores["ari"], scores["purity"], dbi, scores["f_measure"])], _SUITE)
     v = array_to_vector(F.col(features).cast("array<double>"))
     cells = df.groupBy(F.col(label).alias("label"), F.col(cluster).alias("cluster")).agg(
         F.count("*").alias("n"), Summarizer.mean(v).alias("m")
@@ -190,8 +211,7 @@ def metric_suite(df: DataFrame, features: str = "features", label: str = "label"
     scores = label_suite(cells.select("label", "cluster", "n")).first()
     dbi = davies_bouldin(df, features, cluster, centroids).first()[0]
     cells.unpersist()
-    ddl = "ari double, purity double, davies_bouldin double, f_measure double"
-    return df.sparkSession.createDataFrame([(scores["ari"], scores["purity"], dbi, scores["f_measure"])], ddl)
+    return df.sparkSession.createDataFrame([(scores["ari"], scores["purity"], dbi, scores["f_measure"])], _SUITE)
 
 
 def suite_many(df: DataFrame, models: int, features: str = "features", label: str = "label", clusters: str = "clusters") -> list[dict]:

@@ -6,6 +6,7 @@ over k costs little more than one fit.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,12 +16,17 @@ from pyspark.sql import functions as F
 
 from clusterloom.functions import linalg
 from clusterloom.operators.blocks import Blocks
-from clusterloom.operators.kmeans import KMeansModel, KMeansSpec, fit_many
-from clusterloom.operators.pairs import block_pairs
+from clusterloom.operators.kmeans import KMeansModel, KMeansSpec, fit_many, random_rows
+from clusterloom.operators.pairs import balls, block_count, block_pairs
 from clusterloom.operators.selection import COLLECTED, order_statistics
+from clusterloom.session import cut_lineage
 
 SWEEPS = 4
 PIVOTS_SLACK = 1e-9
+BALLS = 64
+TIED = 1 << 15  # pairs within rounding of the top that are compared at once
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -37,7 +43,8 @@ def farthest_pair(data: DataFrame | Blocks) -> FarthestPair:
 
     Sweeps (farthest from the mean, farthest from that, ...) give a lower bound L. A row x can be
     in a pair at distance >= L only if d(x, p) + max d(., p) >= L for every pivot p, so the pair
-    pass sees the few rows that pass, with equal copies collapsed.
+    pass sees the few rows that pass, with equal copies collapsed. They are grouped in balls, and balls whose
+    centres and radii keep all their rows nearer than L do not meet.
     """
     blocks = data if isinstance(data, Blocks) else Blocks(data)
     if blocks.n < 2:
@@ -61,7 +68,7 @@ def farthest_pair(data: DataFrame | Blocks) -> FarthestPair:
         return (d + reach >= bound).all(axis=1)
 
     survivors = _kept_rows(blocks, may_pair)
-    distinct = survivors.groupBy("features").agg(F.min("id").alias("id")).select("id", "features")
+    distinct = cut_lineage(survivors.groupBy("features").agg(F.min("id").alias("id")).select("id", "features"))
     id_type = blocks.id_type
 
     def farthest(left, right, same):
@@ -74,31 +81,59 @@ def farthest_pair(data: DataFrame | Blocks) -> FarthestPair:
             if best is not None and top < best[0] * (1 - 1e-9):
                 continue
             # candidates within rounding of the top are compared on plain differences
-            r, c = np.nonzero(d2 >= top * (1 - 1e-9))
-            diff = x[r + s] - y[c]
-            exact = np.einsum("ij,ij->i", diff, diff)
-            keep = np.nonzero(exact == exact.max())[0]
-            a = left["id"].take(pa.array(r[keep] + s)).to_pylist()
-            b = right["id"].take(pa.array(c[keep])).to_pylist()
-            for i, u, v in zip(keep, a, b):
-                cand = (exact[i], min(u, v), max(u, v))
-                if u != v and (best is None or (-cand[0], cand[1], cand[2]) < (-best[0], best[1], best[2])):
-                    best = cand
+            rows, cols = np.nonzero(d2 >= top * (1 - 1e-9))
+            for t in range(0, len(rows), TIED):
+                r, c = rows[t : t + TIED], cols[t : t + TIED]
+                diff = x[r + s] - y[c]
+                exact = np.einsum("ij,ij->i", diff, diff)
+                keep = np.nonzero(exact == exact.max())[0]
+                a = left["id"].take(pa.array(r[keep] + s)).to_pylist()
+                b = right["id"].take(pa.array(c[keep])).to_pylist()
+                for i, u, v in zip(keep, a, b):
+                    cand = (exact[i], min(u, v), max(u, v))
+                    if u != v and (best is None or (-cand[0], cand[1], cand[2]) < (-best[0], best[1], best[2])):
+                        best = cand
         if best is None:
             return []
         cols = {"d": pa.array([float(np.sqrt(best[0]))]), "a": pa.array([best[1]]), "b": pa.array([best[2]])}
         return [pa.RecordBatch.from_pydict(cols)]
 
-    found = block_pairs(distinct, farthest, f"d double, a {id_type}, b {id_type}").orderBy(F.desc("d"), "a", "b").limit(1).collect()
+    plan, rows, met = pair_plan(distinct, bound)
+    log.info("farthest pair: %s", plan)
+    found = block_pairs(rows, farthest, f"d double, a {id_type}, b {id_type}", blocks=plan.blocks, met=met).orderBy(F.desc("d"), "a", "b").limit(1).collect()
     if found and found[0]["d"] > 0:
         d, a, b = found[0]["d"], found[0]["a"], found[0]["b"]
     else:  # all rows are equal: the first two ids
         a, b = (r["id"] for r in blocks.rows.select("id").orderBy("id").limit(2).collect())
         d = 0.0
-    ends = {r["id"]: np.array(r["features"]) for r in blocks.rows.where(F.col("id").isin([a, b])).collect()}
+    ends = {r["id"]: linalg.vector(r["features"]) for r in blocks.rows.where(F.col("id").isin([a, b])).collect()}
     return FarthestPair(a, b, ends[a], ends[b], d)
 
 
+@dataclass
+class PairPlan:
+    """Rows sent by blocks of hashed ids, and by balls of which only those meet that can hold a pair at the bound; the cheaper one runs."""
+
+    rows: int
+    blocks: int | None
+    hashed_copies: int
+    ball_copies: int
+
+
+def pair_plan(rows: DataFrame, bound: float, n_balls: int = BALLS):
+    """(plan, rows to pass to the pair pass, flags of the pairs of blocks to meet or None)."""
+    s = rows.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("d")).first()
+    n, d = s["n"], s["d"] or 1
+    blocks = block_count(n, d, rows.sparkSession.sparkContext.defaultParallelism)
+    hashed = n * blocks
+    if n < 2 * n_balls:
+        return PairPlan(n, blocks, hashed, hashed), rows, None
+    around = balls(rows, np.array([f for _, f in random_rows(rows, n_balls, 0)]))
+    met = around.farthest() >= bound
+    plan = PairPlan(n, blocks, hashed, around.copies(met))
+    return (plan, around.rows, met) if plan.ball_copies < hashed else (plan, rows, None)
+
+
 def _kept_rows(blocks: Blocks, keep) -> DataFrame:
     """(id, features) of the rows that pass, straight from the packed blocks."""
 
@@ -107,7 +142,7 @@ def _kept_rows(blocks: Blocks, keep) -> DataFrame:
             for buf, n, ids in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids")):
                 x, ids = linalg.unpack(buf.as_buffer(), n), ids.values
                 at = np.nonzero(keep(x, ids))[0]
-                flat = pa.array(x[at].ravel())
+                flat = pa.array(np.asarray(x[at]).ravel())
                 offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * x.shape[1])
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.ListArray.from_arrays(offsets, flat)], names=["id", "features"])
 

@@ -167,14 +167,18 @@ def _random_start(blocks: Blocks, spec: MixtureSpec, shift) -> np.ndarray:
 
 
 def fit_mixture(data: DataFrame | Blocks, specs: list[MixtureSpec]) -> list[MixtureModel]:
-    """Fit every spec. A spec whose covariance degenerates ends with ``error`` set; the others go on."""
+    """Fit every spec. A spec whose covariance degenerates, or that asks more components than there are rows, ends with ``error`` set;
+    the others go on."""
     blocks = data if isinstance(data, Blocks) else Blocks(data)
     shift = blocks.sums(lambda x: x.sum(axis=0), blocks.d) / blocks.n
     if not np.isfinite(shift).all():  # missing values count as 0
         blocks = Blocks(blocks.rows.withColumn("features", nan_to_zero(F.col("features"))))
         shift = blocks.sums(lambda x: x.sum(axis=0), blocks.d) / blocks.n
     models = [MixtureModel(s, blocks.n) for s in specs]
-    _start(blocks, models, shift)
+    for m in models:
+        if m.spec.k > blocks.n:
+            m.error = f"{m.spec.k} components asked from {blocks.n} rows"
+    _start(blocks, [m for m in models if m.error is None], shift)
     width = 1 + blocks.d + blocks.d**2
     group, numbers = [], 0
     for m in [m for m in models if m.error is None]:

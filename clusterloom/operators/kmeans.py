@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clusterloom.functions import columns as C
 from clusterloom.functions import linalg
-from clusterloom.operators.blocks import Blocks
+from clusterloom.operators.blocks import Blocks, vectors
 
 METRICS = ("euclidean", "manhattan")
 STAT_NUMBERS = 1 << 22  # sums of at most this many numbers are kept per scan
@@ -50,7 +50,7 @@ class KMeansModel:
         """Add the nearest centre of every row. A projection, so it also runs on streams."""
         if self.centres is None:
             raise ValueError("model is not fitted; call fit first")
-        return df.withColumn(cluster, assign(F.col(features), self.centres, self.spec.metric))
+        return df.withColumn(cluster, assign(vectors(df, features), self.centres, self.spec.metric))
 
     def parameters(self) -> tuple[str, tuple]:
         return "nearest", (self.centres, self.spec.metric)
@@ -61,7 +61,7 @@ class KMeansModel:
 
 
 def assign(features, centres: np.ndarray, metric: str = "euclidean"):
-    """Column: index of the nearest centre (lowest on ties)."""
+    """Column: index of the nearest centre (lowest on ties); ``features`` is an array of doubles or a sparse vector."""
 
     @F.arrow_udf("int")
     def nearest_index(x: pa.Array) -> pa.Array:
@@ -69,7 +69,7 @@ def assign(features, centres: np.ndarray, metric: str = "euclidean"):
             return pa.array([], pa.int32())
         return pa.array(linalg.nearest(linalg.rows_of(x), centres, metric)[0], pa.int32())
 
-    return nearest_index(features.cast("array<double>"))
+    return nearest_index(features)
 
 
 def assign_all(features, models: list):
@@ -84,7 +84,7 @@ def assign_all(features, models: list):
         labels = np.stack([linalg.label_rows(rows, *s) for s in specs], axis=1).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(specs)), pa.array(labels.ravel()))
 
-    return clusters(features.cast("array<double>"))
+    return clusters(features)
 
 
 def assign_expression(features, centres: np.ndarray, metric: str = "euclidean"):
@@ -101,7 +101,7 @@ def random_rows(df: DataFrame, k: int, seed, id_col: str = "id", features: str =
     )
     if len(picked) < k:
         raise ValueError(f"{k} clusters asked from {len(picked)} rows")
-    return [(r["id"], np.array(r["f"], dtype=float)) for r in picked]
+    return [(r["id"], linalg.vector(r["f"])) for r in picked]
 
 
 class KMeans:

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, NumericType, StringType
 
 from clusterloom.functions.columns import MISSING_MARKERS
+from clusterloom.functions.linalg import SPARSE
 from clusterloom.operators.selection import medians, row_numbers
 
-MAX_DENSE = 4096  # widest one-hot layout that is assembled as one array per row
+MAX_DENSE = 4096  # widest one-hot layout that is assembled as one array per row, and most classes that are coded by a literal list
 FILL_ALL_NULL = "Missing"  # fixed value: fill of a categorical column without any value
 NULL_CLASS = "nan"  # fixed value: class name of rows without a class
 
@@ -95,11 +96,13 @@ class PrepModel:
     categories: dict[str, list[str]] | None
     classes: list[str] | None = None
     dictionary: DataFrame | None = field(default=None, repr=False)
+    class_codes: DataFrame | None = field(default=None, repr=False)  # (_class, _code) in place of ``classes`` beyond MAX_DENSE
+    width: int = 0
 
     @property
     def feature_names(self) -> list[str]:
         if self.categories is None:
-            raise ValueError("layout is too wide to list; use transform_long")
+            raise ValueError("layout is too wide to list; see dictionary")
         return self.numeric + [f"{c}_{v}" for c in self.categorical for v in self.categories[c]]
 
     def imputed(self, df: DataFrame) -> DataFrame:
@@ -113,21 +116,52 @@ class PrepModel:
             return F.lit(0.0)
         return (F.col(c).cast("double") - F.lit(lo)) / F.lit(hi - lo)
 
+    def _class_name(self) -> Column:
+        return F.coalesce(F.col(self.class_col).cast("string"), F.lit(NULL_CLASS))
+
     def label(self) -> Column:
         """Class code: position of the class name in sorted order, null for an unseen class."""
-        name = F.coalesce(F.col(self.class_col).cast("string"), F.lit(NULL_CLASS))
-        return (F.nullif(F.array_position(F.array(*[F.lit(c) for c in self.classes]), name), F.lit(0)) - 1).cast("int")
+        return (F.nullif(F.array_position(F.array(*[F.lit(c) for c in self.classes]), self._class_name()), F.lit(0)) - 1).cast("int")
+
+    def labelled(self, ready: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """``ready`` and its label column, if classes were learnt; many classes are joined by name."""
+        if self.class_codes is not None:
+            return ready.withColumn("_class", self._class_name()).join(self.class_codes, "_class", "left"), [F.col("_code").alias("label")]
+        return ready, [self.label().alias("label")] if self.classes is not None else []
 
     def transform(self, df: DataFrame, id_col: str = "id") -> DataFrame:
-        """(id, features[, label]); numeric columns first, then one 0/1 value per category."""
+        """(id, features[, label]); numeric columns first, then one 0/1 value per category.
+
+        Up to MAX_DENSE features are an array, more are a sparse vector (see :meth:`transform_sparse`).
+        """
         if self.categories is None:
-            raise ValueError("layout is too wide for one array per row; use transform_long")
+            return self.transform_sparse(df, id_col)
         parts = [self._scaled(c) for c in self.numeric]
         parts += [(F.col(c).cast("string") == F.lit(v)).cast("double") for c in self.categorical for v in self.categories[c]]
-        cols = [F.col(id_col).alias("id"), F.array(*parts).alias("features")]
-        if self.classes is not None:
-            cols.append(self.label().alias("label"))
-        return self.imputed(df).select(*cols)
+        ready, label = self.labelled(self.imputed(df))
+        return ready.select(F.col(id_col).alias("id"), F.array(*parts).alias("features"), *label)
+
+    def transform_sparse(self, df: DataFrame, id_col: str = "id") -> DataFrame:
+        """(id, features[, label]) with features as (size, positions, values) of the non-zero entries, positions rising.
+
+        The dictionary is joined on (column, value) once per row and categorical column; a row's entries, at most one a column, meet
+        again by its id, which must be unique. Unseen categories have no entry.
+        """
+        ready, label = self.labelled(self.imputed(df))
+        entry = "struct<position: int, value: double>"
+        own = F.filter(F.array(*[F.struct(F.lit(i).alias("position"), self._scaled(c).alias("value")) for i, c in enumerate(self.numeric)]), lambda e: e["value"] != 0) if self.numeric else F.array()
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in self.categorical])
+        kept = ready.select(F.col(id_col).alias("id"), *label, own.cast(f"array<{entry}>").alias("own"), pairs.alias("pairs"))
+        if self.categorical:
+            each = kept.withColumn("p", F.explode_outer("pairs")).select("id", *[c for c in kept.columns if c not in ("id", "pairs")], "p.column", "p.category")
+            met = each.join(self.dictionary, ["column", "category"], "left")
+            hot = F.when(F.col("position").isNotNull(), F.struct((F.col("position") + len(self.numeric)).cast("int").alias("position"), F.lit(1.0).alias("value")))
+            kept = met.groupBy("id").agg(F.first("own").alias("own"), F.collect_list(hot).alias("hot"), *[F.first("label").alias("label") for _ in label])
+            entries = F.concat("own", F.array_sort(F.col("hot").cast(f"array<{entry}>")))
+        else:
+            entries = F.col("own")
+        vector = F.struct(F.lit(self.width).alias("size"), F.transform(entries, lambda e: e["position"]).alias("positions"), F.transform(entries, lambda e: e["value"]).alias("values"))
+        return kept.select("id", vector.cast(SPARSE).alias("features"), *[F.col("label") for _ in label])
 
     def transform_long(self, df: DataFrame, id_col: str = "id") -> DataFrame:
         """(id, position, value) with the non-zero one-hot entries: any number of categories.
@@ -171,7 +205,8 @@ def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", dr
     clean = markers_to_null(df).withColumns({c: parsed(c) for c in coerced})
     fills: dict[str, object] = {c: m for c, m in medians(clean, numeric).items() if m is not None}
     counted = categorical + ([] if drop_class else [class_col])
-    categories, dictionary, classes = {}, None, None
+    categories, dictionary, classes, class_codes = {}, None, None, None
+    width = 0
     if counted:
         counts = value_counts(clean, counted).persist(StorageLevel.MEMORY_AND_DISK)
         summary = {
@@ -198,12 +233,15 @@ def fit_prep(df: DataFrame, class_col: str | None = None, id_col: str = "id", dr
             dictionary = row_numbers(known.withColumn("_c", rank), ["_c", "category"]).select("column", "category", "position")
         if not drop_class:
             found = summary.get(class_col)
+            seen = counts.where(F.col("column") == class_col).select("value")
+            missing = [] if found and found["n"] == s["n"] else [(NULL_CLASS,)]
             if found and found["values"] > MAX_DENSE:
-                raise ValueError(f"{class_col} has more than {MAX_DENSE} classes; pass drop_class=True")
-            seen = {r["value"] for r in counts.where(F.col("column") == class_col).select("value").collect()}
-            classes = sorted(seen | ({NULL_CLASS} if not found or found["n"] < s["n"] else set()))
+                names = seen.union(df.sparkSession.createDataFrame(missing, "value string")).distinct().withColumnRenamed("value", "_class")
+                class_codes = row_numbers(names, ["_class"], "_code").withColumn("_code", F.col("_code").cast("int"))
+            else:
+                classes = sorted({r["value"] for r in seen.collect()} | {v for v, in missing})
         counts.unpersist()
-    return PrepModel(class_col, numeric, categorical, coerced, fills, bounds, categories, classes, dictionary)
+    return PrepModel(class_col, numeric, categorical, coerced, fills, bounds, categories, classes, dictionary, class_codes, len(numeric) + width)
 
 
 def prepare(df: DataFrame, class_col: str | None = None, id_col: str = "id", drop_class: bool = False) -> tuple[DataFrame, PrepModel]:

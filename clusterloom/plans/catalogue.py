@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clusterloom.functions import columns as C
 from clusterloom.operators import evaluate, fekm, fuzzy, gmm, kernel_kmeans, kmeans, matching, pca, prep, selection
 from clusterloom.operators.agglomerative import merge_tree
-from clusterloom.operators.blocks import Blocks
+from clusterloom.operators.blocks import Blocks, is_sparse
 from clusterloom.plans import grid as grids
 from clusterloom.plans import inputs, reports
 from clusterloom.plans.experiment import run_experiment
@@ -122,6 +122,43 @@ def prep_drop_class(spark, d):
     return x.select("id", F.size("features").alias("width"), r(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
 
 
+def _line_key():
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+
+
+def _goods(spark, d):
+    """Lines with a column of many categories (the order) beside a number and a flag."""
+    t = inputs.table(spark, d, "lineitem")
+    return t.select(_line_key().alias("id"), "l_quantity", "l_returnflag", F.concat(F.lit("o"), "l_orderkey").alias("goods"), F.col("l_linestatus").alias("status"))
+
+
+def _entries(x: DataFrame) -> DataFrame:
+    """(id, label, position, value) of the non-zero features, from arrays or sparse vectors."""
+    if is_sparse(x):
+        pairs = x.select("id", "label", F.explode(F.arrays_zip("features.positions", "features.values")).alias("e"))
+        return pairs.select("id", "label", F.col("e.positions").alias("position"), F.col("e.values").alias("value"))
+    return x.select("id", "label", F.posexplode("features").alias("position", "value")).where("value <> 0")
+
+
+def prep_wide(spark, d):
+    """One-hot over more categories than an array per row may have: sparse vectors."""
+    x, _ = prep.prepare(_goods(spark, d), class_col="status")
+    return _entries(x).select("id", "label", F.col("position").cast("bigint").alias("position"), r("value", 6).alias("value"))
+
+
+def prep_many_classes(spark, d):
+    """Class codes of a class column with thousands of values and gaps."""
+    t = _goods(spark, d).withColumn("goods", F.when(F.col("l_quantity") > 2, F.col("goods")))
+    return prep.fit_prep(t.select("id", "l_quantity", "goods"), class_col="goods").transform(t).select("id", "label")
+
+
+def kmeans_wide(spark, d):
+    """K-Means of the sparse vectors: sizes and inertia after two rounds, and labels by the fitted model."""
+    x, _ = prep.prepare(_goods(spark, d), class_col="status")
+    model = kmeans.KMeans(3, max_iters=2, tol=0.0, random_state=1).fit(x)
+    return model.transform(x).groupBy("cluster").agg(F.count("*").alias("n")).withColumn("inertia", F.lit(round(model.inertia, 4)))
+
+
 def prep_nan_guard(spark, d):
     t = inputs.table(spark, d, "events").select(F.col("event_id").alias("id"), F.array(F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")), F.col("value")).alias("f"))
     return t.select("id", prep.nan_to_zero(F.col("f")).alias("f")).select("id", F.col("f")[0].alias("a"), F.col("f")[1].alias("b"))
@@ -192,6 +229,13 @@ def kmeans_predict(spark, d):
     return model.transform(e).select("id", "cluster")
 
 
+def kmeans_converged(spark, d):
+    """Rounds until the centres rest, and the inertia there."""
+    specs = [kmeans.KMeansSpec(k, "euclidean", seed=3) for k in (2, 3)]
+    models = kmeans.fit_many(inputs.events(spark, d).select("id", "features"), specs)
+    return spark.createDataFrame([(m.spec.k, m.iterations, round(m.inertia, 3)) for m in models], "k int, iterations int, inertia double")
+
+
 def kmeans_fit(spark, d):
     """To convergence: one row per (k, metric)."""
     specs = [kmeans.KMeansSpec(k, m, seed=3) for k in (2, 3, 4) for m in kmeans.METRICS]
@@ -312,6 +356,12 @@ def fcm_labels(spark, d):
     return model.transform(x).select("id", "cluster")
 
 
+def fcm_change(spark, d):
+    """Largest membership change of the last round, with and without suppression."""
+    models = fuzzy.fit_fuzzy(inputs.lineitem(spark, d), [fuzzy.FuzzySpec(3, m, a, 5, max_iters=3, tol=0.0) for m, a in ((2.0, 1.0), (1.5, 0.5))])
+    return spark.createDataFrame([(m.spec.m, m.spec.alpha, round(m.change, 6)) for m in models], "m double, alpha double, change double")
+
+
 def fcm_fit(spark, d):
     models = fuzzy.fit_fuzzy(inputs.lineitem(spark, d), [fuzzy.FuzzySpec(3, 2.0, 1.0, 1), fuzzy.FuzzySpec(3, 1.5, 0.5, 1)])
     return spark.createDataFrame([(m.spec.m, m.spec.alpha, m.iterations, m.change) for m in models], "m double, alpha double, iterations int, change double")
@@ -320,8 +370,30 @@ def fcm_fit(spark, d):
 # -- mixtures -------------------------------------------------------------------------------
 
 
-def _event_mixture(spark, d):
-    return gmm.fit_mixture(inputs.events(spark, d), [gmm.MixtureSpec(2, "random", 3, 1e-4, max_iters=3, tol=0.0)])[0]
+def _event_mixture(spark, d, reg_covar=1e-4):
+    return gmm.fit_mixture(inputs.events(spark, d), [gmm.MixtureSpec(2, "random", 3, reg_covar, max_iters=3, tol=0.0)])[0]
+
+
+def gmm_labels(spark, d):
+    """Likeliest component of every row."""
+    return _event_mixture(spark, d).transform(inputs.events(spark, d)).select("id", "cluster")
+
+
+def gmm_failure(spark, d):
+    """More components than rows: the task gives a row with its error, the others are fitted."""
+    means = _class_means(spark, d).select(F.col("label").cast("bigint").alias("id"), F.col("mean").alias("features"), F.col("label").cast("string").alias("label"))
+    task = dict.fromkeys(grids.TASK_COLUMNS) | {"session": "S1", "dataset": "means", "algorithm": "GaussianMixture", "init_params": "k-means++", "run_id": 0}
+    out = grids.run_tasks("means", means, [task | {"n_components": k, "n_clusters": k} for k in (2, means.count() + 1)])
+    return out.groupBy(F.col("error").isNotNull().alias("failed")).agg(F.count("*").alias("tasks"), F.count("bic").alias("with_bic"))
+
+
+def gmm_regularised(spark, d):
+    return _components(spark, _event_mixture(spark, d, reg_covar=0.1))
+
+
+def _components(spark, m):
+    rows = [(j, round(float(m.weights[j]), 6), round(float(m.means[j, 0]), 6), round(float(m.covariances[j, 0, 0]), 6)) for j in range(2)]
+    return spark.createDataFrame(rows, "component int, weight double, mean double, variance double")
 
 
 def gmm_fit(spark, d):
@@ -359,9 +431,9 @@ def gmm_predict(spark, d):
 # -- agglomerative --------------------------------------------------------------------------
 
 
-def _linked(linkage, metric="euclidean", k=10):
+def _linked(linkage, metric="euclidean", k=10, **sizes):
     def query(spark, d):
-        return merge_tree(inputs.embeddings(spark, d), metric, linkage).labels(k)
+        return merge_tree(inputs.embeddings(spark, d), metric, linkage, **sizes).labels(k)
 
     return query
 
@@ -461,6 +533,18 @@ def match_clusters(spark, d):
     return matching.match_clusters(evaluate.contingency(_flagged_lines(spark, d)))
 
 
+def match_blocks(spark, d):
+    """Many more clusters than classes, matched block by block."""
+    x = _flagged_lines(spark, d).withColumn("cluster", F.floor(C.hash_uniform("id", 0, 4) * 40).cast("int"))
+    return matching.match_clusters(evaluate.contingency(x), block=6)
+
+
+def matched_fekm_rounds(spark, d):
+    """Confusion with matched clusters after two rounds from the farthest pair."""
+    e = inputs.embeddings(spark, d)
+    return matching.matched_confusion(fekm.fit_fekm(e, [FEKM_K], max_iters=2, tol=0.0)[FEKM_K, "euclidean"].transform(e))
+
+
 def relabel(spark, d):
     x = _flagged_lines(spark, d)
     return matching.relabel(x, matching.match_clusters(evaluate.contingency(x))).select("id", "matched")
@@ -567,6 +651,24 @@ def results_csv_roundtrip(spark, d):
     return back.groupBy("algorithm", "dataset").agg(F.count("*").alias("n"), F.sum(F.col("purity").cast("double")).alias("purity"))
 
 
+def results_by_dataset(spark, d):
+    """Results written one folder per dataset; one of the folders read by itself, and all."""
+    path = _scratch(spark, "by-dataset")
+    results.write_results(inputs.runs(spark, d), path, split_by="dataset", fmt="parquet")
+    whole = results.read_results(spark, path).groupBy("dataset").agg(F.count("*").alias("n"), F.sum("purity").alias("purity"))
+    alone = spark.read.parquet(f"{path}/dataset=A").agg(F.lit("A alone").alias("dataset"), F.count("*").alias("n"), F.sum("purity").alias("purity"))
+    return whole.unionByName(alone)
+
+
+def results_newest(spark, d):
+    """Only the newest run of an appended results table."""
+    path, runs = _scratch(spark, "newest"), inputs.runs(spark, d)
+    for stamp in ("20250101_080000", "20250301_080000", "20250201_080000"):
+        part = runs.where(F.col("algorithm") == "Agglomerative") if stamp.startswith("202502") else runs
+        results.write_results(part.withColumn("run_ts", F.lit(stamp)), path, fmt="parquet")
+    return results.read_results(spark, path, newest_by="run_ts").groupBy("run_ts", "algorithm").agg(F.count("*").alias("n"))
+
+
 def results_scan(spark, d):
     path = _scratch(spark, "scan")
     t = inputs.runs(spark, d).drop("run_key")
@@ -591,8 +693,11 @@ QUERIES = {
         gmm_fit, gmm_bic, gmm_inits, gmm_predict, pca_mean_cov, pca_components, pca_transform, pca_reconstruct,
         pca_variance_ratio, pca_then_fekm, contingency, confusion_normalized, davies_bouldin, metric_suite, match_clusters,
         relabel, matched_confusion, matched_fekm, grid, grid_resume, grid_run, experiment_resume, prep_new_rows, gmm_gaps, compile_results, run_counts, distinct_values,
-        results_numeric, best_config, projected_points, arff_ingest, results_csv_roundtrip, results_scan,
+        results_numeric, best_config, projected_points, arff_ingest, results_csv_roundtrip, results_scan, results_by_dataset, results_newest,
+        prep_wide, prep_many_classes, kmeans_wide, kmeans_converged, fcm_change, gmm_labels, gmm_regularised, gmm_failure, match_blocks, matched_fekm_rounds,
     )},
+    "agg_complete_rounds": _linked("complete", finish=1), "agg_average_rounds": _linked("average", "cosine", finish=1),
+    "agg_single_rounds": _linked("single", finish=1),
     "kernel_kmeans_rbf": _kernel("rbf"), "kernel_kmeans_linear": _kernel("linear"),
     "fcm_membership": _fcm_memberships(2.0, 1.0), "fcm_suppressed": _fcm_memberships(1.5, 0.5),
     "agg_single": _linked("single"), "agg_complete": _linked("complete"), "agg_average": _linked("average", "cosine"),

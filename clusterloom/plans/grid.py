@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType
 from clusterloom.operators.prep import nan_to_zero
 from clusterloom.operators import evaluate
 from clusterloom.operators.agglomerative import merge_tree
-from clusterloom.operators.blocks import Blocks
+from clusterloom.operators.blocks import Blocks, vectors
 from clusterloom.operators.fekm import fit_fekm
 from clusterloom.operators.fuzzy import FuzzySpec, fit_fuzzy
 from clusterloom.operators.gmm import MixtureSpec, fit_mixture
@@ -176,7 +176,7 @@ def _by_models(space, models, values):
     good = [i for i, m in enumerate(models) if not getattr(m, "error", None)]
     if not good:
         return None, [], values
-    return space.withColumn("clusters", assign_all(F.col("features"), [models[i] for i in good])), good, values
+    return space.withColumn("clusters", assign_all(vectors(space), [models[i] for i in good])), good, values
 
 
 def _agglomerative(space, packed, tasks):

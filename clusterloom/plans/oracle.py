@@ -145,6 +145,39 @@ PREP = {
     "sample_exact": f"SELECT id FROM (SELECT {LINE_KEY} AS id FROM lineitem) ORDER BY {order_hash('id', 42)}, id LIMIT 3000",
 }
 
+# lines as sparse rows: the number, then the flags, then the orders
+GOODS = [
+    f"t AS MATERIALIZED (SELECT {LINE_KEY} AS id, l_quantity AS q, l_returnflag AS flag, 'o' || l_orderkey AS goods, l_linestatus AS status FROM lineitem)",
+    "b AS (SELECT min(q) AS lo, max(q) AS hi FROM t)",
+    "flags AS (SELECT flag, row_number() OVER (ORDER BY flag) AS pos FROM (SELECT DISTINCT flag FROM t))",
+    "orders_ AS (SELECT goods, row_number() OVER (ORDER BY goods) + (SELECT count(*) FROM flags) AS pos FROM (SELECT DISTINCT goods FROM t))",
+    "states AS (SELECT status, row_number() OVER (ORDER BY status) - 1 AS label FROM (SELECT DISTINCT status FROM t))",
+    "l AS MATERIALIZED (SELECT id, 0 AS pos, (q - lo) / (hi - lo) AS v FROM t, b WHERE q > lo UNION ALL SELECT id, pos, 1.0 FROM t JOIN flags USING (flag) UNION ALL SELECT id, pos, 1.0 FROM t JOIN orders_ USING (goods))",
+]
+
+
+def _sparse_rounds(k=3, seed=1, iters=2):
+    out = [
+        "nx AS MATERIALIZED (SELECT id, sum(v * v) AS xx FROM l GROUP BY id)",
+        f"c0 AS MATERIALIZED (SELECT rn - 1 AS cl, pos, v FROM l JOIN (SELECT id, row_number() OVER (ORDER BY {order_hash('id', seed)}, id) AS rn FROM t) USING (id) WHERE rn <= {k})",
+    ]
+    for n in range(iters + 1):
+        out += [
+            f"cc{n} AS (SELECT cl, sum(v * v) AS cc FROM c{n} GROUP BY cl)",
+            f"dp{n} AS (SELECT l.id, c.cl, sum(l.v * c.v) AS s FROM l JOIN c{n} c ON c.pos = l.pos GROUP BY l.id, c.cl)",
+            f"d{n} AS (SELECT nx.id, cc.cl, xx + cc - 2 * coalesce(s, 0) AS d FROM nx CROSS JOIN cc{n} cc LEFT JOIN dp{n} dp ON dp.id = nx.id AND dp.cl = cc.cl)",
+            f"a{n} AS MATERIALIZED (SELECT id, arg_min(cl, {{'d': round(d, 9), 'cl': cl}}) AS cl, min(d) AS d FROM d{n} GROUP BY id)",
+            f"c{n + 1} AS MATERIALIZED (SELECT a.cl, l.pos, sum(l.v) / any_value(n) AS v FROM l JOIN a{n} a ON a.id = l.id JOIN (SELECT cl, count(*) AS n FROM a{n} GROUP BY cl) z ON z.cl = a.cl GROUP BY a.cl, l.pos)",
+        ]
+    return out
+
+
+PREP |= {
+    "prep_wide": with_(GOODS) + f"SELECT l.id, CAST(label AS INTEGER) AS label, CAST(pos AS BIGINT) AS position, {rnd('v', 6)} AS value FROM l JOIN t ON t.id = l.id JOIN states USING (status)",
+    "prep_many_classes": with_(GOODS[:1]) + "SELECT id, CAST(dense_rank() OVER (ORDER BY cls) - 1 AS INTEGER) AS label FROM (SELECT id, CASE WHEN q > 2 THEN goods ELSE 'nan' END AS cls FROM t)",
+    "kmeans_wide": with_(GOODS, _sparse_rounds()) + "SELECT CAST(cl AS INTEGER) AS cluster, count(*) AS n, (SELECT round(sum(d), 4) FROM a2) AS inertia FROM a2 GROUP BY cl",
+}
+
 # -- distances
 
 OWN_MEAN = with_(
@@ -185,7 +218,19 @@ def _emb_kmeans(k, iters, metric):
     return with_(EMB, random_centres("c0", k, 7), ctes) + f"SELECT id, CAST(cl AS INTEGER) AS cluster FROM {last}"
 
 
+def _converged(k, rounds=60, seed=3, tol=1e-4):
+    """Rounds on one feature until the squared movement of the centres is below tol; clusters by number, so that a pass is one aggregate."""
+    out = [f"p0 AS (SELECT row_number() OVER (ORDER BY {order_hash('id', seed)}, id) - 1 AS cl, v AS c FROM x QUALIFY cl < {k})"]
+    for n in range(rounds):
+        nearest = f"SELECT v, arg_min(p.cl, {{'d': round(abs(v - c), 12), 'cl': p.cl}}) AS cl, min((v - c) * (v - c)) AS d FROM u CROSS JOIN p{n} p GROUP BY v"
+        out.append(f"g{n} AS MATERIALIZED (SELECT n.cl, sum(w) AS w, sum(w * n.v) AS s, sum(w * n.d) AS d FROM ({nearest}) n JOIN u ON u.v = n.v GROUP BY n.cl)")
+        out.append(f"p{n + 1} AS MATERIALIZED (SELECT cl, s / w AS c FROM g{n})")
+    moves = " UNION ALL ".join(f"SELECT {n + 1} AS r, sum((a.c - b.c) * (a.c - b.c)) AS moved, (SELECT sum(d) FROM g{min(n + 1, rounds - 1)}) AS cost FROM p{n} a JOIN p{n + 1} b USING (cl)" for n in range(rounds))
+    return with_("x AS MATERIALIZED (SELECT event_id AS id, value / 100.0 AS v FROM events)", "u AS MATERIALIZED (SELECT v, count(*) AS w FROM x GROUP BY v)", out) + f"SELECT {k} AS k, CAST(r AS INTEGER) AS iterations, round(cost, 3) AS inertia FROM ({moves}) WHERE moved < {tol} ORDER BY r LIMIT 1"
+
+
 KMEANS = {
+    "kmeans_converged": " UNION ALL ".join(f"SELECT * FROM ({_converged(k)})" for k in (2, 3)),
     "kmeans_init": with_(EMB, random_centres("c0", 10, 7)) + "SELECT cl AS cluster, id FROM c0",
     "kmeans_euclid": _emb_kmeans(10, 3, "euclidean"), "kmeans_manhattan": _emb_kmeans(5, 2, "manhattan"),
     "kmeans_centres": with_(_LINE3, lloyd(3)[0]) + centre_rows("c3"),
@@ -288,7 +333,12 @@ def fuzzy_rounds(m, alpha, rounds):
     return out
 
 
+def _fuzzy_change(m, alpha):
+    return f"SELECT {m} AS m, {alpha} AS alpha, change FROM (" + with_(fuzzy_rounds(m, alpha, 3)) + "SELECT round(max(abs(a.u - b.u)), 6) AS change FROM u3 a JOIN u2 b ON a.id = b.id AND a.cl = b.cl)"
+
+
 FUZZY = {
+    "fcm_change": f"{_fuzzy_change(2.0, 1.0)} UNION ALL {_fuzzy_change(1.5, 0.5)}",
     "fcm_init": with_(line(), _memberships0()) + f"SELECT id, CAST(cl AS INTEGER) AS cluster, {rnd('u', 6)} AS u FROM u0",
     "fcm_centres": with_(fuzzy_rounds(2.0, 1.0, 3)) + centre_rows("v3", 6),
     "fcm_membership": with_(fuzzy_rounds(2.0, 1.0, 2)) + f"SELECT id, CAST(cl AS INTEGER) AS cluster, {rnd('u', 6)} AS u FROM u2",
@@ -299,12 +349,12 @@ FUZZY = {
 # -- mixture of two one-dimensional components, random start with seed 3, three rounds
 
 
-def _mixture_rounds(rounds=3, value="value / 100.0"):
+def _mixture_rounds(rounds=3, value="value / 100.0", reg="1e-4"):
     raw = " UNION ALL ".join(f"SELECT id, v, {j} AS cl, {uniform('id', j, 3)} AS r FROM x" for j in (0, 1))
     out = [f"x AS (SELECT event_id AS id, {value} AS v FROM events)", f"r0 AS MATERIALIZED (SELECT id, v, cl, r / sum(r) OVER (PARTITION BY id) AS r FROM ({raw}))"]
     for n in range(1, rounds + 2):
         out += [
-            f"p{n} AS MATERIALIZED (SELECT cl, s / sum(s) OVER () AS w, mu, ss / s - mu * mu + 1e-4 AS var FROM (SELECT cl, sum(r) + 2.220446049250313e-15 AS s, sum(r * v) / (sum(r) + 2.220446049250313e-15) AS mu, sum(r * v * v) AS ss FROM r{n - 1} GROUP BY cl))",
+            f"p{n} AS MATERIALIZED (SELECT cl, s / sum(s) OVER () AS w, mu, ss / s - mu * mu + {reg} AS var FROM (SELECT cl, sum(r) + 2.220446049250313e-15 AS s, sum(r * v) / (sum(r) + 2.220446049250313e-15) AS mu, sum(r * v * v) AS ss FROM r{n - 1} GROUP BY cl))",
             f"j{n} AS (SELECT x.id, x.v, p.cl, ln(p.w) - 0.5 * (ln(2 * pi() * var) + (v - mu) * (v - mu) / var) AS lj FROM x CROSS JOIN p{n} p)",
             f"r{n} AS MATERIALIZED (SELECT id, v, cl, exp(lj) / sum(exp(lj)) OVER (PARTITION BY id) AS r, ln(sum(exp(lj)) OVER (PARTITION BY id)) AS ld FROM j{n})",
         ]
@@ -312,6 +362,9 @@ def _mixture_rounds(rounds=3, value="value / 100.0"):
 
 
 MIXTURE = {
+    "gmm_labels": with_(_mixture_rounds()) + "SELECT id, CAST(arg_max(cl, r) AS INTEGER) AS cluster FROM r4 GROUP BY id",
+    "gmm_regularised": with_(_mixture_rounds(reg="0.1")) + "SELECT CAST(cl AS INTEGER) AS component, round(w, 6) AS weight, round(mu, 6) AS mean, round(var, 6) AS variance FROM p4",
+    "gmm_failure": "SELECT failed, count(*) AS tasks, count(*) FILTER (NOT failed) AS with_bic FROM (SELECT k > n AS failed FROM (SELECT count(DISTINCT label) AS n FROM embeddings), unnest([2, n + 1]) u(k)) GROUP BY failed",
     "gmm_fit": with_(_mixture_rounds()) + "SELECT CAST(cl AS INTEGER) AS component, round(w, 6) AS weight, round(mu, 6) AS mean, round(var, 6) AS variance FROM p4",
     "gmm_gaps": with_(_mixture_rounds(value="CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value / 100.0 END")) + "SELECT CAST(cl AS INTEGER) AS component, round(w, 6) AS weight, round(mu, 6) AS mean, round(var, 6) AS variance FROM p4",
     "gmm_bic": with_(_mixture_rounds()) + "SELECT round(-2 * sum(ld) + 5 * ln(count(*)), 3) AS bic, round(avg(ld), 6) AS avg_log_likelihood FROM r4 WHERE cl = 0",
@@ -337,7 +390,7 @@ def _linkage_sql(linkage, metric, k=10, rounds=60) -> str:
         if linkage == "single":
             out += [
                 f"e{n} AS MATERIALIZED (SELECT a.cid, arg_min({{'o': b.cid, 'd': d, 'a': least(i, j), 'b': greatest(i, j)}}, {{'d': d, 'a': least(i, j), 'b': greatest(i, j)}}) AS e FROM pd JOIN g{n} a ON a.id = pd.i JOIN g{n} b ON b.id = pd.j WHERE a.cid <> b.cid GROUP BY a.cid)",
-                f"m{n} AS MATERIALIZED (SELECT DISTINCT e.a AS a, e.b AS b, e.d AS d, {n} AS rnd FROM e{n})",
+                f"m{n} AS MATERIALIZED (SELECT DISTINCT e.a AS a, e.b AS b, e.d AS d, 0 AS rnd FROM e{n})",
                 f"r{n} AS (SELECT cid AS u, e.o AS v FROM e{n} UNION SELECT e.o, cid FROM e{n})",
                 f"q{n} AS MATERIALIZED (WITH RECURSIVE w AS (SELECT u AS s, u AS t FROM r{n} UNION SELECT w.s, r.v FROM w JOIN r{n} r ON r.u = w.t) SELECT s, min(t) AS root FROM w GROUP BY s)",
                 f"g{n + 1} AS MATERIALIZED (SELECT id, coalesce(root, cid) AS cid FROM g{n} LEFT JOIN q{n} ON q{n}.s = cid)",
@@ -368,6 +421,8 @@ def _linkage_sql(linkage, metric, k=10, rounds=60) -> str:
 
 
 LINKAGE = {
+    "agg_complete_rounds": _linkage_sql("complete", "euclidean"), "agg_average_rounds": _linkage_sql("average", "cosine"),
+    "agg_single_rounds": _linkage_sql("single", "euclidean", rounds=9),
     "agg_single": _linkage_sql("single", "euclidean", rounds=9), "agg_complete": _linkage_sql("complete", "euclidean"),
     "agg_average": _linkage_sql("average", "cosine"), "agg_manhattan": _linkage_sql("complete", "manhattan"), "agg_ward": _linkage_sql("ward", "euclidean"),
 }
@@ -396,7 +451,10 @@ PROJECTION = {
 
 _HASHED = f"h AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f, label, CAST(floor({uniform('vec_id', 0, 9)} * 6) AS INTEGER) AS cluster FROM embeddings)"
 _LINES = "h AS (SELECT l_returnflag AS label, l_linenumber AS cluster FROM lineitem)"
-_FLAGGED = f"h AS MATERIALIZED (SELECT id, label, CAST(floor({uniform('id', 0, 4)} * 5) AS INTEGER) AS cluster FROM (SELECT {LINE_KEY} AS id, l_returnflag AS label FROM lineitem))"
+def _flagged(clusters):
+    return f"h AS MATERIALIZED (SELECT id, label, CAST(floor({uniform('id', 0, 4)} * {clusters}) AS INTEGER) AS cluster FROM (SELECT {LINE_KEY} AS id, l_returnflag AS label FROM lineitem))"
+
+
 _CELLS = "t AS MATERIALIZED (SELECT label, cluster, count(*) AS n FROM h GROUP BY label, cluster)"
 _TOTALS = "tt AS (SELECT *, sum(n) OVER (PARTITION BY label) AS a, sum(n) OVER (PARTITION BY cluster) AS b, sum(n) OVER () AS total FROM t)"
 _PURITY = "(SELECT sum(top) / sum(size) FROM (SELECT CAST(max(n) AS DOUBLE) AS top, sum(n) AS size FROM t GROUP BY cluster))"
@@ -411,18 +469,18 @@ _DBI_CTES = [
 _DBI = "(SELECT avg(w) FROM (SELECT max((a.s + b.s) / list_distance(a.m, b.m)) AS w FROM sp a JOIN sp b ON a.cluster <> b.cluster GROUP BY a.cluster))"
 
 
-def _matching_ctes(clusters=5, classes=("A", "N", "R")):
-    """Best one-to-one choice: states over sets of used classes, one step per cluster."""
-    out = [_FLAGGED, _CELLS, "st0 AS (SELECT 0 AS mask, CAST(0 AS BIGINT) AS score, CAST([] AS INTEGER[]) AS picks)"]
+def _matching_ctes(clusters=5, classes=("A", "N", "R"), rows=None):
+    """Best one-to-one choice: states over sets of used classes, one step per cluster. ``rows``: CTEs that end with h (id, label, cluster)."""
+    out = [*(rows or [_flagged(clusters)]), _CELLS, "st0 AS (SELECT 0 AS mask, CAST(0 AS BIGINT) AS score, CAST([] AS INTEGER[]) AS picks)"]
     for j in range(clusters):
         moves = [f"SELECT mask, score, list_append(picks, -{len(classes)}) AS picks FROM st{j}"]
         for i, c in enumerate(classes):
             moves.append(
-                f"SELECT mask | {1 << i}, score + coalesce((SELECT n FROM t WHERE cluster = {j} AND label = '{c}'), 0), list_append(picks, -{i}) FROM st{j} WHERE mask & {1 << i} = 0"
+                f"SELECT mask | {1 << i}, score + coalesce((SELECT n FROM t WHERE cluster = {j} AND label = {c!r}), 0), list_append(picks, -{i}) FROM st{j} WHERE mask & {1 << i} = 0"
             )
         ranked = f"SELECT *, row_number() OVER (PARTITION BY mask ORDER BY score DESC, picks DESC) AS rn FROM ({' UNION ALL '.join(moves)})"
         out.append(f"st{j + 1} AS MATERIALIZED (SELECT mask, score, picks FROM ({ranked}) WHERE rn = 1)")
-    names = "[" + ", ".join(f"'{c}'" for c in classes) + "]"
+    names = "[" + ", ".join(f"'{c}'" if isinstance(c, str) else str(c) for c in classes) + "]"
     out.append(f"best AS (SELECT picks FROM st{clusters} ORDER BY score DESC, picks DESC LIMIT 1)")
     out.append(f"mt AS MATERIALIZED (SELECT CAST(c AS INTEGER) AS cluster, CASE WHEN -picks[c + 1] < {len(classes)} THEN {names}[1 - picks[c + 1]] END AS matched FROM best, range({clusters}) r(c))")
     return out
@@ -437,6 +495,8 @@ EVALUATION = {
     "davies_bouldin": with_(_HASHED, _DBI_CTES) + f"SELECT {rnd(_DBI, 4)} AS davies_bouldin",
     "metric_suite": with_(_HASHED, _CELLS, _TOTALS, _DBI_CTES) + f"SELECT {rnd(_ARI, 6)} AS ari, {rnd(_PURITY, 6)} AS purity, {rnd(_DBI, 4)} AS davies_bouldin, {rnd(_FSCORE, 6)} AS f_measure",
     "match_clusters": with_(_matching_ctes()) + "SELECT mt.cluster, matched, coalesce(n, 0) AS overlap FROM mt LEFT JOIN t ON t.cluster = mt.cluster AND t.label = mt.matched",
+    "match_blocks": with_(_matching_ctes(40)) + "SELECT mt.cluster, matched, coalesce(n, 0) AS overlap FROM mt LEFT JOIN t ON t.cluster = mt.cluster AND t.label = mt.matched",
+    "matched_fekm_rounds": with_(_matching_ctes(4, tuple(range(10)), [*_FEKM, *lloyd(2)[0], "h AS MATERIALIZED (SELECT x.id, x.label, CAST(cl AS INTEGER) AS cluster FROM x JOIN a2 ON a2.id = x.id)"])) + "SELECT label, matched, CAST(sum(n) AS BIGINT) AS n FROM t JOIN mt USING (cluster) GROUP BY label, matched",
     "relabel": with_(_matching_ctes()) + "SELECT id, matched FROM h JOIN mt USING (cluster)",
     "matched_confusion": with_(_matching_ctes()) + "SELECT label, matched, CAST(sum(n) AS BIGINT) AS n FROM t JOIN mt USING (cluster) GROUP BY label, matched",
 }
@@ -484,6 +544,8 @@ REPORTS = {
     "fuzzifier_effect": _curve(["dataset", "param_m", "param_alpha"], "purity", "algorithm LIKE '%FCM%'", 6),
     "arff_ingest": f"SELECT c_custkey, c_name, {rnd('c_acctbal', 2)} AS c_acctbal, c_mktsegment FROM customer",
     "results_csv_roundtrip": f"WITH {RUNS} SELECT algorithm, dataset, count(*) AS n, sum(purity) AS purity FROM runs GROUP BY ALL",
+    "results_by_dataset": f"WITH {RUNS} SELECT dataset, count(*) AS n, sum(purity) AS purity FROM runs GROUP BY ALL UNION ALL SELECT 'A alone', count(*), sum(purity) FROM runs WHERE dataset = 'A'",
+    "results_newest": f"WITH {RUNS} SELECT '20250301_080000' AS run_ts, algorithm, count(*) AS n FROM runs GROUP BY ALL",
     "results_scan": f"WITH {RUNS} SELECT dataset, coalesce(n_clusters, n_components) AS k, count(*) AS n, sum(purity) AS purity FROM runs GROUP BY ALL",
 }
 

@@ -35,14 +35,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def scan_results(spark: SparkSession, roots: list[str], pattern: str = "*_final_results_compiled.csv") -> DataFrame | None:
     """All result CSV files below the existing roots whose name matches, as one typed table.
 
-    Files with different headers are read per header and united by column name.
+    The header is the first line of a file that is not blank, wherever else ``dataset`` may stand; files whose header lacks that column are no
+    result files. Files with different headers are read per header and united by column name.
     """
     present = [r for r in roots if _exists(spark, r)]
     if not present:
         return None
     opts = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
-    lines = spark.read.options(**opts).text(present).select("value", F.input_file_name().alias("file"))
-    heads = lines.where(F.col("value").rlike(r'(^|,)\s*"?dataset"?\s*(,|$)')).groupBy("value").agg(F.collect_set("file").alias("files")).collect()
+    lines = spark.read.options(**opts).text(present).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    # lines are numbered as they are read, so the least number in the block at byte 0 is the first line
+    first = lines.where("start = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "at").alias("value"))
+    heads = first.where(F.col("value").rlike(r'(^|,)\s*"?dataset"?\s*(,|$)')).groupBy("value").agg(F.collect_set("file").alias("files")).collect()
     frames = [spark.read.csv(r["files"], header=True) for r in sorted(heads, key=lambda r: r["value"])]
     return conform(unite(frames)) if frames else None
 

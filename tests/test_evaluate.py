@@ -79,6 +79,47 @@ def test_matching_is_optimal(frame, spark):
         assert len(used) == len(set(used)) and len(got) == clusters
 
 
+def _preferred(gain):
+    """All choices by brute force: the largest sum, then the least class of the first cluster, and so on (none is the largest)."""
+    n, k = gain.shape
+    options = [*range(k), *[None] * max(0, n - k)]
+    rank = lambda p: tuple(k if c is None else c for c in p)
+    return list(min(itertools.permutations(options, n), key=lambda p: (-sum(gain[i, c] for i, c in enumerate(p) if c is not None), rank(p))))
+
+
+def test_first_best_matching_of_small_tables():
+    rng = np.random.default_rng(9)
+    for shape in itertools.product(range(1, 6), range(1, 6)):
+        for top in (1, 2, 4, 50):
+            for _ in range(6):
+                gain = rng.integers(0, top, size=shape)
+                assert M.first_best(gain) == _preferred(gain), gain
+    big = rng.integers(0, 10**12, size=(40, 60))
+    match = M.first_best(big)
+    assert len(set(match)) == 40 and M.first_best(big[::-1])[::-1] == match  # without ties the order of the clusters is all the same
+
+
+@pytest.mark.parametrize("shape", [(23, 3), (3, 23), (9, 9), (1, 30), (40, 2)])
+def test_blocks_give_the_matching_of_the_whole_table(spark, shape):
+    rng = np.random.default_rng(sum(shape))
+    for top in (2, 30):
+        gain = rng.integers(0, top, size=shape)
+        gain[:, 0] += gain.sum(axis=1) == 0
+        gain[0] += gain.sum(axis=0) == 0
+        rows = [(f"c{j:03d}", i, int(gain[i, j])) for i, j in np.argwhere(gain).tolist()]
+        t = spark.createDataFrame(rows, "label string, cluster int, n bigint")
+        want = [(i, None if j is None else f"c{j:03d}", 0 if j is None else int(gain[i, j])) for i, j in enumerate(M.first_best(gain))]
+        for block in (512, 4):
+            assert sorted(tuple(r) for r in M.match_clusters(t, block).collect()) == want
+
+
+def test_matching_of_odd_tables(spark):
+    t = spark.createDataFrame([(None, 0, 5), ("a", 0, 1), ("a", None, 2)], "label string, cluster int, n bigint")
+    for block in (512, 1):
+        assert {tuple(r) for r in M.match_clusters(t, block).collect()} == {(0, None, 5), (None, "a", 2)}
+    assert M.match_clusters(t.where("n < 0")).count() == 0
+
+
 def test_matched_confusion_and_relabel(frame):
     df = scored(frame, Y, [1 - p for p in P])
     assert {tuple(r) for r in M.matched_confusion(df).collect()} == {(0, 0, 2), (0, 1, 1), (1, 1, 3)}

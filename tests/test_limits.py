@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from clusterloom.functions import linalg
-from clusterloom.operators import agglomerative, evaluate, kernel_kmeans, matching, pairs
+from clusterloom.operators import evaluate, fekm, fuzzy, kernel_kmeans, matching, pairs
 from clusterloom.operators.gmm import MixtureSpec, fit_mixture
 from clusterloom.plans import grid
 from clusterloom.sources import arff, results
@@ -26,7 +26,7 @@ def test_assignment_against_all_permutations():
     for _ in range(200):
         n, m = rnd.randint(1, 4), rnd.randint(4, 5)
         gain = [[rnd.randint(0, 6) for _ in range(m)] for _ in range(n)]
-        pick = matching.best_assignment(gain)
+        pick = matching.first_best(np.array(gain))
         assert len(set(pick)) == n
         assert sum(gain[i][c] for i, c in enumerate(pick)) == max(sum(gain[i][c] for i, c in enumerate(p)) for p in itertools.permutations(range(m), n))
 
@@ -77,6 +77,52 @@ def test_result_files_with_any_header_order(spark, tmp_path):
     assert results.scan_results(spark, [str(tmp_path)]).where("dataset = 'd'").count() == 3
 
 
+def test_headers_are_first_lines_only(spark, tmp_path):
+    """A data field that reads ``dataset`` makes no header; a file without that column is no result file; blank lines may lead."""
+    (tmp_path / "a_final_results_compiled.csv").write_text("\nalgorithm,dataset,ari\ndataset,d,0.5\nx,dataset,0.25\n")
+    (tmp_path / "b_final_results_compiled.csv").write_text("name,value\nq,dataset\n")
+    got = results.scan_results(spark, [str(tmp_path)])
+    assert sorted((r.algorithm, r.dataset, r.ari) for r in got.collect()) == [("dataset", "d", 0.5), ("x", "dataset", 0.25)]
+
+
+def test_sparse_confusion(spark):
+    t = spark.createDataFrame([("a", 1, 3), ("a", 2, 1), (None, 2, 4), ("b", None, 2)], "label string, cluster int, n bigint")
+    dense = {(r.label, r.cluster): (r.n, r.share) for r in evaluate.normalized_confusion(t).collect()}
+    assert len(dense) == 9 and dense["a", 1] == (3, 0.75) and dense[None, 2] == (4, 1.0) and dense["b", None] == (2, 1.0) and dense["b", 1] == (0, 0.0)
+    few = {(r.label, r.cluster): (r.n, r.share) for r in evaluate.normalized_confusion(t, dense=False).collect()}
+    assert few == {k: v for k, v in dense.items() if v[0]}
+    assert evaluate.normalized_confusion(t.where("n < 0")).count() == 0
+
+
+def test_farthest_pair_of_balls(spark, frame, caplog):
+    """Unit vectors in clusters: balls that cannot hold the pair do not meet, and the pair is the one of all pairs."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 6))
+    x = np.repeat(centres, 200, axis=0) + rng.normal(scale=0.02, size=(2400, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = frame(x)
+    gap = np.linalg.norm(x[:, None] - x[None], axis=2)
+    i, j = np.unravel_index(gap.argmax(), gap.shape)
+    plan, placed, met = fekm.pair_plan(rows, gap.max() * (1 - 1e-9))
+    assert met is not None and plan.ball_copies < plan.hashed_copies / 2
+    around = pairs.balls(rows, x[::40])
+    at = {r.id: r._b for r in around.rows.collect()}
+    low, high = around.nearest(), around.farthest()
+    b = np.array([at[k] for k in range(2400)])
+    assert (low[b][:, b] <= gap + 1e-9).all() and (gap <= high[b][:, b] + 1e-9).all()
+    p = fekm.farthest_pair(rows)
+    assert (p.id_a, p.id_b) == (min(i, j), max(i, j)) and np.isclose(p.distance, gap.max())
+
+
+def test_membership_change_is_that_of_the_last_round(frame):
+    x = np.random.default_rng(2).normal(size=(50, 2))
+    spec = [fuzzy.FuzzySpec(3, m, a, 1, max_iters=n, tol=0.0) for m, a in ((2.0, 1.0), (1.5, 0.5)) for n in (4, 5)]
+    four, five, four_s, five_s = fuzzy.fit_fuzzy(frame(x), spec)
+    for before, now in ((four, five), (four_s, five_s)):
+        u, v = (linalg.memberships(x, f.centres, f.spec.m, f.spec.alpha) for f in (before, now))
+        assert np.isclose(now.change, np.abs(u - v).max())
+
+
 def test_tiles_meet_every_pair_once():
     n, m = 2 * pairs.TILE_ROWS + 5, pairs.TILE_ROWS + 1
     left, right = ({"features": np.arange(k)[:, None], "id_n": np.arange(k)} for k in (n, m))
@@ -87,15 +133,6 @@ def test_tiles_meet_every_pair_once():
     assert max(len(t["id_n"]) for a, b, _ in met for t in (a, b)) <= pairs.TILE_ROWS
 
 
-def test_tiles_keep_whole_clusters_together():
-    size, t = [3, pairs.TILE_ROWS - 1, 2, 3 * pairs.TILE_ROWS + 7, 4], pairs.TILE_ROWS
-    cid, split = np.repeat(np.arange(5), size), np.repeat([False, False, False, True, False], size)
-    cuts = agglomerative._tile_cuts(cid, split)
-    assert cuts[0] == 0 and cuts[-1] == len(cid) and np.diff(cuts).max() <= t and np.diff(cuts).min() > 0
-    inner = cuts[1:-1]
-    assert all(cid[c - 1] != cid[c] or split[c] for c in inner)
-
-
 def test_kernel_sums_by_tiles():
     rng = np.random.default_rng(5)
     x, y, delta = rng.normal(size=(pairs.TILE_ROWS + 9, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 2))
