@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from clusterloom.session import shared_dir
 
@@ -42,6 +44,25 @@ def text_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``z``, the text compressed, in place of the binary column ``text``: half the bytes to shuffle."""
+    keep = [f for f in texts.schema.fields if f.name != "text"]
+
+    def scan(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            z = pa.array([press.compress(v.as_py()) for v in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), z], [*(f.name for f in keep), "z"])
+
+    return texts.mapInArrow(scan, StructType([*keep, StructField("z", BinaryType())]))
+
+
+def unpacked(column):
+    """The texts of a column of packed ones, one at a time."""
+    press = zstandard.ZstdDecompressor()
+    return (press.decompress(v.as_py()) for v in column)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1,000 rows, since texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

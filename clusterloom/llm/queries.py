@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clusterloom.llm import bucket_pointer, compression, crf_pii, fill_middle, ftrl, mixing, suffix_automaton, templates, token_groups, url_model, variant_grams, warc
+from clusterloom.llm import bucket_pointer, compression, crf_pii, debruijn, fill_middle, ftrl, mixing, suffix_automaton, templates, token_groups, url_model, variant_grams, warc
 from clusterloom.llm.oracle import ORACLES  # noqa: F401
 from clusterloom.llm.common import table
 
@@ -55,7 +55,11 @@ def op12_spelling_variants(spark, sf_dir):
     return variant_grams.report(table(spark, sf_dir, "documents"))
 
 
+def op13_word_spans(spark, sf_dir):
+    return debruijn.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_pii, op3_decontamination, op4_suffix_dedup, op5_jaccard_join, op6_url_filter, op7_warc_derivatives, op8_compression_bands, op9_quality_classifier, op10_main_text, op11_fill_middle, op12_spelling_variants)
+    for f in (op1_mixing, op2_pii, op3_decontamination, op4_suffix_dedup, op5_jaccard_join, op6_url_filter, op7_warc_derivatives, op8_compression_bands, op9_quality_classifier, op10_main_text, op11_fill_middle, op12_spelling_variants, op13_word_spans)
 }
