@@ -17,34 +17,51 @@ list and the length, which adaptive execution can split; only pairs that pass ev
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from clusterloom.llm.common import written
+from clusterloom.llm import textkit
+from clusterloom.llm.common import small_batches, written
 
-RUNS = "[A-Za-zÀ-ÿ]"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+RUNS = "[a-zÀ-ÿ]"  # of lower-cased text
 LEAST_LENGTH, LEAST_COUNT, DROP_EVERY, RATIO = 7, 2, 31, 10
 QMIN, QMAX, SHARE = 2, 3, 1 << 14
+TASK_WORDS = 1 << 14  # words that one task takes apart
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n): words of at least ``LEAST_LENGTH`` code points and ``LEAST_COUNT`` occurrences, after the seeded loss of letters.
 
-    A null text has no words; a null id draws as an empty one.
+    A null text has no words; a null id draws as an empty one; bytes that are no UTF-8 part words.
     """
-    # A loss makes a run shorter, never longer, so that shorter runs cannot become words.
-    runs = docs.select(F.col(id_col).cast("string").alias("doc"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({RUNS}{{{LEAST_LENGTH},}})"))).alias("run"))
-    low = runs.select("doc", F.translate("run", UPPER, LOWER).alias("run"))
-    drawn = low.select("run", F.crc32(F.concat_ws(":", F.coalesce("doc", F.lit("")), "run").cast("binary")).alias("h"))
-    at = F.pmod(F.col("h"), F.length("run")).cast("int")
-    lost = F.concat(F.expr("substring(run, 1, cast(pmod(h, length(run)) AS int))"), F.substring("run", at + 2, F.length("run")))
-    words = drawn.select(F.when(F.col("h") % DROP_EVERY == 0, lost).otherwise(F.col("run")).alias("word")).where(F.length("word") >= LEAST_LENGTH)
-    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    small_batches(docs.sparkSession)
+
+    def scan(batches):
+        # A loss makes a run shorter, never longer, so that shorter runs cannot become words.
+        runs = re.compile(f"{RUNS}{{{LEAST_LENGTH},}}")
+        for batch in batches:
+            counts: Counter = Counter()
+            for doc, raw in zip(batch.column("doc").to_pylist(), batch.column("text")):
+                low = (raw.as_py() or b"").translate(textkit.LOWER).decode("utf-8", "replace")
+                start = crc32(f"{doc or ''}:".encode())
+                for run, n in Counter(runs.findall(low)).items():
+                    h = crc32(run.encode(), start)
+                    if h % DROP_EVERY == 0:
+                        at = h % len(run)
+                        run = run[:at] + run[at + 1 :]
+                    if len(run) >= LEAST_LENGTH:
+                        counts[run] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    texts = docs.select(F.col(id_col).cast("string").alias("doc"), F.col(text_col).cast("binary").alias("text"))
+    return texts.mapInArrow(scan, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
 def gram_dictionary(words: DataFrame, qmin: int = QMIN, qmax: int = QMAX, share: int = SHARE) -> dict[str, int]:
@@ -127,32 +144,38 @@ def _list_rows(word: str, frequent, inside, qmin: int, qmax: int):
 
 
 def gram_lists(words: DataFrame, qmin: int = QMIN, qmax: int = QMAX, share: int = SHARE) -> DataFrame:
-    """(at, up, word, size, bound, sign): a row per word and list it is merged in, and one with ``up`` where longer words by one look for it."""
+    """(word, bound, sign, own, longer): the lists each word is merged in, and those where it looks for words longer by one."""
     frequent = words.sparkSession.sparkContext.broadcast(gram_dictionary(words, qmin, qmax, share))
 
     def scan(batches):
         known = frequent.value
         inside = infixes(known, qmax)
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
-            for word in batch.column("word").to_pylist():
+            names = batch.column("word").to_pylist()
+            bounds, signs, own, longer, ends = [], [], [], [], [0]
+            for word in names:
                 bound, sign, lists = _list_rows(word, known, inside, qmin, qmax)
-                for name in lists:
-                    for up in (False, True):
-                        row = (xxh3_64_intdigest(f"{len(word) + up} {name}") - 2**63, up, word, len(word), bound, sign)
-                        for c, v in zip(cols, row):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.int64()))], ["at", "up", "word", "size", "bound", "sign"])
+                bounds.append(bound)
+                signs.append(sign)
+                n = len(word)
+                own += [xxh3_64_intdigest(x, n) for x in lists]
+                longer += [xxh3_64_intdigest(x, n + 1) for x in lists]
+                ends.append(len(own))
+            places = pa.array(ends, pa.int32())
+            lists = (pa.ListArray.from_arrays(places, pa.array(np.array(x, np.uint64).view(np.int64))) for x in (own, longer))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(bounds, pa.int32()), pa.array(signs, pa.int64()), *lists], ["word", "bound", "sign", "own", "longer"])
 
-    return words.select("word").mapInArrow(scan, "at bigint, up boolean, word string, size int, bound int, sign bigint")
+    tasks = max(1, -(-words.count() // TASK_WORDS))
+    return words.select("word").repartition(tasks, "word").mapInArrow(scan, "word string, bound int, sign bigint, own array<bigint>, longer array<bigint>")
 
 
 def near_pairs(words: DataFrame, qmin: int = QMIN, qmax: int = QMAX, share: int = SHARE) -> DataFrame:
     """(a, b): every pair of words exactly one edit apart once, for words of at least ``2 * qmin`` code points."""
     lists = written(gram_lists(words, qmin, qmax, share))
-    one, two = lists.alias("x"), lists.where("NOT up").alias("y")
-    kept = "bit_count(x.sign & ~y.sign) <= x.bound AND bit_count(y.sign & ~x.sign) <= y.bound AND levenshtein(x.word, y.word, 1) = 1"
-    met = one.join(two, F.expr(f"x.at = y.at AND (x.up OR x.word < y.word) AND {kept}"))
+    two = lists.select(F.explode("own").alias("at"), F.lit(False).alias("up"), "word", "bound", "sign")
+    one = two.union(lists.select(F.explode("longer"), F.lit(True), "word", "bound", "sign")).alias("x")
+    kept = "bit_count(x.sign & ~y.sign) <= x.bound AND bit_count(y.sign & ~x.sign) <= y.bound AND (x.up OR x.word < y.word) AND levenshtein(x.word, y.word, 1) = 1"
+    met = one.join(two.alias("y"), F.expr(f"x.at = y.at AND {kept}"))
     return met.select(F.col("x.word").alias("a"), F.col("y.word").alias("b")).distinct()
 
 
