@@ -10,7 +10,8 @@ by the whole context of the run (a bucket of two or more: all its strings repeat
 sort does; the stages only narrow what the next one reads. A part whose shared core is alone in its bucket is dropped at once.
 
 Scale: the first scan reduces the text to one row of 56 bytes per some 160 bytes; buckets are counted with map-side aggregation and joined
-back by sort-merge joins that adaptive execution can split, so a bucket may hold any share of the rows. Bucket identifiers have 64 bits
+back by sort-merge joins that adaptive execution can split, so a bucket may hold any share of the rows. Texts meet their open anchors, and at the
+end their runs, in joins by id of packed texts, at every size alike. Bucket identifiers have 64 bits
 where they only select candidates and 128 bits where they decide.
 """
 
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterloom.llm.common import small_batches, small_or_shuffled, text_bytes, written
+from clusterloom.llm.common import packed, small_batches, small_or_shuffled, text_bytes, unpacked, written
 from clusterloom.llm.textkit import mix
 
 LENGTH = 400
@@ -106,7 +107,7 @@ def _context_scan(batches):
     """The bytes around the anchors that are left."""
     for batch in batches:
         out: list[tuple] = []
-        for doc, text, left in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "open"))):
+        for doc, text, left in zip(batch.column("doc_id").to_pylist(), unpacked(batch.column("z")), batch.column("open").to_pylist()):
             for r in left:
                 lo, hi = max(0, r["s"] - STEP), r["e"] + LENGTH + STEP
                 out.append((doc, r["p"], r["s"], r["e"], r["q"], lo, text[lo:hi]))
@@ -182,7 +183,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = [marked.where("whole").select("doc_id", F.col("s").alias("a"), (F.col("e") + LENGTH).alias("b"))]
 
     per_doc = written(_still_open(marked, "q").groupBy("doc_id").agg(F.collect_list(F.struct("p", "s", "e", "q")).alias("open")))
-    contexts = written(texts.join(small_or_shuffled(per_doc, F.size("open") * 64 + 32), "doc_id").mapInArrow(_context_scan, "doc_id bigint, p bigint, s bigint, e bigint, q bigint, at bigint, context binary"))
+    contexts = written(packed(texts.where(F.length("text") >= LENGTH)).join(per_doc, "doc_id").mapInArrow(_context_scan, "doc_id bigint, p bigint, s bigint, e bigint, q bigint, at bigint, context binary"))
     blocks = written(contexts.mapInArrow(_block_scan, "doc_id bigint, p bigint, b bigint, s bigint, e bigint, core bigint, o1 bigint, o2 bigint"))
     judged = _marked(blocks.join(_repeated(blocks, "core"), "core", "left_semi"))
     found.append(judged.where("whole").select("doc_id", F.col("s").alias("a"), (F.col("e") + LENGTH).alias("b")))
@@ -198,8 +199,8 @@ def _kept_scan(batches):
     """The texts without their runs, and counts."""
     for batch in batches:
         out = []
-        for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
-            raw, runs = text.as_py(), runs or []
+        for raw, runs in zip(unpacked(batch.column("z")), batch.column("runs").to_pylist()):
+            runs = runs or []
             edges = [0, *runs, len(raw)]
             kept = b"".join(raw[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
             out.append((len(raw), len(raw) - len(kept), len(runs) // 2, kept))
@@ -213,7 +214,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Null and empty texts, and those shorter than ``LENGTH`` bytes, lose nothing; equal texts lose all their bytes from that length on.
     """
     runs = written(repeated_runs(docs, id_col, text_col))
-    return text_bytes(docs, id_col, text_col).join(small_or_shuffled(runs, F.size("runs") * 8 + 32), "doc_id", "left").mapInArrow(_kept_scan, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return packed(text_bytes(docs, id_col, text_col)).join(runs, "doc_id", "left").mapInArrow(_kept_scan, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def report(docs: DataFrame) -> DataFrame:
