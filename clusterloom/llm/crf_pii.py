@@ -22,6 +22,7 @@ from clusterloom.llm.common import small_batches, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
+CELLS = 1 << 16
 FEATURES = 1 << 12
 #: Largest labelled table that is trained from.
 LABELLED_ROWS = 10_000
@@ -266,13 +267,13 @@ def tagged_runs(marked: str):
 
 
 def viterbi(emissions: list[np.ndarray], transitions: np.ndarray) -> list[list[int]]:
-    """Best tags of each run; runs of similar length are decoded together."""
+    """Best tags of each run; runs of similar length are decoded together, ``CELLS`` tokens at once (a longer run stands alone)."""
     tr, out = transitions + _may_follow(), [[] for _ in emissions]
     order = sorted(range(len(emissions)), key=lambda i: len(emissions[i]))
     lo = 0
     while lo < len(order):
         hi, most = lo + 1, len(emissions[order[lo]]) * 2 + 2
-        while hi < len(order) and len(emissions[order[hi]]) <= most and hi - lo < 4096:
+        while hi < len(order) and len(emissions[order[hi]]) <= most and (hi - lo + 1) * len(emissions[order[hi]]) <= CELLS:
             hi += 1
         ids = order[lo:hi]
         n = len(emissions[ids[-1]])
@@ -351,7 +352,7 @@ def fit(spark, labelled: DataFrame | None = None):
 def _report_scan(shared):
     def scan(batches):
         for batch in batches:
-            found = find([(x.as_py() or b"").decode() for x in batch.column("text")], shared.value)
+            found = find([(x.as_py() or b"").decode("utf-8", "replace") for x in batch.column("text")], shared.value)
             counts = [[sum(k == kind for _, _, k in base) for base, _ in found] for kind in KINDS]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array([hashlib.sha256(joined(b).encode()).hexdigest() for b, _ in found]), pa.array([joined(e) for _, e in found], pa.string()), pa.array([len(e) - len(b) for b, e in found], pa.int64())],
@@ -364,7 +365,8 @@ def _report_scan(shared):
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the fixed patterns), spans (all), n_added (by the field).
 
-    Offsets are code points. Null and empty texts have no spans; equal rows get equal results; other columns are ignored.
+    Offsets are code points; each stretch of bytes that is no UTF-8 counts as U+FFFD. Null and empty texts have no spans; equal rows get equal
+    results; other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -376,7 +378,7 @@ def _redact_scan(shared, text_col: str):
     def scan(batches):
         for batch in batches:
             k = batch.schema.get_field_index(text_col)
-            raw = batch.column(k).to_pylist()
+            raw = [None if x is None else x.decode("utf-8", "replace") for x in batch.column(k).cast(pa.binary()).to_pylist()]
             out = []
             for text, (_, spans) in zip(raw, find([x or "" for x in raw], shared.value)):
                 if spans:
@@ -393,7 +395,8 @@ def _redact_scan(shared, text_col: str):
 
 
 def redact(docs: DataFrame, text_col: str = "text", labelled: DataFrame | None = None) -> DataFrame:
-    """``docs`` with each span replaced by <KIND>; overlapping spans become the first one's kind. Null texts stay null."""
+    """``docs`` with each span replaced by <KIND>; overlapping spans become the first one's kind. Null texts stay null;
+    bytes that are no UTF-8 become U+FFFD."""
     spark = docs.sparkSession
     small_batches(spark)
     return docs.mapInArrow(_redact_scan(spark.sparkContext.broadcast(fit(spark, labelled)), text_col), docs.schema)
