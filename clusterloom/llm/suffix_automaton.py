@@ -5,7 +5,7 @@ run of words, ending here, that any item contains. Where that run reaches the wi
 whole documents are then removed by length and coverage limits.
 
 Scale: documents are scanned where they lie, nothing is shuffled. The automaton is broadcast; a benchmark of more than
-``ITEM_WORDS`` words is split into several automata, each with its own scan, whose spans are then merged per document.
+``ITEM_WORDS`` words is split into several automata, which the rows pass one after the other and gather their spans.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from itertools import repeat
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterloom.llm.common import small_batches, small_or_shuffled, text_bytes, written
+from clusterloom.llm.common import small_batches, text_bytes, written
 
 WINDOW = 10
 #: Words of one automaton: at most twice as many states, some 100 MB when broadcast.
@@ -156,58 +156,61 @@ def _item_groups(bench: DataFrame, item_col: str, text_col: str, limit: int):
         yield group
 
 
-def _scan(shared):
+_WORDS, _SPANS, _ITEMS = "_hit_words", "_hit_spans", "_hit_items"
+
+
+def _union(spans: list[tuple[int, int]]) -> list[int]:
+    """Merged spans as [start, end, ...]."""
+    whole: list[int] = []
+    for a, b in sorted(spans):
+        if whole and a <= whole[-1]:
+            whole[-1] = max(whole[-1], b)
+        else:
+            whole += [a, b]
+    return whole
+
+
+def _hit_scan(shared, text_col: str):
+    """Count the words and add the spans and items that an automaton finds to those a row brings along; all its columns stay, in their order."""
+
     def scan(batches):
         automaton = shared.value
         for batch in batches:
-            n, flat, items = [], [], []
-            for text in batch.column("text"):
-                words = normal_words(text.as_py())
+            n, spans, items = [], [], []
+            for text, before, named in zip(batch.column(text_col), batch.column(_SPANS).to_pylist(), batch.column(_ITEMS).to_pylist()):
+                words = normal_words(text.as_py() or b"")
                 found, owners = automaton.spans(words)
                 n.append(len(words))
-                flat.append([x for span in found for x in span])
-                items.append(sorted(map(str, owners)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(flat, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "spans", "items"])
+                spans.append(_union([*found, *zip(before[::2], before[1::2])]))
+                items.append(sorted({*named, *map(str, owners)}))
+            new = {_WORDS: pa.array(n, pa.int64()), _SPANS: pa.array(spans, pa.list_(pa.int64())), _ITEMS: pa.array(items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
 
     return scan
 
 
-def _merged(batches):
-    """Union of the spans that several automata found in a document."""
-    for batch in batches:
-        out = []
-        for spans in batch.column("spans").to_pylist():
-            whole: list[int] = []
-            for a, b in sorted((s[i], s[i + 1]) for s in spans for i in range(0, len(s), 2)):
-                if whole and a <= whole[-1]:
-                    whole[-1] = max(whole[-1], b)
-                else:
-                    whole += [a, b]
-            out.append(whole)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_words")), pa.array(out, pa.list_(pa.int64())), batch.column("items")], ["doc_id", "n_words", "spans", "items"])
+def _hits(rows: DataFrame, text_col: str, bench: DataFrame, item_col: str, item_text_col: str, window: int, item_words: int) -> DataFrame:
+    """``rows`` (``text_col`` is binary) with the merged spans and the items of all automata, one after the other over the rows themselves: each row
+    keeps what it is, whatever its id. Between two automata the rows are written, so that one at a time stands in the tasks."""
+    spark = rows.sparkSession
+    rows = rows.withColumns({_WORDS: F.lit(0).cast("bigint"), _SPANS: F.array().cast("array<bigint>"), _ITEMS: F.array().cast("array<string>")})
+    groups, shared = _item_groups(bench, item_col, item_text_col, item_words), None
+    for group in chain([next(groups, [])], groups):
+        if shared is not None:
+            rows = written(rows)
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(Automaton(group, window))
+        rows = rows.mapInArrow(_hit_scan(shared, text_col), rows.schema)
+    return rows
 
 
 def contamination(docs: DataFrame, bench: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", window: int = WINDOW, item_words: int = ITEM_WORDS) -> DataFrame:
     """(doc_id, n_words, spans, items): merged word spans [start, end, ...] that hold benchmark windows, and the items (as
-    sorted strings). A window is ``window`` words of an item, or the whole of a shorter one. Null and empty texts and items
-    have no words and never match; repeated items all count; an empty benchmark hits nothing."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts, schema = text_bytes(docs, id_col, text_col), "doc_id bigint, n_words bigint, spans array<bigint>, items array<string>"
-    parts = []
-    for group in _item_groups(bench, item_col, item_text_col, item_words):
-        if parts:
-            parts[-1] = written(parts[-1])  # one automaton at a time stands in the tasks
-        parts.append(texts.mapInArrow(_scan(spark.sparkContext.broadcast(Automaton(group, window))), schema))
-    if not parts:
-        parts = [texts.mapInArrow(_scan(spark.sparkContext.broadcast(Automaton([], window))), schema)]
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    grouped = every.groupBy("doc_id").agg(F.first("n_words").alias("n_words"), F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return grouped.mapInArrow(_merged, schema)
+    sorted strings), for every row. A window is ``window`` words of an item, or the whole of a shorter one. Null and empty texts and items
+    have no words and never match; repeated items and rows all count, ids may be equal or null; an empty benchmark hits nothing."""
+    small_batches(docs.sparkSession)
+    found = _hits(text_bytes(docs, id_col, text_col), "text", bench, item_col, item_text_col, window, item_words)
+    return found.select("doc_id", F.col(_WORDS).alias("n_words"), F.col(_SPANS).alias("spans"), F.col(_ITEMS).alias("items"))
 
 
 def _without(raw: bytes, n: int, pairs: list[tuple[int, int]], limits: Limits) -> bytes | None:
@@ -223,39 +226,28 @@ def _without(raw: bytes, n: int, pairs: list[tuple[int, int]], limits: Limits) -
     return b"".join([*keep, raw[pos:]])
 
 
-def _clean_scan(shared, text_col: str, limits: Limits):
-    """shared: an automaton, or nothing where the rows bring their spans."""
-
+def _clean_scan(text_col: str, names: list[str], limits: Limits):
     def scan(batches):
         for batch in batches:
-            k, texts = batch.schema.get_field_index(text_col), []
-            spans = None if shared else batch.column("spans").to_pylist()
-            for j, text in enumerate(batch.column(k)):
+            texts, keep = [], []
+            for text, n, flat in zip(batch.column(text_col), batch.column(_WORDS).to_pylist(), batch.column(_SPANS).to_pylist()):
                 raw = text.as_py()
-                words = normal_words((raw or "").encode())
-                flat = [x for p in shared.value.spans(words)[0] for x in p] if shared else spans[j]
-                pairs = list(zip(flat[::2], flat[1::2])) if flat else []
-                clean = _without(raw.encode(), len(words), pairs, limits) if pairs else raw
-                texts.append((clean.decode() if isinstance(clean, bytes) else clean, not pairs or clean is not None))
-            batch = batch.set_column(k, batch.schema.field(k), pa.array([t for t, _ in texts], batch.schema.field(k).type))
-            yield batch.filter(pa.array([keep for _, keep in texts])).select([c for c in batch.schema.names if shared or c != "spans"])
+                clean = _without(raw, n, list(zip(flat[::2], flat[1::2])), limits) if flat else raw
+                texts.append(None if clean is None else clean.decode("utf-8", "replace"))
+                keep.append(not flat or clean is not None)
+            done = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(done, names).filter(pa.array(keep, pa.bool_()))
 
     return scan
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, limits: Limits = Limits(), id_col="doc_id", text_col="text", **columns) -> DataFrame:
+def decontaminate(docs: DataFrame, bench: DataFrame, limits: Limits = Limits(), text_col="text", item_col="item_id", item_text_col="text", window: int = WINDOW, item_words: int = ITEM_WORDS) -> DataFrame:
     """``docs`` with every hit span cut out of the texts; a document whose hit share exceeds the coverage limit is left out.
-    All columns stay; clean texts (null included) are unchanged. One scan without a shuffle, unless the benchmark needs
-    several automata."""
-    limit = columns.get("item_words", ITEM_WORDS)
-    groups = _item_groups(bench, columns.get("item_col", "item_id"), columns.get("item_text_col", "text"), limit)
-    first, second = next(groups, []), next(groups, None)
+    All columns stay; clean texts (null included) are unchanged, but for bytes that are no UTF-8, which become U+FFFD. Rows are judged
+    one by one, so that ids do not matter. One scan without a shuffle; a benchmark of several automata writes the rows between them."""
     small_batches(docs.sparkSession)
-    if second is None:
-        shared = docs.sparkSession.sparkContext.broadcast(Automaton(first, columns.get("window", WINDOW)))
-        return docs.mapInArrow(_clean_scan(shared, text_col, limits), docs.schema)
-    hit = written(contamination(docs, bench, id_col, text_col, **columns).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_col), "spans"))
-    return docs.join(small_or_shuffled(hit, F.size("spans") * 8 + 32), id_col, "left").select(*docs.columns, "spans").mapInArrow(_clean_scan(None, text_col, limits), docs.schema)
+    found = _hits(docs.withColumn(text_col, F.col(text_col).cast("binary")), text_col, bench, item_col, item_text_col, window, item_words)
+    return found.mapInArrow(_clean_scan(text_col, docs.columns, limits), docs.schema)
 
 
 def report(docs: DataFrame, bench: DataFrame) -> DataFrame:
