@@ -80,6 +80,8 @@ class Page:
         self.subtrees: list[tuple[int, bool, bool, str]] = []
         self.text: list[str] = []
         self.templates = templates
+        self.open: dict[str, int] = {}  # elements of each name on the stack
+        self.h1 = 0
         root = self._frame("", "", None)
         self.stack = [root]
         pos = 0
@@ -111,7 +113,7 @@ class Page:
     def _frame(self, tag, attrs, parent):
         f = _Open()
         drop, main, f.name = _marked(tag, attrs)
-        f.tag, f.h1 = tag, False
+        f.tag, f.h1 = tag, self.h1
         # A header, by name or element, inside an article may hold its heading: it goes only if it has none.
         f.soft = drop and tag in ("header", "div", "hgroup", "section") and parent is not None and (parent.article or parent.main) and not parent.dropped and (tag == "header" or "header" in f.name.lower())
         f.dropped = (drop and not f.soft) or (parent is not None and parent.dropped)
@@ -157,12 +159,14 @@ class Page:
         elif tag in CELLS:
             self._put(" ")
         if tag == "h1":
-            for f in self.stack:
-                f.h1 = True
+            self.h1 += 1
         if tag not in VOID:
             self.stack.append(self._frame(tag, attrs, self.stack[-1]))
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def _end(self, tag):
+        if not self.open.get(tag):
+            return
         inline = tag not in BLOCKS and tag not in RAW
         for k in range(len(self.stack) - 1, 0, -1):
             at = self.stack[k].tag
@@ -178,13 +182,14 @@ class Page:
         if f.tag in BLOCKS:
             self._flush()
         self.stack.pop()
+        self.open[f.tag] -= 1
         if f.dropped:
             return
         digest = 0
         if f.parts:
             digest = _hash("\x01".join([f.tag, f.name, *f.parts]))
             self.stack[-1].parts.append(str(digest))
-        if f.soft and not f.h1 or digest in self.templates:
+        if f.soft and f.h1 == self.h1 or digest in self.templates:
             del self.blocks[f.blocks :]
             if f.tag not in BLOCKS:
                 del self.text[f.text :]
