@@ -45,25 +45,37 @@ def _uuid(parts: str) -> str:
     return f"'urn:uuid:' || regexp_replace(md5(concat_ws('|', {parts})), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
 
 
-def _plain_text(html: str) -> str:
-    for pattern, by in warc.TEXT_STEPS:
+def _plain_text(html: str, steps=warc.TEXT_STEPS) -> str:
+    for pattern, by in steps:
         html = f"regexp_replace({html}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
-    for ref, by in warc.REFERENCES:
-        html = f"replace({html}, {_quoted(ref)}, {_quoted(by)})"
-    return f"regexp_replace(regexp_replace({html}, {_quoted('^[ \n]+')}, ''), {_quoted('[ \n]+$')}, '')"
+    return html
+
+
+def _decoded() -> str:
+    """The text column ``t`` with its references decoded: its parts at each &, the first as it is."""
+    names = ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in warc.NAMES.items())
+    ref = f"regexp_extract(p, '^(#[0-9]{{1,9}}|#[xX][0-9A-Fa-f]{{1,8}}|[A-Za-z][A-Za-z0-9]{{0,{warc.LONGEST_NAME - 1}}});', 1)"
+    number = "CASE WHEN lower(substr(r, 2, 1)) = 'x' THEN ('0x' || lpad(substr(r, 3), 8, '0'))::BIGINT ELSE substr(r, 2)::BIGINT END"
+    return f"""
+entity AS MATERIALIZED (SELECT MAP {{{names}}} AS m),
+parts AS (SELECT i, unnest(string_split(t, '&')) AS p, generate_subscripts(string_split(t, '&'), 1) AS j FROM plain),
+refs AS (SELECT *, CASE WHEN j > 1 THEN {ref} ELSE '' END AS r FROM parts),
+chars AS (SELECT *, CASE WHEN r LIKE '#%' THEN CASE WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 THEN chr(({number})::INTEGER) ELSE chr(65533) END WHEN r <> '' THEN m[r] END AS by FROM refs, entity),
+joined AS (SELECT i, string_agg(CASE WHEN j = 1 THEN p WHEN by IS NULL THEN '&' || p ELSE by || substr(p, length(r) + 2) END, '' ORDER BY j) AS body FROM chars GROUP BY 1)"""
 
 
 OP7 = f"""
-WITH p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+WITH p AS (SELECT row_number() OVER () AS i, page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+plain AS (SELECT i, {_plain_text("payload")} AS t FROM p),{_decoded()},
 h AS (SELECT *, {_quoted("HTTP/1.1 200 OK" + warc.CRLF + "Content-Type: text/html; charset=utf-8" + warc.CRLF + "Content-Length: ")} || strlen(payload) || {_quoted(warc.CRLF * 2)} AS source_headers, 'sha256:' || sha256(payload) AS source_payload_digest FROM p),
 r AS (SELECT *, 'sha256:' || sha256(source_headers || payload) AS source_block_digest, {_uuid("'response', coalesce(page_id::VARCHAR, ''), target_uri, source_payload_digest")} AS refers_to,
-  trim(regexp_replace(regexp_extract(payload, {_quoted("(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title")}, 1), {_quoted("[ \t\r\n]+")}, ' ', 'g')) AS title,
+  trim(regexp_replace(regexp_extract({_plain_text("payload", warc.UNSHOWN)}, {_quoted("(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title")}, 1), {_quoted("[ \t\r\n]+")}, ' ', 'g')) AS title,
   regexp_extract(payload, {_quoted("(?i)<html[^>]*[ \t\r\n]lang=[\"']?([A-Za-z0-9-]+)")}, 1) AS lang,
   len(regexp_extract_all(payload, {_quoted("(?i)<a[ \t\r\n][^>]*href")})) AS links FROM h),
 b AS (
   SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS content_type, concat('title: ', title, {_quoted(warc.CRLF)}, 'language: ', lang, {_quoted(warc.CRLF)}, 'outlinks: ', links, {_quoted(warc.CRLF)},
     'source-payload-digest: ', source_payload_digest, {_quoted(warc.CRLF)}, 'source-block-digest: ', source_block_digest, {_quoted(warc.CRLF)}) AS body FROM r
-  UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', {_plain_text("payload")} FROM r)
+  UNION ALL SELECT r.*, 'conversion', 'text/plain; charset=utf-8', regexp_replace(regexp_replace(joined.body, {_quoted("^[ " + chr(10) + "]+")}, ''), {_quoted("[ " + chr(10) + "]+$")}, '') FROM r JOIN joined USING (i))
 SELECT page_id, warc_type, {_uuid("warc_type, refers_to")} AS record_id, refers_to, target_uri, '{warc.DATE}' AS date, content_type, strlen(body) AS content_length, 'sha256:' || sha256(body) AS block_digest,
   source_payload_digest, source_block_digest, source_headers, body FROM b
 """

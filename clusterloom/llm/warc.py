@@ -6,6 +6,9 @@ functions only, no shuffle: one scan. ``write_records`` and ``read_records`` sto
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +16,38 @@ VERSION = "WARC/1.1"
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
-# Fixed steps from html to text: (pattern, replacement), in this order. The blanks are written out, so that every regex engine agrees.
+# Fixed steps from html to text: (pattern, replacement), in this order; elements without text go one kind after the other, each up to its own end
+# tag (or to the end of the page). The blanks are written out, so that every regex engine agrees.
 TEXT_STEPS = (
-    ("(?s)<!--.*?-->", ""),
-    ("(?is)<(script|style|head)(?:[ \t\r\n/][^>]*)?>.*?</(?:script|style|head)[ \t\r\n]*>", ""),
+    ("(?s)<!--.*?(?:-->|\\z)", ""),
+    *((f"(?is)<{tag}(?:[ \t\r\n/][^>]*)?>.*?(?:</{tag}[ \t\r\n]*>|\\z)", "") for tag in ("script", "style", "noscript", "template", "head")),
     ("(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tr|ul)(?:[ \t\r\n/][^>]*)?>", "\n"),
     ("<[A-Za-z/!?][^>]*>", ""),
     ("[ \t\r\f]+", " "),
     (" ?\n[ \n]*", "\n"),
 )
-# Character references that are decoded; &amp; comes last.
-REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: The first of them: comments, scripts and styles, in which a title is none.
+UNSHOWN = TEXT_STEPS[:3]
+#: Named character references (those that end in a semicolon) and what they stand for.
+NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+LONGEST_NAME = max(map(len, NAMES))
+
+
+def references(text: Column) -> Column:
+    """Character references decoded once, from left to right: ``&#8217;``, ``&#x2019;`` and all named ones with a semicolon. Numbers that are no
+    character become U+FFFD; what is no reference stays."""
+    names = F.from_json(F.lit(json.dumps(NAMES)), "map<string,string>")
+
+    def decoded(part: Column, i: Column) -> Column:
+        ref = F.regexp_extract(part, "^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]{0,%d});" % (LONGEST_NAME - 1), 1)
+        number = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(F.substring(ref, 2, 9)).cast("bigint")
+        real = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(real, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+        to = F.when(ref == "", F.lit(None)).when(ref.startswith("#"), char).otherwise(F.element_at(names, ref))
+        rest = F.substring(part, F.length(ref) + 2, F.length(part))
+        return F.when(i == 0, part).otherwise(F.coalesce(F.concat(to, rest), F.concat(F.lit("&"), part)))
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&"), decoded), "")).otherwise(text)
 
 
 def record_id(*parts: Column) -> Column:
@@ -43,9 +67,7 @@ def size(text: Column) -> Column:
 def plain_text(html: Column) -> Column:
     for pattern, by in TEXT_STEPS:
         html = F.regexp_replace(html, pattern, by)
-    for ref, by in REFERENCES:
-        html = F.replace(html, F.lit(ref), F.lit(by))
-    return F.regexp_replace(F.regexp_replace(html, "^[ \n]+", ""), "[ \n]+$", "")
+    return F.regexp_replace(F.regexp_replace(references(html), "^[ \n]+", ""), "[ \n]+$", "")
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = DATE) -> DataFrame:
@@ -64,7 +86,10 @@ def derive(resp: DataFrame) -> DataFrame:
     source_block_digest, source_headers, body). Empty payloads give an empty conversion; responses without a title an empty title.
     """
     html = F.col("payload")
-    title = F.trim(F.regexp_replace(F.regexp_extract(html, "(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title", 1), "[ \t\r\n]+", " "))
+    shown = html
+    for pattern, by in UNSHOWN:
+        shown = F.regexp_replace(shown, pattern, by)
+    title = F.trim(F.regexp_replace(F.regexp_extract(shown, "(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title", 1), "[ \t\r\n]+", " "))
     lang = F.regexp_extract(html, "(?i)<html[^>]*[ \t\r\n]lang=[\"']?([A-Za-z0-9-]+)", 1)
     links = F.regexp_count(html, F.lit("(?i)<a[ \t\r\n][^>]*href"))
     fields = {"title": title, "language": lang, "outlinks": links.cast("string"), "source-payload-digest": F.col("payload_digest"), "source-block-digest": F.col("block_digest")}

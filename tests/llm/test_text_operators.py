@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from html.parser import HTMLParser
 
 import duckdb
 import pyarrow as pa
@@ -157,6 +158,50 @@ def test_decontamination(spark, docs, nothing):
     assert not any(r.contaminated for r in suffix_automaton.report(docs, bench.where("item_id = 2")).collect())
 
 
+def test_several_automata_leave_rows_apart(spark):
+    """Rows with equal or null ids and different texts are judged by themselves, by one automaton or by many."""
+    rnd = random.Random(8)
+    say = lambda n: " ".join(rnd.choice(PROSE) for _ in range(n))
+    items = [say(14) for _ in range(6)]
+    texts = [items[0] + " " + say(60), say(50), items[3] + " " + say(50), say(20), say(30) + " " + items[5] + " " + say(9) + " " + items[1], None, say(30) + " " + items[5] + " " + say(9)]
+    ids = [1, 1, None, None, 7, 7, 7]
+    rows = list(zip(ids, texts, ["own"] * 7, [[9]] * 7))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_words string, spans array<int>")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    key = lambda df: sorted(df.collect(), key=str)
+    one, many = (suffix_automaton.contamination(docs, bench, item_words=n) for n in (300_000, 10))
+    assert key(one) == key(many) and one.count() == 7
+    assert sorted(len(r["items"]) for r in many.collect()) == [0, 0, 0, 1, 1, 1, 2]
+    clean, clean_many = (suffix_automaton.decontaminate(docs, bench, item_words=n) for n in (300_000, 10))
+    assert key(clean) == key(clean_many) and clean.schema == docs.schema
+    left = [r.text for r in clean_many.collect()]
+    assert len(left) == 7 and texts[1] in left and texts[3] in left and not any(t and i in t for t in left for i in items)
+
+
+def test_texts_that_are_no_utf8(spark):
+    """Bytes that are no UTF-8 crash no scan; they count, or come back, as U+FFFD."""
+    df = spark.sql("SELECT 1L AS doc_id, string(unhex('61FF20782E7940622E636F6D20626164FE')) AS text")  # a<ff> x.y@b.com bad<fe>
+    found = crf_pii.report(df).first()
+    assert found.n_email == 1 and found.base_sha256 == hashlib.sha256(b"email:3:12").hexdigest()
+    assert crf_pii.redact(df).first().text == "a\ufffd <EMAIL> bad\ufffd"
+    bench = spark.createDataFrame([(1, "x y b com")], "item_id bigint, text string")
+    assert suffix_automaton.decontaminate(df, bench, suffix_automaton.Limits(1, 1.0)).first().text == "a\ufffd  bad\ufffd"
+
+
+def test_viterbi_cells_are_bounded(monkeypatch):
+    import numpy as np
+
+    w, t = crf_pii.fit(None)
+    rnd = np.random.default_rng(1)
+    e = [rnd.normal(size=(int(n), len(crf_pii.TAGS))) for n in rnd.integers(1, 40, 60)] + [rnd.normal(size=(300, len(crf_pii.TAGS)))]
+    want = crf_pii.viterbi(e, t)
+    full, most = np.full, []
+    monkeypatch.setattr(crf_pii, "CELLS", 100)
+    monkeypatch.setattr(np, "full", lambda shape, v, *a: most.append(shape) or full(shape, v, *a))
+    assert crf_pii.viterbi(e, t) == want
+    assert all(s[0] == 1 or s[0] * s[1] <= 100 for s in most if len(s) == 3)
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
@@ -234,6 +279,16 @@ def test_main_text(spark):
     assert [g[1:] for g in got[6:]] == [("", 0), ("", 0), ("plain text", 10), ("plain text", 10)]
 
 
+def test_deep_markup_is_read_in_one_pass():
+    import time
+
+    start = time.perf_counter()
+    for source in ("<div>" * 100_000 + "</section>" * 100_000, "<article>" + "<div><h1>x</h1>" * 50_000 + "</p>" * 100_000, "<b>" * 100_000 + "</i>text</u>" * 50_000):
+        templates.Page(source).main_text()
+    assert time.perf_counter() - start < 12
+    assert templates.Page("<article><header><div><h1>Head</h1></div></header><header>gone</header><p>t</section></p></article>").main_text() == "Head\n\nt"
+
+
 def test_copies_of_pages_are_no_templates(spark):
     """Copies, whatever their url, stay whole; what recurs on different pages beside them goes."""
     article = "<body><nav>%s</nav><article><h1>Head</h1><p>Story</p><section>Own section</section><ul><li>Own list</ul></article>"
@@ -281,6 +336,52 @@ def test_warc_round_trip(spark, tmp_path):
     assert all(back[r.record_id].body == r.body and back[r.record_id].whole and back[r.record_id].refers_to == r.refers_to for r in got.values())
 
 
+class _Reader(HTMLParser):
+    """Text of a page by a parser: no head, scripts, styles or comments; a line break at each block tag."""
+
+    GONE = {"script", "style", "noscript", "template", "head"}
+    LINES = set("address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tr ul".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.gone = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.GONE:
+            self.gone.append(tag)
+        elif tag in self.LINES:
+            self.out.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in self.GONE and tag in self.gone:
+            del self.gone[self.gone.index(tag) :]
+        elif tag in self.LINES:
+            self.out.append("\n")
+
+    def handle_data(self, data):
+        if not self.gone:
+            self.out.append(data)
+
+
+def test_plain_text_against_a_parser(spark, sf_dir):
+    """Real heads with scripts before the title, unclosed elements, references of every kind; and all given pages."""
+    head = "<html><head><meta charset=utf-8><script>if (a < b) t = '<title>no</title>';</script><style>p > a {}</style><title>TITLE</title><script src=x></script></head>"
+    made = [head + "<body><p>It&#8217;s &#x201C;quoted&#X201d; &mdash; caf&eacute; &amp;lt; &copy; AT&T &unknown; &#0; &#55555;</p><!-- a <p>b</p> --><div>x&nbsp;y</div>", "<p>a<script>no", "<HEAD ><TITLE>t</TITLE></HEAD >b<BR/>c", "a &notit; &#1114112; &#xD800; &; &#; &#x; b &ngE;"]
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows = spark.createDataFrame([(-k, "u", p) for k, p in enumerate(made, 1)], pages.schema).union(pages)
+    got = {(r.page_id, r.target_uri, r.warc_type): r.body for r in warc.report(rows).collect()}
+    blank = lambda s: re.sub(" ?\n[ \n]*", "\n", re.sub("[ \t\r\f]+", " ", s)).strip(" \n")
+    assert got[-1, "u", "conversion"] == "It\u2019s \u201cquoted\u201d \u2014 caf\u00e9 &lt; \u00a9 AT&T &unknown; \ufffd \ufffd\nx\u00a0y"
+    assert [got[-k, "u", "conversion"] for k in (2, 3)] == ["a", "b\nc"]
+    assert got[-4, "u", "conversion"] == "a &notit; \ufffd \ufffd &; &#; &#x; b \u2267\u0338" and "title: TITLE" in got[-1, "u", "metadata"]
+    for p in pages.collect():
+        reader = _Reader()
+        reader.feed(p.html or "")
+        reader.close()
+        # a parser decodes what stands between tags before blanks are joined
+        assert blank(got[p.page_id, p.url or "", "conversion"].replace("\u00a0", " ")) == blank("".join(reader.out).replace("\u00a0", " "))
+
+
 def test_mixing(spark, sf_dir, nothing):
     cells = spark.createDataFrame([(100, 0, 50), (20, 80, 30), (60, 40, 20)], "h0 int, h1 int, tokens bigint")
     rate = mixing._rate(mixing.fit_rates(cells, [0.8, 0.2]))
