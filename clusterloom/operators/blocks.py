@@ -156,19 +156,23 @@ class Blocks:
                 total[slot * SLOT : slot * SLOT + len(v)] += v
         return (total, top) if maxima else total
 
-    def best(self, fn: Callable, slots: int) -> list[Best | None]:
+    def running(self, slots: int) -> Running:
+        return Running(self, slots)
+
+    def best(self, fn: Callable, slots: int, df: DataFrame | None = None) -> list[Best | None]:
         """Per slot the row with the largest value, smallest id on ties.
 
-        ``fn(x, ids) -> (slots, n)`` scores; -inf leaves a row out.
+        ``fn(x, ids) -> (slots, n)`` scores; -inf leaves a row out. With ``df``, blocks that carry numbers, the score is what they carry.
         """
         id_type = self.id_type
 
         def partial(batches):
             found: dict[int, tuple] = {}
             for b in batches:
-                for buf, n, ids in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids")):
+                carried = b.column("m") if df is not None else [None] * b.num_rows
+                for buf, n, ids, m in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids"), carried):
                     x, ids = linalg.unpack(buf.as_buffer(), n), ids.values
-                    score = fn(x, ids)
+                    score = fn(x, ids) if df is None else linalg.unpack(m.as_buffer(), slots)
                     for s in range(slots):
                         top = score[s].max()
                         if top == -np.inf:
@@ -189,9 +193,8 @@ class Blocks:
                     }
                 )
 
-        parts = self.df.select("x", "n", "ids").mapInArrow(
-            partial, f"slot int, value double, id {id_type}, features array<double>"
-        )
+        source = self.df.select("x", "n", "ids") if df is None else df
+        parts = source.mapInArrow(partial, f"slot int, value double, id {id_type}, features array<double>")
         if self.parts * slots * (self.d + 4) * 8 > DRIVER_BYTES:
             parts = (
                 parts.groupBy("slot")
@@ -221,3 +224,34 @@ class Blocks:
                     yield pa.RecordBatch.from_arrays([ids, col], names=["id", column])
 
         return self.df.select("x", "n", "ids").mapInArrow(emit, f"id {self.id_type}, {column} {ddl}")
+
+
+class Running:
+    """Blocks that carry a number per slot and row from pass to pass, as the least distance so far: each step is one scan that measures what is new."""
+
+    def __init__(self, blocks: Blocks, slots: int):
+        self.blocks, self.slots, self.df = blocks, slots, None
+
+    def step(self, fn: Callable) -> list[Best | None]:
+        """``fn(x, ids, m) -> (slots, n)`` makes the new numbers of the old ones (None at the first step); the best row of each slot by them."""
+        old, slots = self.df, self.slots
+        source = self.blocks.df.select("x", "n", "ids") if old is None else old
+
+        def advance(batches):
+            for b in batches:
+                out = []
+                carried = b.column("m") if old is not None else [None] * b.num_rows
+                for buf, n, ids, m in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids"), carried):
+                    x = linalg.unpack(buf.as_buffer(), n)
+                    out.append(np.ascontiguousarray(fn(x, ids.values, None if m is None else linalg.unpack(m.as_buffer(), slots)), dtype=float).tobytes())
+                yield pa.RecordBatch.from_arrays([b.column("x"), b.column("n"), b.column("ids"), pa.array(out, pa.binary())], names=["x", "n", "ids", "m"])
+
+        self.df = source.mapInArrow(advance, f"x binary, n int, ids array<{self.blocks.id_type}>, m binary").persist(StorageLevel.MEMORY_AND_DISK)
+        found = self.blocks.best(None, slots, self.df)
+        if old is not None:
+            old.unpersist()
+        return found
+
+    def close(self) -> None:
+        if self.df is not None:
+            self.df.unpersist()

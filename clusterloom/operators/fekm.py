@@ -269,26 +269,41 @@ def seed_means(blocks: Blocks, pair: FarthestPair, groups: dict[int, list[SeedGr
 def maxmin_centres(blocks: Blocks, pair: FarthestPair, groups: dict[int, list[SeedGroup]], seeds: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
     """Add centres until each k is complete: the remaining row farthest from its nearest centre.
 
-    One scan per added centre for all k together. If nothing remains, all rows take part.
+    One scan per added centre for all k together, which measures that centre only: rows carry their least distance, and those of the
+    seed groups carry none. If nothing remains, all rows take part.
     """
     ends = np.array([pair.a, pair.b])
     centres = {k: c.copy() for k, c in seeds.items()}
     everyone = {k for k in groups if sum(g.count for g in groups[k]) >= blocks.n}
-    while True:
-        open_ks = [k for k in centres if len(centres[k]) < k]
-        if not open_ks:
-            return centres
-
-        def score(x, ids):
-            out = np.empty((len(open_ks), len(x)))
-            for i, k in enumerate(open_ks):
-                out[i] = np.sqrt(linalg.direct_dists(x, centres[k], "euclidean").min(axis=1))
+    names = list(centres)
+    run = blocks.running(len(names))
+    fresh = {k: c for k, c in centres.items() if len(c) < k}
+
+    def first(x, ids, _):
+        out = np.full((len(names), len(x)), -np.inf)
+        for i, k in enumerate(names):
+            if k in fresh:
+                out[i] = np.sqrt(linalg.direct_dists(x, fresh[k], "euclidean").min(axis=1))
                 if k not in everyone:
                     out[i][in_group(x, ids, ends, groups[k])[1]] = -np.inf
-            return out
-
-        for k, b in zip(open_ks, blocks.best(score, len(open_ks))):
-            centres[k] = np.vstack([centres[k], b.features])
+        return out
+
+    def nearer(x, ids, m):
+        out = m.copy()
+        for i, k in enumerate(names):
+            if k in fresh:
+                np.minimum(out[i], np.sqrt(linalg.direct_dists(x, fresh[k], "euclidean")[:, 0]), out=out[i])
+        return out
+
+    step = first
+    while fresh:
+        for k, b in zip(names, run.step(step)):
+            if k in fresh:
+                centres[k] = np.vstack([centres[k], b.features])
+        fresh = {k: c[-1:] for k, c in centres.items() if len(c) < k}
+        step = nearer
+    run.close()
+    return centres
 
 
 def fit_fekm(data: DataFrame | Blocks, ks: list[int], metrics: list[str] = ("euclidean",), max_iters: int = 300, tol: float = 1e-4) -> dict[tuple[int, str], KMeansModel]:

@@ -5,6 +5,9 @@ every cluster; when labels change, only the kernel columns of the rows that chan
 evaluated to correct those sums, which is exact and shrinks quickly. Changed rows are sent to all
 tasks while their checked size allows it and meet the table block by block otherwise. All k of a
 sweep share every kernel value.
+
+With the linear kernel the sum over a cluster is the inner product with the sum of its rows, so that rows need
+only the feature sums by which clusters change: one aggregate a round, no row is sent anywhere.
 """
 
 from __future__ import annotations
@@ -93,7 +96,7 @@ def fit_kernel_kmeans(
         return np.stack([dist[:, :k].argmin(axis=1) for k in lay.ks], axis=1)
 
     state = _blank(placed, lay)
-    small = blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
+    small = kernel != "linear" and blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
     start = lambda x, kxx, lab, s: first_labels(x, kxx)
     state = _corrected(state, start, lay, kernel, gamma, _changes(state, start, kernel) if small else None)
     held, rounds, totals = [], np.zeros(len(ks), int), None
@@ -109,7 +112,7 @@ def fit_kernel_kmeans(
             moved = changes.per_model()
         else:
             moved, rows_moved = _moved(state, relabel, lay, kernel, spread)
-            if rows_moved * _row_bytes(blocks.d, lay) <= broadcast_bytes:
+            if kernel != "linear" and rows_moved * _row_bytes(blocks.d, lay) <= broadcast_bytes:
                 changes = _changes(state, relabel, kernel)
         rounds[: len(moved)][moved > 0] = it
         if not moved.any() or it == max_iters:
@@ -157,7 +160,7 @@ def kernel_row_sums(distinct: DataFrame, blocks: Blocks, kernel: str, gamma: flo
     lay = _Layout([1])
     everyone = lambda x, kxx, lab, s: np.zeros((len(x), 1), int)
     state = _blank(distinct, lay)
-    small = blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
+    small = kernel != "linear" and blocks.n * _row_bytes(blocks.d, lay) <= broadcast_bytes
     return _corrected(state, everyone, lay, kernel, gamma, _changes(state, everyone, kernel) if small else None)
 
 
@@ -173,20 +176,22 @@ def com_distance(distinct: DataFrame, blocks: Blocks, kernel: str, gamma: float,
 
 
 def start_points(distinct: DataFrame, blocks: Blocks, k: int, kernel: str, gamma: float, total: float, broadcast_bytes: int = BROADCAST_BYTES):
-    """The row farthest from the centre of mass, then MaxMin in feature space. A prefix serves a smaller k."""
+    """The row farthest from the centre of mass, then MaxMin in feature space, one new point measured a step. A prefix serves a smaller k."""
     from clusterloom.operators.blocks import Best
 
     first = com_distance(distinct, blocks, kernel, gamma, total, broadcast_bytes).orderBy(F.desc("com"), "id").limit(1).first()
     chosen = [Best(first["com"], first["id"], np.array(first["features"]))]
+    run = blocks.running(1)
     while len(chosen) < k:
-        z = np.array([b.features for b in chosen])
-        kzz = np.diag(linalg.kernel(z, z, kernel, gamma)).copy()
+        z = chosen[-1].features[None, :]
+        kzz = float(linalg.kernel(z, z, kernel, gamma)[0, 0])
 
-        def score(x, ids):
-            d = _diag(x, kernel)[:, None] + kzz[None, :] - 2.0 * linalg.kernel(x, z, kernel, gamma)
-            return d.min(axis=1)[None, :]
+        def score(x, ids, m, z=z, kzz=kzz):
+            d = (_diag(x, kernel) + kzz - 2.0 * linalg.kernel(x, z, kernel, gamma)[:, 0])[None, :]
+            return d if m is None else np.minimum(m, d)
 
-        chosen.append(blocks.best(score, 1)[0])
+        chosen.append(run.step(score)[0])
+    run.close()
     return chosen
 
 
@@ -304,6 +309,8 @@ def _corrected(state, new_labels, lay, kernel, gamma, changes: _Changes | None)
 
     ``changes`` None: too many changed rows to send around, they meet the table block by block.
     """
+    if kernel == "linear":
+        return _corrected_by_sums(state, new_labels, lay)
     if changes is None:
         return _corrected_by_blocks(_relabelled(state, new_labels, kernel), lay, kernel, gamma)
     payload = state.sparkSession.sparkContext.broadcast((changes.x, lay.deltas(changes.old, changes.new, changes.w)))
@@ -321,6 +328,32 @@ def _corrected(state, new_labels, lay, kernel, gamma, changes: _Changes | None)
     return state.mapInArrow(emit, f"id {id_type}, features array<double>, w double, lab array<int>, s array<double>")
 
 
+def _corrected_by_sums(state: DataFrame, new_labels, lay: _Layout) -> DataFrame:
+    """The same for the linear kernel, from the features that each cluster gains (width x d numbers)."""
+    id_type = state.schema["id"].dataType.simpleString()
+
+    def gains(table):
+        total = None
+        for x, w, lab, s, _ in _batches(table):
+            new = np.asarray(new_labels(x, _diag(x, "linear"), lab, s), dtype=np.int32)
+            hit = (new != lab).any(axis=1)
+            gained = lay.deltas(lab[hit], new[hit], w[hit]).T @ x[hit]
+            total = gained if total is None else total + gained
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(range(lay.width), pa.int32()), _lists(total)], names=["c", "v"])
+
+    parts = state.mapInArrow(gains, "c int, v array<double>")
+    table = parts.groupBy("c").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("v")))).alias("v")).orderBy("c").toArrow().combine_chunks()
+    payload = state.sparkSession.sparkContext.broadcast(linalg.rows_of(table.column("v").combine_chunks()).T.copy() if table.num_rows else None)
+
+    def emit(table):
+        for x, w, lab, s, b in _batches(table):
+            new = np.asarray(new_labels(x, _diag(x, "linear"), lab, s), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("features"), b.column("w"), _lists(new), _lists(s + x @ payload.value)], names=["id", "features", "w", "lab", "s"])
+
+    return state.mapInArrow(emit, f"id {id_type}, features array<double>, w double, lab array<int>, s array<double>")
+
+
 def _lists(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(np.ascontiguousarray(m).ravel()))
 

@@ -1,11 +1,13 @@
 """ARFF text files as a Spark source.
 
-The header (a few lines) is read first; the body goes through the CSV reader of Spark, so one
+The header (a few lines) is read first, in one scan; the body goes through the CSV reader of Spark, so one
 or many files of any size are split and parsed on executors.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +16,20 @@ NUMERIC = ("numeric", "real", "integer")  # fixed values: declared numeric types
 
 
 def read_attributes(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """[(name, 'double' | 'string')] in file order."""
-    lines = spark.read.text(path).withColumn("file", F.input_file_name())
-    first = lines.agg(F.min("file")).first()[0]
-    declared = (
-        lines.where(F.col("file") == first).withColumn("row", F.monotonically_increasing_id())
-        .where(F.col("value").rlike(r"(?i)^\s*@attribute\s"))
-        .select("row", F.regexp_extract("value", ATTRIBUTE, 1).alias("name"), F.lower(F.regexp_extract("value", ATTRIBUTE, 2)).alias("type"))
-        .orderBy("row").collect()
-    )
-    return [(r["name"].strip("'\""), "double" if r["type"] in NUMERIC else "string") for r in declared]
+    """[(name, 'double' | 'string')] in the order of the first file by name; lines behind its ``@data`` declare nothing. One scan."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("at"))
+    marked = lines.where(F.col("value").rlike(r"(?i)^\s*@(attribute\s|data\s*$)"))
+    is_data = F.col("value").rlike(r"(?i)^\s*@data")
+    head = marked.groupBy("file").agg(F.min(F.when(is_data, F.col("at"))).alias("data"), F.collect_list(F.when(~is_data, F.struct("at", "value"))).alias("declared")).orderBy("file").first()
+    if head is None:
+        return []
+    out = []
+    for at, value in sorted(head["declared"]):
+        if head["data"] is None or at < head["data"]:
+            m = re.match(ATTRIBUTE, value)
+            out.append((m[1].strip("'\""), "double" if m[2].lower() in NUMERIC else "string"))
+    return out
 
 
 def read_arff(spark: SparkSession, path: str, id_col: str | None = "id") -> DataFrame:

@@ -70,6 +70,27 @@ def test_arff_rows_that_begin_with_at(spark, tmp_path):
     assert sorted((r.name, r.n) for r in arff.read_arff(spark, str(tmp_path / "t.arff")).collect()) == [("@home", 1.0), ("b", 2.0)]
 
 
+def test_arff_data_lines_declare_nothing(spark, tmp_path):
+    (tmp_path / "b.arff").write_text("@relation t\n@data\n1,2\n")
+    (tmp_path / "a.arff").write_text("% note\n@RELATION t\n@ATTRIBUTE 'my name' {a, b}\n@attribute n REAL\n\n@DATA\na,1\n@attribute x numeric\n")
+    assert arff.read_attributes(spark, str(tmp_path)) == [("my name", "string"), ("n", "double")]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "c.arff").write_text("1,2\n")
+    assert arff.read_attributes(spark, str(tmp_path / "none")) == []
+
+
+def test_linear_kernel_needs_no_pairs(frame, monkeypatch):
+    """Labels and inertia by feature sums are those of all kernel values, and no block of rows meets another."""
+    x = np.random.default_rng(3).normal(size=(60, 3))
+    monkeypatch.setattr(kernel_kmeans, "block_pairs", None)
+    model = kernel_kmeans.fit_kernel_kmeans(frame(x), [2, 4], "linear", broadcast_bytes=0)[4]
+    label = {r.id: r.cluster for r in model.labels.collect()}
+    lab = np.array([label[k] for k in range(60)])
+    gram = x @ x.T
+    cost = np.stack([np.diag(gram) - 2 * gram[:, lab == c].mean(axis=1) + gram[np.ix_(lab == c, lab == c)].mean() for c in range(4)], axis=1)
+    assert np.array_equal(cost.argmin(axis=1), lab) and np.isclose(cost.min(axis=1).sum(), model.inertia)
+
+
 def test_result_files_with_any_header_order(spark, tmp_path):
     for k, head in enumerate(("dataset,ari", "ari,dataset", '"dataset","ari"')):
         row = "d,0.5" if head[0] in 'd"' else "0.5,d"
