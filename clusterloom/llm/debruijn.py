@@ -5,9 +5,9 @@ The edges are the windows of ``WINDOW`` words, the nodes what two neighbouring w
 depends on the window alone, equal passages are cut into equal runs, except for the runs at their two ends.
 
 1. Runs whose anchor gram stands only once cannot hold a repeated window; a count and a join by gram drop them.
-2. Of the others, runs that occur twice or more are repeated edges. A join gives every occurrence what its run knows: where it occurs first, and
-   whether all its occurrences have the same run before and behind it. Where neither side of a border branches the runs join to one path,
-   and every occurrence of a path covers it whole; its first occurrence stays, the words of the others go.
+2. Of the others, runs that occur twice or more are repeated edges. A join gives every occurrence what its run knows: where it occurs first, how
+   often, and whether the same run always follows. Where it does, as often as it occurs itself, nothing branches and the runs join to one path;
+   every occurrence of a path covers it whole; its first occurrence stays, the words of the others go.
 3. Different runs with one anchor gram meet where a repeat begins or ends. Of each such run the first occurrence is taken apart, and its windows are
    compared one by one by their source coordinates.
 
@@ -15,7 +15,7 @@ Nulls and odd rows: a null text has no words. Rows with the same id and differen
 hash of the text, a null id comes before all others, and rows equal in both are one document, so that each gets the same result. Texts of
 fewer than ``WINDOW`` words keep everything; other columns are ignored.
 
-Scale: the first scan ships 8 bytes for each some seven words, the second a row of coordinates; texts meet their open runs, and at the end their
+Scale: the first scan ships 8 bytes for each some eight words, the second a row of some 35; texts meet their open runs, and at the end their
 spans, in joins by id of packed texts, whatever their size. No list is gathered but of one document's own runs. Grams and runs are counted with map-side
 aggregation; joins by gram or run can be split by adaptive execution. Words, runs and windows are compared by 64-bit hashes among those that share
 a 64-bit anchor.
@@ -120,20 +120,26 @@ def _gram_scan(window: int, gram: int):
 
 
 def _run_scan(window: int, gram: int):
-    """(document, start, anchor gram) of every edge run."""
+    """Every edge run: document, start, number of windows, anchor gram, identifier ``e``, and what identifies the run behind it in the document."""
 
     def scan(batches):
         for batch in batches:
             for first, texts in _pieces(v.as_py() for v in batch.column("text")):
                 x = _Hashed(texts, window, gram)
+                x.powers()
+                e = textkit.mix(x.stretch(x.start, x.start + x.count + window - 1) + (x.anchor - x.start).astype(np.uint64))
+                both = textkit.mix(e ^ (x.grams[x.anchor] * np.uint64(_BASE)))
+                last = np.append(x.text[1:] != x.text[:-1], True)[: len(e)]
                 row = pa.array(first + x.text)
-                yield _arrow({"doc_id": batch.column("doc_id").take(row), "t": batch.column("t").take(row), "s": x.start - x.first[x.text], "bucket": x.bucket()})
+                cols = {"doc_id": batch.column("doc_id").take(row), "t": batch.column("t").take(row), "s": x.start - x.first[x.text], "n": x.count, "bucket": x.bucket(), "e": e.view(np.int64)}
+                cols["nxt"] = pa.array(np.roll(both, -1).view(np.int64), pa.int64(), mask=last)
+                yield _arrow(cols)
 
     return scan
 
 
-def _edge_scan(window: int, gram: int):
-    """Open runs with identifier ``e``, the open runs right before and behind, and hashes of their windows."""
+def _window_scan(window: int, gram: int):
+    """Every window of the open runs of a document: start, anchor gram, hash."""
 
     def scan(batches):
         for batch in batches:
@@ -147,40 +153,33 @@ def _edge_scan(window: int, gram: int):
                     a, b = np.searchsorted(x.text, (j, j + 1))
                     is_open[a:b] = np.isin(own[a:b], wanted[first + j].values.to_numpy())
                 at = np.flatnonzero(is_open)
-                start, count, bucket = x.start[at], x.count[at], x.bucket()[at]
-                e = textkit.mix(x.stretch(start, start + count + window - 1) + (x.anchor[at] - start).astype(np.uint64)).view(np.int64)
-                joined = (x.text[at][1:] == x.text[at][:-1]) & (start[:-1] + count[:-1] == start[1:]) if len(at) else at.astype(bool)
-                before, behind = np.append(False, joined)[: len(at)], np.append(joined, False)[: len(at)]
-                ends = np.concatenate(([0], np.cumsum(count)))
-                each = np.arange(ends[-1]) - np.repeat(ends[:-1], count) + np.repeat(start, count)
-                rows = pa.array(first + x.text[at])
-                cols = {"doc_id": batch.column("doc_id").take(rows), "t": batch.column("t").take(rows), "s": own[at], "n": count, "bucket": bucket, "e": e}
-                cols["prv"] = pa.array(np.roll(e, 1), pa.int64(), mask=~before)
-                cols["nxt"] = pa.array(np.roll(e, -1), pa.int64(), mask=~behind)
-                cols["wins"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.stretch(each, each + window).view(np.int64)))
-                yield _arrow(cols)
+                start, count = x.start[at], x.count[at]
+                ends = np.concatenate(([0], np.cumsum(count))).astype(np.int64)
+                each = np.arange(ends[-1]) - np.repeat(ends[:-1] - start, count)
+                text = np.repeat(x.text[at], count)
+                rows = pa.array(first + text)
+                yield _arrow({"doc_id": batch.column("doc_id").take(rows), "t": batch.column("t").take(rows), "s": each - x.first[text], "bucket": np.repeat(x.bucket()[at], count), "w": x.stretch(each, each + window).view(np.int64)})
 
     return scan
 
 
 def _path_scan(window: int):
-    """Paths of each document: its repeated runs, joined where both sides of the border agree that nothing branches."""
+    """Word spans of the paths of each document that do not occur here first: repeated runs, joined where every occurrence of either has the other beside it."""
 
     def scan(batches):
         for batch in batches:
-            out: list[tuple] = []
+            out: list[list] = []
             for row, runs in enumerate(batch.column("runs").to_pylist()):
-                path, end, open_end = None, -1, False
+                end, before = -1, None
                 for r in sorted(runs, key=lambda r: r["s"]):
-                    if open_end and r["s"] == end and r["one_prv"]:
-                        path[2] += r["n"]
+                    if before is not None and r["s"] == end and before["one_nxt"] and before["c"] == r["c"] and before["here"] == r["here"]:
+                        out[-1][2] += r["n"]
                     else:
-                        path = [row, r["s"], r["n"], r["bucket"], r["e"]]
-                        out.append(path)
-                    end, open_end = r["s"] + r["n"], r["one_nxt"]
-            cols = list(zip(*out)) if out else [[]] * 5
+                        out.append([row, r["s"], r["s"] + r["n"] + window - 1, r["here"]])
+                    end, before = r["s"] + r["n"], r
+            cols = list(zip(*(p for p in out if not p[3]))) or [[]] * 4
             rows = pa.array(cols[0], pa.int64())
-            yield _arrow({"doc_id": batch.column("doc_id").take(rows), "t": batch.column("t").take(rows), "s": cols[1], "n": cols[2], "bucket": cols[3], "e": cols[4]})
+            yield _arrow({"doc_id": batch.column("doc_id").take(rows), "t": batch.column("t").take(rows), "a": cols[1], "b": cols[2]})
 
     return scan
 
@@ -213,26 +212,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, t int"
     counts = texts.mapInArrow(_gram_scan(window, gram), "bucket bigint, c bigint").groupBy("bucket").agg(F.sum("c").alias("c"))
     many = written(counts.where("c > 1").select("bucket"))
-    runs = texts.mapInArrow(_run_scan(window, gram), f"{key}, s bigint, bucket bigint")
-    open_runs = written(runs.join(many, "bucket", "left_semi").groupBy("doc_id", "t").agg(F.collect_set("s").alias("open")))
-    met = _by_document(packed(texts), open_runs, "inner")
-    edges = written(met.mapInArrow(_edge_scan(window, gram), f"{key}, s bigint, n bigint, bucket bigint, e bigint, prv bigint, nxt bigint, wins array<bigint>"))
-
-    def unbranched(side):
-        return (F.count(side) == F.count("*")) & (F.min(side) == F.max(side))
-
-    known = edges.groupBy("bucket", "e").agg(F.count("*").alias("c"), F.min(F.struct(*_AT)).alias("first"), unbranched("prv").alias("one_prv"), unbranched("nxt").alias("one_nxt"))
-    known = written(known.where("c > 1").drop("c"))
-    narrow = edges.select(*_AT, "n", "bucket", "e")
-    repeated = narrow.join(known.drop("first"), ["bucket", "e"]).groupBy("doc_id", "t").agg(F.collect_set(F.struct("s", "n", "bucket", "e", "one_prv", "one_nxt")).alias("runs"))
-    paths = written(repeated.mapInArrow(_path_scan(window), f"{key}, s bigint, n bigint, bucket bigint, e bigint"))
-    whole = _later(paths, ["bucket", "e", "n"]).select("doc_id", "t", F.col("s").alias("a"), (F.col("s") + F.col("n") + window - 1).alias("b"))
-
-    judged = edges.join(known.select("bucket", "e", "first"), ["bucket", "e"], "left").select(*_AT, "bucket", "e", "first", "wins")
-    judged = written(judged.where(F.col("first").isNull() | (F.struct(*_AT) == F.col("first"))).drop("first"))
-    mixed = judged.groupBy("bucket").agg(F.min("e").alias("lo"), F.max("e").alias("hi")).where("lo < hi").select("bucket")
-    single = judged.join(mixed, "bucket", "left_semi").select("doc_id", "t", "bucket", F.posexplode("wins").alias("i", "w"), "s")
-    single = written(single.select("doc_id", "t", (F.col("s") + F.col("i")).alias("s"), "bucket", "w"))
+    runs = texts.mapInArrow(_run_scan(window, gram), f"{key}, s bigint, n bigint, bucket bigint, e bigint, nxt bigint")
+    edges = written(runs.join(many, "bucket", "left_semi"))
+
+    one_nxt = (F.count("nxt") == F.count("*")) & (F.min("nxt") == F.max("nxt"))
+    known = edges.groupBy("bucket", "e").agg(F.count("*").alias("c"), F.min(F.struct(*_AT)).alias("first"), one_nxt.alias("one_nxt")).where("c > 1")
+    here = F.struct(*_AT) == F.col("first")
+    marked = written(edges.drop("nxt").join(known, ["bucket", "e"], "left").select(*_AT, "n", "bucket", "e", "c", "one_nxt", here.alias("here")))
+
+    repeated = marked.where("c IS NOT NULL").groupBy("doc_id", "t").agg(F.collect_set(F.struct("s", "n", "c", "one_nxt", "here")).alias("runs"))
+    whole = repeated.mapInArrow(_path_scan(window), f"{key}, a bigint, b bigint")
+
+    apart = marked.where("c IS NULL OR here").select(*_AT, "bucket", "e")
+    mixed = apart.groupBy("bucket").agg(F.min("e").alias("lo"), F.max("e").alias("hi")).where("lo < hi").select("bucket")
+    wanted = written(apart.join(mixed, "bucket", "left_semi").groupBy("doc_id", "t").agg(F.collect_set("s").alias("open")))
+    single = written(_by_document(packed(texts), wanted, "inner").mapInArrow(_window_scan(window, gram), f"{key}, s bigint, bucket bigint, w bigint"))
     parts = _later(single, ["bucket", "w"]).select("doc_id", "t", F.col("s").alias("a"), (F.col("s") + window).alias("b"))
     return whole.union(parts).groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
