@@ -106,13 +106,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     chosen = written(usable.where(F.crc32(F.concat(F.lit("fit"), F.col("doc_id").cast("string")).cast("binary")) < F.lit(2**32 * min(1.0, train_rows / max(total, 1)))))
     rows = text_bytes(docs, id_col, text_col).join(small_or_shuffled(chosen, 16), "doc_id").mapInArrow(_sparse_rows, "doc_id bigint, label int, bucket array<int>, value array<double>")
     rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))))
+    shards = max(1, rows.select("shard").distinct().count())  # with few labels some are empty
     weights = np.zeros(BUCKETS + 1)
     for _ in range(settings.epochs):
         start = spark.sparkContext.broadcast(weights)
         parts = rows.groupBy("shard").applyInPandas(_shard_fit(start, settings), "bucket bigint, weight double")
         summed = parts.groupBy("bucket").agg(F.sum("weight").alias("w")).toPandas()  # at most BUCKETS + 1 rows
         weights = np.zeros(BUCKETS + 1)
-        weights[summed["bucket"].to_numpy(np.int64)] = summed["w"].to_numpy() / SHARDS
+        weights[summed["bucket"].to_numpy(np.int64)] = summed["w"].to_numpy() / shards
     return weights
 
 

@@ -271,6 +271,22 @@ def test_classifier_on_held_out_rows(spark, sf_dir, nothing):
     assert ftrl.score(nothing, ftrl.fit(nothing, labels.limit(0))).count() == 0
 
 
+def test_classifier_tells_both_classes_apart(spark):
+    """Held-out rows of two kinds of text: ranked by score, and both classes predicted."""
+    rnd = random.Random(6)
+    poor = "buy now cheap click here win free offer deal best price subscribe limited".split()
+    text = lambda good: " ".join(rnd.choice(PROSE if good or rnd.random() < 0.5 else poor) for _ in range(rnd.randint(20, 60)))
+    marks = [int(rnd.random() < 0.6) for _ in range(500)]
+    docs = spark.createDataFrame([(k, text(m), "q", None) for k, m in enumerate(marks)], "doc_id bigint, text string, score string, quality int")
+    labels = spark.createDataFrame([(k, m, 0) for k, m in enumerate(marks)], "doc_id bigint, quality int, toxic int")
+    got = [(r.score, r.predicted, marks[r.doc_id]) for r in ftrl.report(docs, labels).collect() if r.held_out]
+    good, bad = ([s for s, _, m in got if m == k] for k in (1, 0))
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert len(good) > 20 and len(bad) > 20 and auc > 0.95
+    right = sum(p == m for _, p, m in got) / len(got)
+    assert right > 0.9 and {p for _, p, _ in got} == {0, 1}
+
+
 def test_main_text(spark):
     page = "<html><head><title>t</title></head><body><nav>menu</nav><div class='foo'>Same box</div><article><h1>Head %d</h1><p>One &amp;<b> two<br>three<p>Four<div class=share>x</div><section>Box of the site</section></article><footer>f"
     rows = [(k, f"http://A.org/{k}", page % k) for k in range(6)] + [(7, None, None), (8, "x", ""), (9, "http://b.org", "plain <b>text"), (9, "http://b.org", "plain <b>text")]
