@@ -164,15 +164,15 @@ class Blocks:
 
         ``fn(x, ids) -> (slots, n)`` scores; -inf leaves a row out. With ``df``, blocks that carry numbers, the score is what they carry.
         """
-        id_type = self.id_type
+        id_type, carries = self.id_type, df is not None
 
         def partial(batches):
             found: dict[int, tuple] = {}
             for b in batches:
-                carried = b.column("m") if df is not None else [None] * b.num_rows
+                carried = b.column("m") if carries else [None] * b.num_rows
                 for buf, n, ids, m in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids"), carried):
                     x, ids = linalg.unpack(buf.as_buffer(), n), ids.values
-                    score = fn(x, ids) if df is None else linalg.unpack(m.as_buffer(), slots)
+                    score = linalg.unpack(m.as_buffer(), slots) if carries else fn(x, ids)
                     for s in range(slots):
                         top = score[s].max()
                         if top == -np.inf:
@@ -234,13 +234,13 @@ class Running:
 
     def step(self, fn: Callable) -> list[Best | None]:
         """``fn(x, ids, m) -> (slots, n)`` makes the new numbers of the old ones (None at the first step); the best row of each slot by them."""
-        old, slots = self.df, self.slots
+        old, slots, carries = self.df, self.slots, self.df is not None
         source = self.blocks.df.select("x", "n", "ids") if old is None else old
 
         def advance(batches):
             for b in batches:
                 out = []
-                carried = b.column("m") if old is not None else [None] * b.num_rows
+                carried = b.column("m") if carries else [None] * b.num_rows
                 for buf, n, ids, m in zip(b.column("x"), b.column("n").to_pylist(), b.column("ids"), carried):
                     x = linalg.unpack(buf.as_buffer(), n)
                     out.append(np.ascontiguousarray(fn(x, ids.values, None if m is None else linalg.unpack(m.as_buffer(), slots)), dtype=float).tobytes())
