@@ -120,50 +120,69 @@ def _maximise(m: MixtureModel, flat: np.ndarray, shift: np.ndarray) -> None:
     m.weights, m.means, m.covariances = nk / nk.sum(), mu + shift, cov
 
 
-def spread_rows(blocks: Blocks, k: int, seed) -> np.ndarray:
-    """k rows drawn one after another with probability proportional to the squared distance to the chosen ones.
+def spread_rows(blocks: Blocks, sizes: dict) -> dict[object, np.ndarray]:
+    """For each seed as many rows as ``sizes`` says, drawn one after another with probability proportional to the squared distance to the chosen ones.
 
-    Weighted draws use exponential keys: the smallest -log(u) / weight wins, u seeded per row.
+    Weighted draws use exponential keys: the smallest -log(u) / weight wins, u seeded per row. One scan a step serves all seeds, and a prefix of
+    a seed's rows is what fewer rows would have been.
     """
-    first = blocks.rows.orderBy(C.hash_order("id", seed), "id").limit(1).first()
-    chosen = [np.array(first["features"])]
-    while len(chosen) < k:
-        centres = np.array(chosen)
-        keyed = blocks.rows.withColumn("u", C.hash_uniform("id", len(chosen), seed))
+    first = blocks.rows.agg(*[F.min_by("features", F.struct(C.hash_order("id", s), "id")).alias(f"f{i}") for i, s in enumerate(sizes)]).first()
+    chosen = {s: [linalg.vector(first[f"f{i}"])] for i, s in enumerate(sizes)}
+    while active := [s for s, k in sizes.items() if len(chosen[s]) < k]:
+        centres = [np.array(chosen[s]) for s in active]
+        keyed = blocks.rows.select("id", "features", F.array(*[C.hash_uniform("id", len(chosen[s]), s) for s in active]).alias("u"))
 
-        def key(batches):
+        def race(batches):
             for b in batches:
-                x, u = linalg.rows_of(b.column("features")), b.column("u").to_numpy()
-                if len(x):
-                    w = linalg.direct_dists(x, centres, "euclidean").min(axis=1)
+                x, u = linalg.rows_of(b.column("features")), linalg.rows_of(b.column("u"))
+                if not len(x):
+                    continue
+                ids, out = b.column("id"), []
+                for i, c in enumerate(centres):
+                    w = linalg.direct_dists(x, c, "euclidean").min(axis=1)
                     with np.errstate(divide="ignore"):
-                        cost = np.where(w > 0, -np.log(np.maximum(u, 2.0**-49)) / w, np.inf)
-                    yield pa.RecordBatch.from_arrays([b.column("id"), b.column("features"), pa.array(cost)], names=["id", "features", "cost"])
-
-        ddl = f"id {blocks.id_type}, features array<double>, cost double"
-        chosen.append(np.array(keyed.mapInArrow(key, ddl).orderBy("cost", "id").limit(1).first()["features"]))
-    return np.array(chosen)
-
-
-def _random_start(blocks: Blocks, spec: MixtureSpec, shift) -> np.ndarray:
-    hashed = blocks.rows.select("features", F.array(*[C.hash_uniform("id", j, spec.seed) for j in range(spec.k)]).alias("u"))
-    d = blocks.d
-    width = 1 + d + d * d
+                        cost = np.where(w > 0, -np.log(np.maximum(u[:, i], 2.0**-49)) / w, np.inf)
+                    tied = np.flatnonzero(cost == cost.min())
+                    names = ids.take(pa.array(tied)).to_pylist()
+                    j = min(range(len(tied)), key=names.__getitem__)
+                    out.append((i, float(cost.min()), names[j], x[int(tied[j])].tolist()))
+                types = (pa.int32(), pa.float64(), ids.type, pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(v, ty) for v, ty in zip(zip(*out), types)], names=["slot", "cost", "id", "features"])
+
+        ddl = f"slot int, cost double, id {blocks.id_type}, features array<double>"
+        won = keyed.mapInArrow(race, ddl).groupBy("slot").agg(F.min_by("features", F.struct("cost", "id")).alias("f"))
+        for r in won.collect():
+            chosen[active[r["slot"]]].append(np.array(r["f"]))
+    return {s: np.array(rows) for s, rows in chosen.items()}
+
+
+def _random_starts(blocks: Blocks, specs: list[MixtureSpec], shift) -> list[np.ndarray]:
+    """Moments under seeded random responsibilities, all specs in one scan."""
+    most: dict = {}
+    for s in specs:
+        most[s.seed] = max(most.get(s.seed, 0), s.k)
+    at, end = {}, 0
+    for seed, k in most.items():
+        at[seed], end = end, end + k
+    hashed = blocks.rows.select("features", F.array(*[C.hash_uniform("id", j, seed) for seed, k in most.items() for j in range(k)]).alias("u"))
+    spans = [(at[s.seed], s.k) for s in specs]
+    width = 1 + blocks.d + blocks.d**2
+    size = sum(k for _, k in spans)
 
     def emit(batches):
-        total = np.zeros(spec.k * width)
+        total = np.zeros(size * width)
         for b in batches:
             x, u = linalg.rows_of(b.column("features")), linalg.rows_of(b.column("u"))
             if len(x):
-                total += _moments(x, u / u.sum(axis=1, keepdims=True), shift)
-        rows = total.reshape(spec.k, width)
-        yield pa.RecordBatch.from_pydict({"slot": pa.array(range(spec.k), pa.int32()), "v": pa.array(rows.tolist(), pa.list_(pa.float64()))})
+                total += np.concatenate([_moments(x, u[:, a : a + k] / u[:, a : a + k].sum(axis=1, keepdims=True), shift) for a, k in spans])
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(range(size), pa.int32()), "v": pa.array(total.reshape(size, width).tolist(), pa.list_(pa.float64()))})
 
-    out = np.zeros((spec.k, width))
+    out = np.zeros((size, width))
     parts = hashed.mapInArrow(emit, "slot int, v array<double>")
     for r in parts.select("slot", F.posexplode("v").alias("p", "v")).groupBy("slot", "p").agg(F.sum("v").alias("v")).collect():
         out[r["slot"], r["p"]] = r["v"]
-    return out.ravel()
+    cuts = np.cumsum([0] + [k for _, k in spans])
+    return [out[a:b].ravel() for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def fit_mixture(data: DataFrame | Blocks, specs: list[MixtureSpec]) -> list[MixtureModel]:
@@ -179,38 +198,54 @@ def fit_mixture(data: DataFrame | Blocks, specs: list[MixtureSpec]) -> list[Mixt
         if m.spec.k > blocks.n:
             m.error = f"{m.spec.k} components asked from {blocks.n} rows"
     _start(blocks, [m for m in models if m.error is None], shift)
-    width = 1 + blocks.d + blocks.d**2
-    group, numbers = [], 0
-    for m in [m for m in models if m.error is None]:
-        if group and numbers + m.spec.k * width > STAT_NUMBERS:
-            _em(blocks, group, shift)
-            group, numbers = [], 0
-        group.append(m)
-        numbers += m.spec.k * width
-    if group:
+    for group in _in_chunks([m for m in models if m.error is None], blocks.d):
         _em(blocks, group, shift)
     return models
 
 
 def _start(blocks: Blocks, models: list[MixtureModel], shift) -> None:
-    by_kmeans = [m for m in models if m.spec.init_params == "kmeans"]
-    if by_kmeans:
-        fits = fit_many(blocks, [KMeansSpec(m.spec.k, seed=m.spec.seed) for m in by_kmeans])
-        for m, f in zip(by_kmeans, fits):
+    """First moments of all models; the number of scans does not grow with the number of models."""
+    by = {kind: [m for m in models if m.spec.init_params == kind] for kind in INITS}
+    for chunk in _in_chunks(by["kmeans"], blocks.d):
+        centres = [f.centres for f in fit_many(blocks, [KMeansSpec(m.spec.k, seed=m.spec.seed) for m in chunk])]
+
+        def hard(x):
+            parts = []
+            for c in centres:
+                r = np.zeros((len(x), len(c)))
+                r[np.arange(len(x)), linalg.nearest(x, c, "euclidean")[0]] = 1.0
+                parts.append(_moments(x, r, shift))
+            return np.concatenate(parts)
+
+        width = 1 + blocks.d + blocks.d**2
+        flat, at = blocks.sums(hard, sum(m.spec.k for m in chunk) * width), 0
+        for m in chunk:
+            _maximise(m, flat[at : at + m.spec.k * width], shift)
+            at += m.spec.k * width
+    for chunk in _in_chunks(by["random"], blocks.d):
+        for m, flat in zip(chunk, _random_starts(blocks, [m.spec for m in chunk], shift)):
+            _maximise(m, flat, shift)
+    if by["k-means++"]:
+        most: dict = {}
+        for m in by["k-means++"]:
+            most[m.spec.seed] = max(most.get(m.spec.seed, 0), m.spec.k)
+        drawn = spread_rows(blocks, most)
+        for m in by["k-means++"]:
+            # each drawn row alone is the member of its component
+            _maximise(m, _moments(drawn[m.spec.seed][: m.spec.k], np.eye(m.spec.k), shift), shift)
 
-            def hard(x, f=f):
-                r = np.zeros((len(x), len(f.centres)))
-                r[np.arange(len(x)), linalg.nearest(x, f.centres, "euclidean")[0]] = 1.0
-                return _moments(x, r, shift)
 
-            _maximise(m, blocks.sums(hard, m.spec.k * (1 + blocks.d + blocks.d**2)), shift)
+def _in_chunks(models: list[MixtureModel], d: int):
+    """Groups of models whose moments stay within STAT_NUMBERS."""
+    width, group, numbers = 1 + d + d**2, [], 0
     for m in models:
-        if m.spec.init_params == "random":
-            _maximise(m, _random_start(blocks, m.spec, shift), shift)
-        elif m.spec.init_params == "k-means++":
-            # each drawn row alone is the member of its component
-            rows = spread_rows(blocks, m.spec.k, m.spec.seed)
-            _maximise(m, _moments(rows, np.eye(m.spec.k), shift), shift)
+        if group and numbers + m.spec.k * width > STAT_NUMBERS:
+            yield group
+            group, numbers = [], 0
+        group.append(m)
+        numbers += m.spec.k * width
+    if group:
+        yield group
 
 
 def _em(blocks: Blocks, models: list[MixtureModel], shift) -> None:

@@ -477,6 +477,13 @@ def pca_variance_ratio(spark, d):
     return spark.createDataFrame(rows, "p int, ratio double, lost double")
 
 
+def pca_plane_fekm(spark, d):
+    """Farthest-pair start and two rounds in the plane of the components of two features."""
+    e = inputs.embeddings(spark, d).withColumn("features", F.slice("features", 1, 2))
+    plane = pca.fit_pca(e).transform(e, 2)
+    return fekm.fit_fekm(plane, [FEKM_K], max_iters=2, tol=0.0)[FEKM_K, "euclidean"].transform(plane).select("id", "cluster")
+
+
 def pca_then_fekm(spark, d):
     e = inputs.embeddings(spark, d)
     m, out = pca.fit_pca(e), []
@@ -694,7 +701,7 @@ QUERIES = {
         pca_variance_ratio, pca_then_fekm, contingency, confusion_normalized, davies_bouldin, metric_suite, match_clusters,
         relabel, matched_confusion, matched_fekm, grid, grid_resume, grid_run, experiment_resume, prep_new_rows, gmm_gaps, compile_results, run_counts, distinct_values,
         results_numeric, best_config, projected_points, arff_ingest, results_csv_roundtrip, results_scan, results_by_dataset, results_newest,
-        prep_wide, prep_many_classes, kmeans_wide, kmeans_converged, fcm_change, gmm_labels, gmm_regularised, gmm_failure, match_blocks, matched_fekm_rounds,
+        prep_wide, prep_many_classes, kmeans_wide, kmeans_converged, fcm_change, gmm_labels, gmm_regularised, gmm_failure, match_blocks, matched_fekm_rounds, pca_plane_fekm,
     )},
     "agg_complete_rounds": _linked("complete", finish=1), "agg_average_rounds": _linked("average", "cosine", finish=1),
     "agg_single_rounds": _linked("single", finish=1),

@@ -437,8 +437,14 @@ _PLANE = [
     "un AS (SELECT *, b / sqrt(b * b + (l0 - a) * (l0 - a)) AS e0, (l0 - a) / sqrt(b * b + (l0 - a) * (l0 - a)) AS e1 FROM ev)",
     "sg AS MATERIALIZED (SELECT m0, m1, l0, l1, e0 * s0 AS u0, e1 * s0 AS u1, -e1 * s1 AS w0, e0 * s1 AS w1 FROM (SELECT *, CASE WHEN (CASE WHEN abs(e0) >= abs(e1) THEN e0 ELSE e1 END) < 0 THEN -1 ELSE 1 END AS s0, CASE WHEN (CASE WHEN abs(e1) >= abs(e0) THEN -e1 ELSE e0 END) < 0 THEN -1 ELSE 1 END AS s1 FROM un))",
 ]
+_EMB_PLANE = [
+    "x0 AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding[1:2] AS DOUBLE[]) AS f FROM embeddings)",
+    *(c.replace("FROM x)", "FROM x0)") for c in _PLANE[1:]),
+    "x AS MATERIALIZED (SELECT id, [(f[1] - m0) * u0 + (f[2] - m1) * u1, (f[1] - m0) * w0 + (f[2] - m1) * w1] AS f FROM x0, sg)",
+]
 _Z0 = "((f[1] - m0) * u0 + (f[2] - m1) * u1)"
 PROJECTION = {
+    "pca_plane_fekm": with_(_EMB_PLANE, _FEKM[1:], lloyd(2)[0]) + "SELECT id, CAST(cl AS INTEGER) AS cluster FROM a2",
     "pca_mean_cov": with_(
         EMB, "l AS MATERIALIZED (SELECT id, unnest(f) AS v, generate_subscripts(f, 1) - 1 AS pos FROM x)", "mu AS (SELECT pos, avg(v) AS m FROM l GROUP BY pos)"
     ) + f"SELECT CAST(a.pos AS INTEGER) AS i, CAST(b.pos AS INTEGER) AS j, {rnd('any_value(m)', 6)} AS mean, {rnd('covar_samp(a.v, b.v)', 6)} AS covariance FROM l a JOIN l b ON a.id = b.id JOIN mu ON mu.pos = a.pos GROUP BY a.pos, b.pos",

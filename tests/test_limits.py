@@ -8,7 +8,8 @@ import pyarrow as pa
 import pytest
 
 from clusterloom.functions import linalg
-from clusterloom.operators import evaluate, fekm, fuzzy, kernel_kmeans, matching, pairs
+from clusterloom.operators import evaluate, fekm, fuzzy, gmm, kernel_kmeans, matching, pairs
+from clusterloom.operators.blocks import Blocks
 from clusterloom.operators.gmm import MixtureSpec, fit_mixture
 from clusterloom.plans import grid
 from clusterloom.sources import arff, results
@@ -49,6 +50,28 @@ def test_kernels_are_fitted_apart_and_faults_stay_alone(spark, frame):
     assert got[2].inertia is not None and got[2].error is None
 
 
+def test_mixture_starts_share_their_scans(spark, frame):
+    """As many jobs for many seeds as for one, and each model starts as it does alone."""
+    x = np.random.default_rng(7).normal(size=(60, 2))
+    blocks, shift = Blocks(frame(x)), x.mean(axis=0)
+    made = []
+
+    def started(specs, name):
+        spark.sparkContext.setJobGroup(name, name)
+        models = [gmm.MixtureModel(s, 60) for s in specs]
+        gmm._start(blocks, models, shift)
+        made.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+        return models
+
+    specs = [MixtureSpec(k, kind, seed=s) for kind in ("random", "k-means++") for s in range(4) for k in (2, 3)]
+    many = started(specs, "many")
+    started([specs[1], specs[-1]], "few")
+    assert made[0] == made[1]
+    for i in (0, 5, 9, 14):
+        one = started([specs[i]], f"one{i}")[0]
+        assert np.allclose(one.means, many[i].means) and np.allclose(one.weights, many[i].weights)
+
+
 def test_mixture_over_missing_values(frame):
     x = np.random.default_rng(4).normal(size=(40, 2))
     y = x.copy()
