@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterloom.llm.common import packed, small_batches, small_or_shuffled, text_bytes, unpacked, written
+from clusterloom.llm.common import packed, small_batches, text_bytes, unpacked, written
 from clusterloom.llm.textkit import mix
 
 LENGTH = 400
@@ -139,7 +139,7 @@ def _string_scan(batches):
 
 def _repeated(df: DataFrame, *keys: str) -> DataFrame:
     """Bucket identifiers that two or more rows have, as a table of its own: a join with it can be split where a bucket is hot."""
-    return small_or_shuffled(written(df.groupBy(*keys).count().where("count > 1").drop("count")), 16 * len(keys))
+    return written(df.groupBy(*keys).count().where("count > 1").drop("count"))
 
 
 def _still_open(marked: DataFrame, bucket: str) -> DataFrame:
