@@ -60,8 +60,8 @@ def _decoded() -> str:
 entity AS MATERIALIZED (SELECT MAP {{{names}}} AS m),
 parts AS (SELECT i, unnest(string_split(t, '&')) AS p, generate_subscripts(string_split(t, '&'), 1) AS j FROM plain),
 refs AS (SELECT *, CASE WHEN j > 1 THEN {ref} ELSE '' END AS r FROM parts),
-chars AS (SELECT *, CASE WHEN r LIKE '#%' THEN CASE WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 THEN chr(({number})::INTEGER) ELSE chr(65533) END WHEN r <> '' THEN m[r] END AS by FROM refs, entity),
-joined AS (SELECT i, string_agg(CASE WHEN j = 1 THEN p WHEN by IS NULL THEN '&' || p ELSE by || substr(p, length(r) + 2) END, '' ORDER BY j) AS body FROM chars GROUP BY 1)"""
+chars AS (SELECT *, CASE WHEN r LIKE '#%' THEN CASE WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 THEN chr(({number})::INTEGER) ELSE chr(65533) END WHEN r <> '' THEN m[r] END AS ch FROM refs, entity),
+joined AS (SELECT i, string_agg(CASE WHEN j = 1 THEN p WHEN ch IS NULL THEN '&' || p ELSE ch || substr(p, length(r) + 2) END, '' ORDER BY j) AS body FROM chars GROUP BY 1)"""
 
 
 OP7 = f"""
