@@ -64,8 +64,8 @@ def size(text: Column) -> Column:
     return F.octet_length(text).cast("long")
 
 
-def plain_text(html: Column) -> Column:
-    for pattern, by in TEXT_STEPS:
+def plain_text(html: Column, steps=TEXT_STEPS) -> Column:
+    for pattern, by in steps:
         html = F.regexp_replace(html, pattern, by)
     return F.regexp_replace(F.regexp_replace(references(html), "^[ \n]+", ""), "[ \n]+$", "")
 
@@ -86,15 +86,16 @@ def derive(resp: DataFrame) -> DataFrame:
     source_block_digest, source_headers, body). Empty payloads give an empty conversion; responses without a title an empty title.
     """
     html = F.col("payload")
-    shown = html
+    shown = F.col("payload")
     for pattern, by in UNSHOWN:
         shown = F.regexp_replace(shown, pattern, by)
-    title = F.trim(F.regexp_replace(F.regexp_extract(shown, "(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title", 1), "[ \t\r\n]+", " "))
+    resp = resp.withColumn("_shown", shown)  # a column of its own, since it is used twice
+    title = F.trim(F.regexp_replace(F.regexp_extract("_shown", "(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title", 1), "[ \t\r\n]+", " "))
     lang = F.regexp_extract(html, "(?i)<html[^>]*[ \t\r\n]lang=[\"']?([A-Za-z0-9-]+)", 1)
     links = F.regexp_count(html, F.lit("(?i)<a[ \t\r\n][^>]*href"))
     fields = {"title": title, "language": lang, "outlinks": links.cast("string"), "source-payload-digest": F.col("payload_digest"), "source-block-digest": F.col("block_digest")}
     info = F.concat(*(x for name, value in fields.items() for x in (F.lit(f"{name}: "), value, F.lit(CRLF))))
-    body = F.explode(F.array(F.struct(F.lit("metadata").alias("t"), F.lit("application/warc-fields").alias("c"), info.alias("b")), F.struct(F.lit("conversion").alias("t"), F.lit("text/plain; charset=utf-8").alias("c"), plain_text(html).alias("b"))))
+    body = F.explode(F.array(F.struct(F.lit("metadata").alias("t"), F.lit("application/warc-fields").alias("c"), info.alias("b")), F.struct(F.lit("conversion").alias("t"), F.lit("text/plain; charset=utf-8").alias("c"), plain_text(F.col("_shown"), TEXT_STEPS[len(UNSHOWN) :]).alias("b"))))
     rows = resp.withColumn("d", body)
     return rows.select(
         "source_id", F.col("d.t").alias("warc_type"), record_id(F.col("d.t"), F.col("record_id")).alias("record_id"), F.col("record_id").alias("refers_to"), "target_uri", "date",
