@@ -101,3 +101,10 @@ def test_words_of_texts(spark):
     assert {r.word: r.n for r in vg.word_counts(docs).collect()} == counts
     assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in vg.report(docs).collect()} == _brute(counts)
     assert vg.report(docs.where("doc_id < 0")).count() == 0
+
+
+def test_long_words_are_in_few_lists():
+    for word in ("a" * 20_000, "xy" * 10_000, "abcdefghijklmnop" * 1_000):
+        counts = Counter(word[i : i + q] for q in (2, 3) for i in range(len(word) - q + 1))
+        lists = [vg._list_rows(w, counts, vg.infixes(counts), 2, 3)[2] for w in (word, word[:500] + word[501:], word[:-1], word + "z", word[:700] + "é" + word[701:])]
+        assert all(len(found) < 50 and found & lists[0] for found in lists)
