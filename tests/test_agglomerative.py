@@ -75,6 +75,19 @@ def test_rounds_of_several_blocks(frame, monkeypatch):
         assert np.allclose(np.sort(heights), np.sort([r.d for r in whole.edges.collect()]))
 
 
+def test_blocks_of_the_distance_table_do_not_grow(frame, monkeypatch):
+    """However few blocks their bytes ask for, the matrix that a pair of blocks sends is bounded."""
+    x = np.random.default_rng(3).normal(size=(40, 3))
+    asked, real = [], A.block_pairs
+    monkeypatch.setattr(A, "TABLE_ROWS", 6, raising=False)
+    monkeypatch.setattr(A, "block_count", lambda *a: 1)
+    monkeypatch.setattr(A, "block_pairs", lambda *a, blocks: asked.append(blocks) or real(*a, blocks=blocks))
+    for linkage, metric in (("complete", "manhattan"), ("average", "cosine"), ("ward", "euclidean")):
+        tree = A.merge_tree(frame(x), metric, linkage, finish=25)
+        assert partition(tree.labels(5)) == brute(list(range(40)), x, metric, linkage, 5)
+    assert asked == [7] * 3
+
+
 @pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
 def test_spanning_tree_of_balls_skips_blocks(frame, metric, caplog):
     rng = np.random.default_rng(12)
