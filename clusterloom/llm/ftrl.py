@@ -24,6 +24,7 @@ BUCKETS = 1 << BITS
 TRAIN_ROWS = 12_000
 SHARDS = 6
 THRESHOLD = 0.3
+PIECE_BYTES = 1 << 19  # texts whose words are hashed at once; a longer text stands alone
 
 
 class Settings(NamedTuple):
@@ -54,7 +55,7 @@ def _features(texts: list[bytes]):
 
 def _sparse_rows(batches):
     for batch in batches:
-        for first, texts in pieces(batch.column("text")):
+        for first, texts in pieces(batch.column("text"), PIECE_BYTES):
             bucket, value, ends = _features(texts)
             ends = pa.array(ends, pa.int32())
             side = batch.slice(first, len(texts))
@@ -119,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
 def _scores(column, weights: np.ndarray) -> np.ndarray:
     out = [np.zeros(0)]
-    for _, texts in pieces(column):
+    for _, texts in pieces(column, PIECE_BYTES):
         bucket, value, ends = _features(texts)
         sums = np.concatenate(([0.0], np.cumsum(weights[bucket] * value)))
         out.append(1 / (1 + np.exp(-np.clip(sums[ends[1:]] - sums[ends[:-1]] + weights[BUCKETS], -35, 35))))

@@ -419,3 +419,20 @@ def test_sql_twins(spark, sf_dir):
         columns = sorted(got.columns)
         want = con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
         assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.select(columns).collect()), name
+
+
+def test_classifier_hashes_few_texts_at_once(monkeypatch):
+    """Workers of all cores share an executor's memory: what is hashed at once stays small, and pieces change no score."""
+    import numpy as np
+    import pyarrow as pa
+
+    from clusterloom.llm import ftrl
+
+    sizes, real = [], ftrl._features
+    monkeypatch.setattr(ftrl, "_features", lambda texts: sizes.append(sum(map(len, texts))) or real(texts))
+    texts = [b"", *(b"word%d other " % k * 2_000 for k in range(60))]
+    weights = np.random.default_rng(0).normal(size=ftrl.BUCKETS + 1)
+    scores = ftrl._scores(pa.array(texts, pa.binary()), weights)
+    assert max(sizes) <= 1 << 20 and len(scores) == len(texts)
+    alone = [ftrl._scores(pa.array([t], pa.binary()), weights)[0] for t in texts]
+    assert np.allclose(scores, alone, rtol=1e-12)
