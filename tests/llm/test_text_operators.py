@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from clusterloom.llm import bucket_pointer, common, compression, crf_pii, ftrl, mixing, queries, suffix_automaton, templates, token_groups, url_model, warc
 
@@ -398,6 +399,22 @@ def test_plain_text_against_a_parser(spark, sf_dir):
         assert blank(got[p.page_id, p.url or "", "conversion"].replace("\u00a0", " ")) == blank("".join(reader.out).replace("\u00a0", " "))
 
 
+def test_plain_text_is_made_once(spark, sf_dir):
+    """Decoding references names its input several times; the steps before it stand once in the plan. Every named reference is found in its group."""
+    rows = spark.createDataFrame([(1, "u", " ".join(f"&{name};" for name in warc.NAMES))], "page_id bigint, url string, html string")
+    out = warc.report(rows)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("address|article") == 1
+    body = out.where("warc_type = 'conversion'").first().body
+    assert body == " ".join(warc.NAMES.values()).strip(" \n")
+
+
+def test_runs_of_blanks(spark):
+    made = ["a b", "a  b", "a\tb", " \ta\r\f b\f", "a \t", "\t \n a", ""]
+    pattern, by = warc.TEXT_STEPS[-2]
+    got = [r[0] for r in spark.createDataFrame([(m,) for m in made], "t string").select(warc.stripped(F.col("t"), warc.TEXT_STEPS[-2:-1])).collect()]
+    assert got == [re.sub(pattern, by, m) for m in made]
+
+
 def test_mixing(spark, sf_dir, nothing):
     cells = spark.createDataFrame([(100, 0, 50), (20, 80, 30), (60, 40, 20)], "h0 int, h1 int, tokens bigint")
     rate = mixing._rate(mixing.fit_rates(cells, [0.8, 0.2]))
