@@ -112,9 +112,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     for _ in range(settings.epochs):
         start = spark.sparkContext.broadcast(weights)
         parts = rows.groupBy("shard").applyInPandas(_shard_fit(start, settings), "bucket bigint, weight double")
-        summed = parts.groupBy("bucket").agg(F.sum("weight").alias("w")).toPandas()  # at most BUCKETS + 1 rows
+        summed = parts.groupBy("bucket").agg(F.sum("weight").alias("w")).toArrow()  # at most BUCKETS + 1 rows; in columns, not an object a number
+        start.destroy()
         weights = np.zeros(BUCKETS + 1)
-        weights[summed["bucket"].to_numpy(np.int64)] = summed["w"].to_numpy() / shards
+        weights[summed["bucket"].to_numpy()] = summed["w"].to_numpy() / shards
     return weights
 
 

@@ -6,6 +6,7 @@ import re
 from html.parser import HTMLParser
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -453,3 +454,15 @@ def test_classifier_hashes_few_texts_at_once(monkeypatch):
     assert max(sizes) <= 1 << 20 and len(scores) == len(texts)
     alone = [ftrl._scores(pa.array([t], pa.binary()), weights)[0] for t in texts]
     assert np.allclose(scores, alone, rtol=1e-12)
+
+
+def test_classifier_weights_come_in_columns(spark, sf_dir, monkeypatch):
+    """The sums of an epoch, up to 262,145 rows, reach the driver without an object for each."""
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+
+    def as_rows(*_):
+        raise AssertionError("weights fetched row by row")
+
+    monkeypatch.setattr(type(docs), "toPandas", as_rows)
+    weights = ftrl.fit(docs, labels)
+    assert weights.shape == (ftrl.BUCKETS + 1,) and np.isfinite(weights).all() and weights.any()
