@@ -181,3 +181,27 @@ def test_kernel_sums_by_tiles():
     rng = np.random.default_rng(5)
     x, y, delta = rng.normal(size=(pairs.TILE_ROWS + 9, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 3)), rng.normal(size=(2 * pairs.TILE_ROWS + 1, 2))
     assert np.allclose(kernel_kmeans._kernel_sums(x, y, delta, "rbf", 0.4), linalg.kernel(x, y, "rbf", 0.4) @ delta)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_kernel_values_of_two_blocks_are_evaluated_once(monkeypatch, same):
+    """Both blocks are corrected by one kernel value a pair, in tiles that stay small; pairs of rows that keep their label are left out."""
+    rng, t, sizes, real = np.random.default_rng(4), kernel_kmeans.KERNEL_TILE, [], linalg.kernel
+    x = rng.normal(size=(3 * t + 7, 3))
+    y = x if same else rng.normal(size=(2 * t + 5, 3))
+    dx = rng.normal(size=(t + 9, 2))
+    dy = dx if same else rng.normal(size=(11, 2))
+    want = real(x, y[: len(dy)], "rbf", 0.4) @ dy, real(y, x[: len(dx)], "rbf", 0.4) @ dx
+    monkeypatch.setattr(linalg, "kernel", lambda a, b, *rest: sizes.append(len(a) * len(b)) or real(a, b, *rest))
+    got = kernel_kmeans._mutual_sums(x, y, dx, dy, "rbf", 0.4, same)
+    assert all(np.allclose(g, w) for g, w in zip(got, want))
+    assert max(sizes) <= t * t and sum(sizes) <= (5 if same else 8) * t * t + 50 * t
+
+
+def test_kernel_sums_take_small_tiles(monkeypatch):
+    """A batch of 10,000 rows by 2,048 changed ones was 164 MB of kernel values in every worker."""
+    real, sizes = linalg.kernel, []
+    monkeypatch.setattr(linalg, "kernel", lambda a, b, *rest: sizes.append(len(a) * len(b)) or real(a, b, *rest))
+    x = np.random.default_rng(5).normal(size=(3000, 2))
+    sums = kernel_kmeans._kernel_sums(x, x, np.ones((3000, 1)), "rbf", 0.5)
+    assert max(sizes) * 8 <= 8 << 20 and np.allclose(sums[:, 0], real(x, x, "rbf", 0.5).sum(axis=1))
