@@ -76,9 +76,9 @@ def _shard_fit(start, s: Settings):
         rows = rows.sort_values("doc_id")
         z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
         z[:] = -start.value * (s.beta / s.alpha + s.l2) - np.sign(start.value) * s.l1
-        examples = [(np.append(b, BUCKETS), np.append(v, 1.0), float(y)) for b, v, y in zip(rows["bucket"], rows["value"], rows["label"])]
         for _ in range(s.passes):
-            for b, v, y in examples:
+            for b, v, y in zip(rows["bucket"], rows["value"], rows["label"]):
+                b, v = np.append(b, BUCKETS), np.append(v, 1.0)  # anew in each pass: copies of all rows would double the worker's memory
                 w = _weights(z[b], n[b], s)
                 g = (1 / (1 + np.exp(-np.clip(v @ w, -35, 35))) - y) * v
                 z[b] += g - (np.sqrt(n[b] + g * g) - np.sqrt(n[b])) / s.alpha * w

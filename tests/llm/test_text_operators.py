@@ -466,3 +466,22 @@ def test_classifier_weights_come_in_columns(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(type(docs), "toPandas", as_rows)
     weights = ftrl.fit(docs, labels)
     assert weights.shape == (ftrl.BUCKETS + 1,) and np.isfinite(weights).all() and weights.any()
+
+
+def test_classifier_keeps_no_second_copy_of_its_rows():
+    """A task of the training holds its rows and a few vectors of weights."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    rows = pd.DataFrame({"doc_id": range(300), "label": [k % 2 for k in range(300)]})
+    rows["bucket"] = [rng.choice(ftrl.BUCKETS, 10_000, replace=False).astype(np.int32) for _ in range(300)]
+    rows["value"] = [np.full(10_000, 0.01) for _ in range(300)]
+    fit = ftrl._shard_fit(SimpleNamespace(value=np.zeros(ftrl.BUCKETS + 1)), ftrl.Settings(passes=1))
+    tracemalloc.start()
+    out = fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) and peak < 36_000_000  # the rows' size
