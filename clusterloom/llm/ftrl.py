@@ -10,7 +10,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,15 +68,29 @@ def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
     return np.where(np.abs(z) <= s.l1, 0.0, -(z - np.sign(z) * s.l1) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
 
+def _columns(rows: pa.Table) -> dict:
+    """The columns of a shard, a value for each row; lists are views of the Arrow columns, no copies."""
+    out: dict[str, list] = {c: [] for c in rows.column_names}
+    for batch in rows.to_batches():
+        for c, column in zip(batch.column_names, batch.columns):
+            if pa.types.is_list(column.type):
+                flat, ends = column.values.to_numpy(), column.offsets.to_pylist()
+                out[c] += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+            else:
+                out[c] += column.to_pylist()
+    return out
+
+
 def _shard_fit(start, s: Settings):
     """FTRL-proximal over one shard, in id order; starts at the given weights. Bucket BUCKETS is the bias."""
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("doc_id")
+    def fit(rows) -> pa.Table:
+        order = np.argsort(np.asarray(rows["doc_id"]))
+        docs = [tuple(rows[c][k] for c in ("bucket", "value", "label")) for k in order]
         z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
         z[:] = -start.value * (s.beta / s.alpha + s.l2) - np.sign(start.value) * s.l1
         for _ in range(s.passes):
-            for b, v, y in zip(rows["bucket"], rows["value"], rows["label"]):
+            for b, v, y in docs:
                 b, v = np.append(b, BUCKETS), np.append(v, 1.0)  # anew in each pass: copies of all rows would double the worker's memory
                 w = _weights(z[b], n[b], s)
                 g = (1 / (1 + np.exp(-np.clip(v @ w, -35, 35))) - y) * v
@@ -85,11 +98,20 @@ def _shard_fit(start, s: Settings):
                 n[b] += g * g
         w = _weights(z, n, s)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"bucket": at, "weight": w[at]})
+        return pa.table({"bucket": at, "weight": w[at]})
 
     return fit
 
 
+def _arrow_fit(start, s: Settings):
+    fit = _shard_fit(start, s)
+
+    def run(rows: pa.Table) -> pa.Table:
+        return fit(_columns(rows))
+
+    return run
+
+
 def _label_fold(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
@@ -111,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     weights = np.zeros(BUCKETS + 1)
     for _ in range(settings.epochs):
         start = spark.sparkContext.broadcast(weights)
-        parts = rows.groupBy("shard").applyInPandas(_shard_fit(start, settings), "bucket bigint, weight double")
+        parts = rows.groupBy("shard").applyInArrow(_arrow_fit(start, settings), "bucket bigint, weight double")
         summed = parts.groupBy("bucket").agg(F.sum("weight").alias("w")).toArrow()  # at most BUCKETS + 1 rows; in columns, not an object a number
         start.destroy()
         weights = np.zeros(BUCKETS + 1)

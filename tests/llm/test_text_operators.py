@@ -485,3 +485,21 @@ def test_classifier_keeps_no_second_copy_of_its_rows():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(out) and peak < 36_000_000  # the rows' size
+
+
+def test_classifier_trains_on_views_of_its_arrow_rows():
+    """Words and values of a shard are not copied, whatever batches and order its rows come in, and the weights are those of plain columns."""
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(7)
+    bucket = [np.sort(rng.choice(ftrl.BUCKETS, n, replace=False)).astype(np.int32) for n in (0, 5, 700, 30, 1)]
+    value = [np.full(len(b), 0.1) for b in bucket]
+    plain = {"doc_id": [4, 2, 9, 1, 7], "label": [1, 0, 1, 0, 1], "bucket": bucket, "value": value}
+    types = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())]
+    rows = pa.table([pa.array([list(v) if np.ndim(v) else v for v in c], t) for c, t in zip(plain.values(), types)], names=list(plain))
+    rows = pa.concat_tables([rows.slice(0, 2), rows.slice(2)])
+    held = [v for c in ("bucket", "value") for v in (chunk.values.to_numpy() for chunk in rows[c].chunks)]
+    columns = ftrl._columns(rows)
+    assert all(any(np.shares_memory(v, whole) for whole in held) for c in ("bucket", "value") for v in columns[c] if len(v))
+    start = SimpleNamespace(value=np.zeros(ftrl.BUCKETS + 1))
+    assert ftrl._arrow_fit(start, ftrl.Settings())(rows).equals(ftrl._shard_fit(start, ftrl.Settings())(plain))
