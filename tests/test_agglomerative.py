@@ -101,6 +101,21 @@ def test_spanning_tree_of_balls_skips_blocks(frame, metric, caplog):
     assert sent < every / 2
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1500])
+def test_spanning_tree_measures_a_pair_of_blocks_once(frame, monkeypatch, block_bytes):
+    """Many equal distances, and balls of one block or of several."""
+    x = np.random.default_rng(5).integers(0, 9, size=(300, 3)).astype(float)
+    met, real, cut = [], A.block_pairs, A.balls
+    monkeypatch.setattr(A, "block_pairs", lambda *args, **more: met.append(more["met"]) or real(*args, **more))
+    monkeypatch.setattr(A, "balls", lambda *args, **more: cut(*args, **more, block_bytes=block_bytes))
+    key = lambda t: sorted((r.a, r.b, round(r.d, 9)) for r in t.edges.collect())
+    want = key(A.merge_tree(frame(x), linkage="single"))
+    for finish in (1, 60):
+        met.clear()
+        assert key(A.merge_tree(frame(x), linkage="single", finish=finish)) == want
+        assert np.sum(met, axis=0).max() == 1
+
+
 def test_copies_come_apart_last(frame):
     x = [[0.0], [0.0], [0.0], [5.0], [5.0], [9.0]]
     for linkage in ("single", "complete"):
