@@ -3,6 +3,7 @@ import tempfile
 import numpy as np
 from pyspark.sql import functions as F
 
+from clusterloom.plans import catalogue
 from clusterloom.plans import grid as G
 from clusterloom.plans import reports as R
 from clusterloom.sources import arff, results
@@ -18,6 +19,22 @@ def test_grid_counts():
     assert by["S2", "KMeans_FEKM"] == 18 and by["S2", "Kernel_KMeans"] == 9 and by["S3", "Kernel_KMeans"] == 27
 
 
+def test_grid_run_takes_the_whole_grid(spark, monkeypatch, tmp_path):
+    """Every task of the published grid reaches the run, and rows tell which task they are of."""
+    spark.createDataFrame([(k, [float(k + j) for j in range(8)], k % 2) for k in range(12)], "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    ran = {}
+
+    def run_grid(datasets, tasks):
+        ran.update({n: (df.count(), [tuple(t[c] for c in G.TASK_COLUMNS) for t in tasks.collect()]) for n, df in datasets.items()})
+        return spark.createDataFrame([], G.RESULT_SCHEMA)
+
+    monkeypatch.setattr(catalogue.grids, "run_grid", run_grid)
+    out = catalogue.grid_run(spark, str(tmp_path))
+    n, tasks = ran["embeddings"]
+    assert n == 12 and set(tasks) == set(G.parameter_grid()) and len(tasks) == 1422
+    assert {"linkage", "kernel", "param_m", "param_alpha", "run_id"} <= set(out.columns)
+
+
 def test_grid_leaves_out_pointless_pca(spark):
     sets = spark.createDataFrame([("wide", 10), ("flat", 3)], "dataset string, n_features int")
     g = G.grid(sets, ks=(2,), runs=1)
