@@ -88,6 +88,24 @@ def test_blocks_of_the_distance_table_do_not_grow(frame, monkeypatch):
     assert asked == [7] * 3
 
 
+@pytest.mark.parametrize("linkage,metric", [("complete", "euclidean"), ("complete", "manhattan"), ("complete", "cosine"), ("average", "cosine"), ("average", "euclidean"), ("ward", "euclidean")])
+def test_distance_table_is_bounded(frame, monkeypatch, linkage, metric):
+    """With many clusters rounds measure again: no table of more than ``TABLED`` clusters is written, and the tree is the one of that table."""
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(size=(70, 3)), np.zeros((1, 3))])
+    x[5] = x[7] = x[4]  # copies
+    want = A.merge_tree(frame(x), metric, linkage)
+    tables, real = [], A._distance_rows
+    monkeypatch.setattr(A, "_distance_rows", lambda units, ids, *more: tables.append(len(ids)) or real(units, ids, *more))
+    monkeypatch.setattr(A, "TABLED", 12, raising=False)
+    monkeypatch.setattr(A, "LINK_ROWS", 9, raising=False)
+    monkeypatch.setattr(A, "TABLE_ROWS", 20)
+    got = A.merge_tree(frame(x), metric, linkage, finish=10)
+    assert np.allclose(*[sorted(r.d for r in t.edges.collect()) for t in (got, want)]) and tables[0] <= 12
+    assert partition(got.labels(30)) == partition(want.labels(30))
+    assert partition(got.labels(4)) == brute(list(range(71)), x, metric, linkage, 4)
+
+
 @pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
 def test_spanning_tree_of_balls_skips_blocks(frame, metric, caplog):
     rng = np.random.default_rng(12)
